@@ -43,10 +43,11 @@ def with_log_metadata(logs: DataFrame, tx_cols=("transaction_hash",), index_cols
 def with_route(logs: DataFrame) -> DataFrame:
     """Add ``chain`` (unknown chains fall back to Ethereum), ``event_type``, ``kind`` and ``accepted``."""
     chain = dims.effective_chain(F.col("chain_id"))
-    return (logs.withColumn("chain", chain)
-                .withColumn("event_type", dims.dispatch(F.col("protocol"), F.col("event_name"), "event_type"))
-                .withColumn("kind", dims.dispatch(F.col("protocol"), F.col("event_name"), "kind"))
-                .withColumn("accepted", dims.is_supported(chain, F.col("protocol")) & F.col("event_type").isNotNull()))
+    event_type = dims.dispatch(F.col("protocol"), F.col("event_name"))
+    routed = logs.select("*", chain.alias("chain"), event_type.alias("event_type"))
+    return routed.select("*", dims.kind_of(F.col("event_type")).alias("kind"),
+                         (dims.is_supported(F.col("chain"), F.col("protocol"))
+                          & F.col("event_type").isNotNull()).alias("accepted"))
 
 
 def route_supported(logs: DataFrame) -> DataFrame:

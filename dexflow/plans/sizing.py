@@ -1,13 +1,16 @@
 """Size checks in front of broadcast joins.
 
 A dimension that grows with the data (the discovered pools) is broadcast only
-after it has been written to reliable storage (``checkpoint`` into the shared
-``spark.checkpoint.dir``) and counted under a row limit. Above the limit the
-join stays a shuffle join, which AQE sizes and splits on skew.
+after it has been written as a Parquet table under the shared
+``spark.checkpoint.dir`` (one job; cuts the lineage, survives executor loss)
+and counted under a row limit. Above the limit the join stays a shuffle join,
+which AQE sizes and splits on skew.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,8 @@ def materialize_dimension(dim: DataFrame, limit: int | None = None) -> DataFrame
     if dim.isStreaming:
         return dim
     limit = max_broadcast_rows(spark) if limit is None else limit
-    ensure_checkpoint_dir(spark)
-    dim = dim.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-dims/{uuid.uuid4().hex}"
+    dim.write.parquet(path)
+    dim = spark.read.parquet(path)
     rows = dim.count()
     return F.broadcast(dim) if rows <= limit else dim

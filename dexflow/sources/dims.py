@@ -115,22 +115,27 @@ def effective_chain(chain_id: Column) -> Column:
 
 
 def is_supported(chain_id: Column, protocol: Column) -> Column:
-    """(chain, protocol) is in the support matrix."""
-    by_chain: dict[int, list[str]] = {}
-    for chain, protocol_name in supported_pairs():
-        by_chain.setdefault(chain, []).append(protocol_name)
-    terms = [(chain_id == F.lit(c)) & protocol.isin(ps) for c, ps in sorted(by_chain.items())]
-    return F.coalesce(reduce(lambda a, b: a | b, terms), F.lit(False))
-
-
-def dispatch(protocol: Column, event_name: Column, field: str = "event_type") -> Column:
-    """Map (protocol, event_name) to the event type (or kind); NULL when unhandled."""
-    pos = 2 if field == "event_type" else 3
-    expr = None
-    for row in EVENT_DISPATCH:
-        cond = (protocol == F.lit(row[0])) & (event_name == F.lit(row[1]))
-        expr = F.when(cond, F.lit(row[pos])) if expr is None else expr.when(cond, F.lit(row[pos]))
-    return expr
+    """(chain, protocol) is in the support matrix: one InSet test on a combined key."""
+    keys = [f"{c}|{p}" for c, p in supported_pairs()]
+    return F.coalesce(F.concat_ws("|", chain_id.cast("string"), protocol).isin(keys), F.lit(False))
+
+
+def dispatch(protocol: Column, event_name: Column) -> Column:
+    """Event type of (protocol, event_name); NULL when the protocol does not handle that event.
+
+    One lookup in a literal map keyed by ``protocol|event_name`` (a single
+    expression, so pushing a filter on it below other projections stays cheap).
+    """
+    pairs = []
+    for p, e, event_type, _ in EVENT_DISPATCH:
+        pairs += [F.lit(f"{p}|{e}"), F.lit(event_type)]
+    return F.try_element_at(F.create_map(*pairs), F.concat_ws("|", protocol, event_name))
+
+
+def kind_of(event_type: Column) -> Column:
+    """'factory' for pool-creation types, 'pool' for the other handled types."""
+    return (F.when(event_type.isin(*FACTORY_EVENT_TYPES), F.lit("factory"))
+             .when(event_type.isNotNull(), F.lit("pool")))
 
 
 def version_of(protocol: Column) -> Column:
