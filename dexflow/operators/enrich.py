@@ -14,7 +14,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -168,12 +168,16 @@ ENRICHED_POOL_COLUMNS = ["pool_key", "protocol", "version", "pool_address", "is_
 
 
 def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool = True,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, passthrough: Column | None = None) -> DataFrame:
     """Every pool event carries its pool's protocol, version and tokens (inner join).
 
     With ``discovery`` a discovered pool's events count only after its
     creation log: ``(block, log_index) > (created_block, created_log_index)``;
     seed pools count from the start. Unknown pools are dropped.
+
+    ``passthrough`` marks rows that need no pool (factory logs): they are kept
+    unmatched by one left join, so a single scan of the source feeds both
+    kinds of rows (no union of two scans).
     """
     dim = pool_dim.select(*[F.col(c).alias(f"p_{c}") for c in ENRICHED_POOL_COLUMNS])
     dim = materialize_dimension(dim, max_broadcast_rows)
@@ -183,5 +187,10 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
         after = (F.struct(ev["block_number"], ev["log_index"])
                  > F.struct(dim["p_created_block"], dim["p_created_log_index"]))
         cond = cond & (dim["p_is_seed"] | after)
-    joined = ev.join(dim, cond, "inner")
+    if passthrough is None:
+        joined = ev.join(dim, cond, "inner")
+    else:
+        ev = ev.withColumn("__pass", passthrough)
+        joined = ev.join(dim, cond & ~ev["__pass"], "left")
+        joined = joined.filter(F.col("__pass") | F.col("p_pool_key").isNotNull()).drop("__pass")
     return joined.drop("__pk", "p_pool_key", "p_is_seed", "p_created_block", "p_created_log_index")

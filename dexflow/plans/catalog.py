@@ -71,7 +71,8 @@ class Context:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.pool_rows.unionByName(self.factory_rows).select(*schemas.EVENT_COLUMNS)
+        """The whole event table in one pass over the logs."""
+        return E.build_event_table(self.logs, self.dims, pool_dim=self.pool_dim)
 
     def per_chain_events(self) -> DataFrame:
         """O-37: each chain's feed normalised on its own, then one union."""

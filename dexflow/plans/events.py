@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import exprs as X
 from ..operators import enrich, normalize
+from ..sources import dims
 
 
 @dataclass
@@ -35,7 +36,10 @@ def pool_events(normalized: DataFrame) -> DataFrame:
 
 
 def factory_events(normalized: DataFrame) -> DataFrame:
-    return normalized.filter(F.col("kind") == "factory")
+    # The raw event_name test is a plain column predicate: on stored decoded
+    # logs it reaches the Parquet scan (PushedFilters) and skips row groups.
+    names = sorted({e for _, e, _, kind in dims.EVENT_DISPATCH if kind == "factory"})
+    return normalized.filter(F.col("event_name").isin(names) & (F.col("kind") == "factory"))
 
 
 def _stamp(df: DataFrame, created_at: Column | None) -> DataFrame:
@@ -66,7 +70,6 @@ def flatten_pool_events(enriched: DataFrame, created_at: Column | None = None) -
 
 def flatten_factory_events(factory: DataFrame, created_at: Column | None = None) -> DataFrame:
     """O-27: stored row of a pool-creation log; token details are placeholders, log_index is 0."""
-    from ..sources import dims
     rows = factory.select(
         X.factory_event_id("transaction_hash", "log_index", "event_type").alias("id"),
         "protocol", "version", "event_type",
@@ -97,10 +100,46 @@ def enriched_pool_events(normalized: DataFrame, d: Dimensions, discovery: bool =
     return enrich.attach_pools(pool_events(normalized), dim, discovery=discovery)
 
 
+def flatten_all(joined: DataFrame, created_at: Column | None = None) -> DataFrame:
+    """O-26 + O-27 + O-36 in one projection: pool rows and factory rows from one joined input."""
+    fac = F.col("kind") == "factory"
+
+    def pick(factory_value, pool_value):
+        return F.when(fac, factory_value).otherwise(pool_value)
+
+    unknown = {"symbol": F.lit(dims.UNKNOWN_SYMBOL), "decimals": F.lit(dims.UNKNOWN_DECIMALS).cast("smallint"),
+               "name": F.lit(dims.UNKNOWN_NAME)}
+    tokens = []
+    for i in (0, 1):
+        tokens.append(pick(F.col(f"token{i}_address"), F.col(f"p_token{i}_address")).alias(f"token{i}_address"))
+        tokens.append(pick(unknown["symbol"], F.col(f"p_token{i}_symbol")).alias(f"token{i}_symbol"))
+        tokens.append(pick(unknown["decimals"], F.col(f"p_token{i}_decimals")).alias(f"token{i}_decimals"))
+        tokens.append(pick(unknown["name"], X.or_empty(f"p_token{i}_name")).alias(f"token{i}_name"))
+    rows = joined.select(
+        pick(X.factory_event_id("transaction_hash", "log_index", "event_type"),
+             X.event_id("transaction_hash", "log_index", "event_type")).alias("id"),
+        pick(F.col("protocol"), F.col("p_protocol")).alias("protocol"),
+        pick(F.col("version"), F.col("p_version")).alias("version"),
+        "event_type",
+        F.col("observed_at_ms").alias("timestamp"),
+        "block_number", "transaction_hash",
+        pick(F.lit(0).cast("bigint"), F.col("log_index")).alias("log_index"),
+        pick(F.col("pool_address"), F.col("p_pool_address")).alias("pool_address"),
+        *tokens[:4], *tokens[4:],
+        normalize.normalized_event_data().alias("event_data"),
+        F.lit("").alias("gas_used"), F.lit("").alias("gas_price"),
+        pick(X.or_empty("data_fee"), F.lit("")).alias("fee"),
+    )
+    return _stamp(rows, created_at).select(*schemas.EVENT_COLUMNS)
+
+
 def build_event_table(logs: DataFrame, d: Dimensions, created_at: Column | None = None,
-                      discovery: bool = True) -> DataFrame:
-    """O-36: pool events and factory events as one table with the stored schema."""
+                      discovery: bool = True, pool_dim: DataFrame | None = None) -> DataFrame:
+    """O-36: pool events and factory events as one table with the stored schema.
+
+    One scan of the logs: factory rows ride through the pool join unmatched.
+    """
     normalized = routed_logs(logs)
-    pools = flatten_pool_events(enriched_pool_events(normalized, d, discovery), created_at)
-    factories = flatten_factory_events(factory_events(normalized), created_at)
-    return pools.unionByName(factories).select(*schemas.EVENT_COLUMNS)
+    dim = pool_dim if pool_dim is not None else pool_dimension(normalized, d)
+    joined = enrich.attach_pools(normalized, dim, discovery=discovery, passthrough=F.col("kind") == "factory")
+    return flatten_all(joined, created_at)

@@ -9,7 +9,7 @@ overwrite, so a replayed batch replaces itself instead of duplicating rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -26,14 +26,20 @@ def bloom_options(columns=LOOKUP_COLUMNS, expected_ndv: int = 1_000_000) -> dict
     return opts
 
 
-def layout(events: DataFrame, files_per_month: int | None = None) -> DataFrame:
-    """O-07: cluster rows by month, sort each file by the table's sort key."""
-    df = events.repartition(files_per_month, "event_month") if files_per_month else events.repartition("event_month")
-    return df.sortWithinPartitions("event_month", *schemas.SORT_KEY)
+def layout(events: DataFrame, partitions: int | None = None) -> DataFrame:
+    """O-07: range-partition on (month, sort key) and sort each task's rows by the same key.
+
+    Sampled range bounds spread every month over many balanced tasks (a big
+    month or a hot protocol does not land in one task), and each file holds a
+    narrow, sorted slice of the sort key, so row-group min/max statistics skip.
+    """
+    keys = ["event_month", *schemas.SORT_KEY]
+    df = events.repartitionByRange(partitions, *keys) if partitions else events.repartitionByRange(*keys)
+    return df.sortWithinPartitions(*keys)
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool = True,
-                 batch_id: int | None = None, files_per_month: int | None = None) -> None:
+                 batch_id: int | None = None, partitions: int | None = None) -> None:
     """O-09/O-10: append (or idempotently overwrite) rows of the stored schema.
 
     With ``batch_id`` the rows land in ``event_month=M/batch_id=B`` and the
@@ -46,7 +52,7 @@ def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
         parts.append("batch_id")
         mode = "overwrite"
-    writer = layout(df, files_per_month).write.mode(mode).partitionBy(*parts)
+    writer = layout(df, partitions).write.mode(mode).partitionBy(*parts)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if bloom:
@@ -74,14 +80,16 @@ def month_of(ms: int) -> int:
 
 
 def dedupe_by_id(events: DataFrame) -> DataFrame:
-    """One row per id (replays may re-deliver rows): keep the earliest-stored copy.
+    """One row per id (replays may re-deliver rows): keep the earliest copy.
 
-    Ids are nearly unique, so the window's partitions are tiny; the shuffle
-    is on ``id`` (high cardinality, no hot key).
+    An aggregate, not a window: ``min_by`` combines map-side, so an id
+    delivered a million times costs one row per map task in the shuffle and no
+    task ever holds all copies of a hot id.
     """
+    cols = [c for c in events.columns if c != "id"]
     order = [F.col("timestamp")] + ([F.col("created_at")] if "created_at" in events.columns else [])
-    w = Window.partitionBy("id").orderBy(*order)
-    return events.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    first = events.groupBy("id").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("__r"))
+    return first.select("id", *[F.col(f"__r.{c}").alias(c) for c in cols]).select(*events.columns)
 
 
 def compact_month(spark: SparkSession, path: str, month: int, out_path: str) -> None:

@@ -127,11 +127,9 @@ class EventIngestJob:
             registered = registered.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "batch_id")
             pool_dim = enrich.resolve_pool_tokens(registered.withColumn("version", E.normalize.version_column("protocol")),
                                                   self.dims.known_tokens, self.dims.token_metadata)
-            enriched = E.enriched_pool_events(normalized, self.dims, pool_dim=pool_dim)
 
             # (3) idempotent event write, duplicates inside the batch removed.
-            rows = E.flatten_pool_events(enriched).unionByName(E.flatten_factory_events(factory))
-            rows = rows.dropDuplicates(["id"])
+            rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim).dropDuplicates(["id"])
             store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True)
             stored = self.spark.read.parquet(self.events_path).filter(F.col("batch_id") == batch_id)
 
