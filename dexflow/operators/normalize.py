@@ -114,8 +114,11 @@ def normalize(routed: DataFrame) -> DataFrame:
     cols = payload_columns(F.col("event_type"), version)
     keep = ["chain", "chain_id", "protocol", "event_name", "event_type", "kind", "pool_address", "transaction_hash",
             "block_number", "log_index", "observed_at_ms", "token0_address", "token1_address", "fee", "tick_spacing"]
-    return routed.select(*keep, version.alias("version"),
-                         *[cols[name].alias(f"data_{name}") for name in PAYLOAD_FIELDS if name != "type"])
+    out = routed.select(*keep, version.alias("version"),
+                        *[cols[name].alias(f"data_{name}") for name in PAYLOAD_FIELDS if name != "type"])
+    # The JSON payload depends only on the log itself: built here, before any
+    # join, so only this one string (not the payload columns) crosses the join.
+    return out.select("*", normalized_event_data().alias("event_data"))
 
 
 def normalized_event_data() -> Column:

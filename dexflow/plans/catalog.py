@@ -142,7 +142,7 @@ def _norm_spark(key: str) -> Callable[[SparkSession, str], DataFrame]:
         extra = [F.col("token0_address"), F.col("token1_address")] if event_type.endswith("_created") else []
         return n.select(ident.alias("id"), "protocol", "version", "event_type", "pool_address", "block_number",
                         "log_index", "transaction_hash", F.col("observed_at_ms").alias("timestamp"),
-                        normalize.normalized_event_data().alias("event_data"), *extra,
+                        F.col("event_data"), *extra,
                         *[F.col(f"data_{f}").alias(_snake(f)) for f in fields])
     return build
 

@@ -62,7 +62,7 @@ def flatten_pool_events(enriched: DataFrame, created_at: Column | None = None) -
         F.col("p_token0_decimals").alias("token0_decimals"), X.or_empty("p_token0_name").alias("token0_name"),
         F.col("p_token1_address").alias("token1_address"), F.col("p_token1_symbol").alias("token1_symbol"),
         F.col("p_token1_decimals").alias("token1_decimals"), X.or_empty("p_token1_name").alias("token1_name"),
-        normalize.normalized_event_data().alias("event_data"),
+        F.col("event_data"),
         F.lit("").alias("gas_used"), F.lit("").alias("gas_price"), F.lit("").alias("fee"),
     )
     return _stamp(rows, created_at)
@@ -83,7 +83,7 @@ def flatten_factory_events(factory: DataFrame, created_at: Column | None = None)
         "token1_address", F.lit(dims.UNKNOWN_SYMBOL).alias("token1_symbol"),
         F.lit(dims.UNKNOWN_DECIMALS).cast("smallint").alias("token1_decimals"),
         F.lit(dims.UNKNOWN_NAME).alias("token1_name"),
-        normalize.normalized_event_data().alias("event_data"),
+        F.col("event_data"),
         F.lit("").alias("gas_used"), F.lit("").alias("gas_price"),
         X.or_empty("data_fee").alias("fee"),
     )
@@ -126,7 +126,7 @@ def flatten_all(joined: DataFrame, created_at: Column | None = None) -> DataFram
         pick(F.lit(0).cast("bigint"), F.col("log_index")).alias("log_index"),
         pick(F.col("pool_address"), F.col("p_pool_address")).alias("pool_address"),
         *tokens[:4], *tokens[4:],
-        normalize.normalized_event_data().alias("event_data"),
+        F.col("event_data"),
         F.lit("").alias("gas_used"), F.lit("").alias("gas_price"),
         pick(X.or_empty("data_fee"), F.lit("")).alias("fee"),
     )

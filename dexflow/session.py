@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Generated methods above 8,000 bytecodes are never JIT-compiled by the JVM;
+    # above this limit Spark falls back to per-operator codegen, which is.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -47,12 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting points at shared storage and is used as is. Only
     when nothing is configured (local tests) a fresh scratch folder is made.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="dexflow-ckpt-", dir=os.environ.get("DEXFLOW_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
