@@ -33,6 +33,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is also the executor (8 writers share its heap).
+        conf["spark.driver.memory"] = os.environ.get("DEXFLOW_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -26,25 +26,34 @@ def bloom_options(columns=LOOKUP_COLUMNS, expected_ndv: int = 1_000_000) -> dict
     return opts
 
 
-def layout(events: DataFrame, partitions: int | None = None) -> DataFrame:
-    """O-07: range-partition on (month, sort key) and sort each task's rows by the same key.
-
-    Sampled range bounds spread every month over many balanced tasks (a big
-    month or a hot protocol does not land in one task), and each file holds a
-    narrow, sorted slice of the sort key, so row-group min/max statistics skip.
+def layout(events: DataFrame, partitions: int | None = None, buckets: int = 64) -> DataFrame:
+    """O-07: spread each month over many tasks, sort each task's rows by the table's sort key.
+
+    Rows are hash-partitioned on (event_month, bucket) with the bucket taken
+    from the transaction hash, so a large month or a hot pool is split over up
+    to ``buckets`` tasks without the extra sampling pass a range partitioner
+    would run over the whole upstream plan. Each task sorts by (month, protocol,
+    event_type, block, tx, log index): row groups hold narrow runs of the key
+    and their min/max statistics skip data.
     """
     keys = ["event_month", *schemas.SORT_KEY]
-    df = events.repartitionByRange(partitions, *keys) if partitions else events.repartitionByRange(*keys)
-    return df.sortWithinPartitions(*keys)
+    bucket = F.pmod(F.xxhash64("transaction_hash"), F.lit(buckets))
+    df = events.withColumn("__bucket", bucket)
+    df = df.repartition(partitions, "event_month", "__bucket") if partitions else \
+        df.repartition("event_month", "__bucket")
+    return df.drop("__bucket").sortWithinPartitions(*keys)
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool = True,
-                 batch_id: int | None = None, partitions: int | None = None) -> None:
+                 batch_id: int | None = None, partitions: int | None = None, shuffle: bool = True) -> None:
     """O-09/O-10: append (or idempotently overwrite) rows of the stored schema.
 
     With ``batch_id`` the rows land in ``event_month=M/batch_id=B`` and the
     write replaces exactly those partitions (dynamic overwrite): replaying a
     micro-batch after a failure leaves one copy.
+
+    ``shuffle=False`` skips the layout shuffle and only sorts each task's rows
+    (small micro-batches; finished months are rewritten by ``compact_month``).
     """
     df = events.select(*schemas.EVENT_COLUMNS)
     parts = ["event_month"]
@@ -52,7 +61,8 @@ def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
         parts.append("batch_id")
         mode = "overwrite"
-    writer = layout(df, partitions).write.mode(mode).partitionBy(*parts)
+    laid = layout(df, partitions) if shuffle else df.sortWithinPartitions("event_month", *schemas.SORT_KEY)
+    writer = laid.write.mode(mode).partitionBy(*parts)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if bloom:

@@ -130,7 +130,7 @@ class EventIngestJob:
 
             # (3) idempotent event write, duplicates inside the batch removed.
             rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim).dropDuplicates(["id"])
-            store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True)
+            store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True, shuffle=False)
             stored = self.spark.read.parquet(self.events_path).filter(F.col("batch_id") == batch_id)
 
             # (4) rollup partials, (5) feed, (6) callbacks.
