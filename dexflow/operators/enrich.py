@@ -39,8 +39,10 @@ def resolve_tokens(df: DataFrame, address_col: str, prefix: str, known_tokens: D
     known = known_tokens.select(X.lower_key("address").alias(key),
                                 *[F.col(c).alias(f"__k_{c}") for c in TOKEN_FIELDS],
                                 F.lit(True).alias("__k_hit"))
-    # The known-token table is a fixed constant: broadcast is bounded.
-    out = out.join(F.broadcast(known), key, "left")
+    # Runs on the pool dimension (one row per pool), never per event. No hint:
+    # the planner broadcasts the token table only when its size statistics are
+    # under the threshold (exact for the built-in constant list).
+    out = out.join(known, key, "left")
     if token_metadata is not None:
         fetched = token_metadata.select(X.lower_key("address").alias(key),
                                         *[F.col(c).alias(f"__m_{c}") for c in TOKEN_FIELDS],

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -102,11 +102,14 @@ class EventIngestJob:
               .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").parquet(self.pools_path))
 
-    def known_pools(self) -> DataFrame:
-        """All registered pools; on replays the earliest registration of a pool wins."""
+    def known_pools(self, up_to_batch: int | None = None) -> DataFrame:
+        """All registered pools (earliest registration wins), optionally as of a batch."""
         pools = self._read_pools()
-        w = Window.partitionBy("pool_key").orderBy("batch_id")
-        return pools.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+        if up_to_batch is not None:
+            pools = pools.filter(F.col("batch_id") <= up_to_batch)
+        cols = [c for c in enrich.POOL_COLUMNS if c != "pool_key"]
+        first = pools.groupBy("pool_key").agg(F.min_by(F.struct(*cols), F.col("batch_id")).alias("p"))
+        return first.select("pool_key", *[F.col(f"p.{c}").alias(c) for c in cols])
 
     # -- one micro-batch -----------------------------------------------------
     def process_batch(self, logs: DataFrame, batch_id: int) -> None:
@@ -122,9 +125,7 @@ class EventIngestJob:
             if prior is not None:
                 fresh = fresh.join(prior.select("pool_key"), "pool_key", "left_anti")
             self._write_pools(fresh, batch_id)
-            registered = self.spark.read.parquet(self.pools_path).filter(F.col("batch_id") <= batch_id)
-            w = Window.partitionBy("pool_key").orderBy("batch_id")
-            registered = registered.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "batch_id")
+            registered = self.known_pools(up_to_batch=batch_id)
             pool_dim = enrich.resolve_pool_tokens(registered.withColumn("version", E.normalize.version_column("protocol")),
                                                   self.dims.known_tokens, self.dims.token_metadata)
 
