@@ -63,6 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (a machine-local folder "
+                               "is not visible to other executors)")
         configured = tempfile.mkdtemp(prefix="dexflow-ckpt-", dir=os.environ.get("DEXFLOW_SCRATCH", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(configured)

@@ -107,3 +107,10 @@ def compact_month(spark: SparkSession, path: str, month: int, out_path: str) ->
     df = spark.read.parquet(path).filter(F.col("event_month") == month).drop("batch_id")
     write_events(dedupe_by_id(df), out_path, mode="overwrite", bloom=True)
 
+
+
+def write_rollup(rollup: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The hourly rollup as its own table (O-45): partitioned by month, replaced per month on rewrite."""
+    df = rollup.withColumn("event_month", (F.year("hour") * 100 + F.month("hour")).cast("int"))
+    (df.repartition("event_month").sortWithinPartitions("protocol", "event_type", "hour")
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("event_month").parquet(path))

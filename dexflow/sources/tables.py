@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -36,6 +37,20 @@ def stream_decoded_logs(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def decoded_logs_from_json(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Decoded logs delivered as JSON messages (e.g. a Kafka topic's ``value``).
+
+    ``spark.readStream.format("kafka")...load()`` followed by this function is
+    the Kafka form of :func:`stream_decoded_logs`. Integer fields are read as
+    text first, so quoted and unquoted numbers both parse; wide integers stay text.
+    """
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.DECODED_LOGS.fields])
+    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), as_text).alias("m")).select("m.*")
+    return parsed.select([(F.col(f.name) if isinstance(f.dataType, T.StringType)
+                           else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+                          for f in schemas.DECODED_LOGS.fields])
+
+
 def pool_logs(logs: DataFrame) -> DataFrame:
     """O-01: the pool-event part of a decoded-log feed (swap/mint/burn/sync/initialize)."""
     return logs.filter(F.col("event_name").isin("Swap", "Mint", "Burn", "Sync", "Initialize", "Collect", "Flash"))
