@@ -74,6 +74,12 @@ class Context:
         """The whole event table in one pass over the logs."""
         return E.build_event_table(self.logs, self.dims, pool_dim=self.pool_dim)
 
+    @cached_property
+    def stream_job(self):
+        """The streaming ingest run over the decoded logs (staged as time-ordered files) to completion."""
+        from ..streaming.replay import run_file_stream
+        return run_file_stream(self.spark, self.logs, self.dims)
+
     def per_chain_events(self) -> DataFrame:
         """O-37: each chain's feed normalised on its own, then one union."""
         parts = []
@@ -397,6 +403,26 @@ def q_feed_panels(spark, sf_dir):
     return reports.feed_panels(context(spark, sf_dir).events, 5, 20)
 
 
+def q_stream_events(spark, sf_dir):
+    """O-59..O-61: the table written by the streaming ingest (idempotent batches, discovery per batch)."""
+    return context(spark, sf_dir).stream_job.read_events().select(*STORED_COLUMNS)
+
+
+def q_stream_hourly_counts(spark, sf_dir):
+    """O-62: hourly counts merged from the per-batch rollup partials."""
+    return context(spark, sf_dir).stream_job.read_rollup().select("protocol", "event_type", "hour", "event_count")
+
+
+def q_stream_feed(spark, sf_dir):
+    """O-63: the live feed kept by the stream (newest 20)."""
+    return context(spark, sf_dir).stream_job.read_feed().select(*reports.FEED_COLUMNS)
+
+
+def q_stream_known_pools(spark, sf_dir):
+    """O-61: the durable pool registry after the stream (seeds + pools discovered batch by batch)."""
+    return context(spark, sf_dir).stream_job.known_pools().select(*KNOWN_POOL_COLUMNS)
+
+
 # ---------------------------------------------------------------------------
 # Oracle SQL.
 # ---------------------------------------------------------------------------
@@ -525,6 +551,12 @@ ORACLE: dict[str, str] = {
         f"SELECT protocol, event_type, {O.hour_of('timestamp')} AS hour, {_DISTINCT3} FROM protocol_events "
         f"GROUP BY protocol, event_type, hour ORDER BY hour DESC, protocol, event_type LIMIT 5"),
     "feed_last20": O.with_base(f"SELECT *, row_number() OVER (ORDER BY {_NEWEST}) AS feed_rank FROM feed", _FEED),
+    "stream_events": O.with_base(f"SELECT {_STORED} FROM protocol_events"),
+    "stream_hourly_counts": O.with_base(
+        f"SELECT protocol, event_type, {O.hour_of('timestamp')} AS hour, count(*) AS event_count FROM protocol_events "
+        f"GROUP BY protocol, event_type, hour"),
+    "stream_feed": O.with_base("SELECT * FROM feed", _FEED),
+    "stream_known_pools": O.with_base("SELECT " + ", ".join(KNOWN_POOL_COLUMNS) + " FROM pool_dim"),
     "feed_panels": O.with_base(
         f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY protocol ORDER BY {_NEWEST}) AS panel_rank FROM feed) "
         f"WHERE panel_rank <= 5", _FEED),
@@ -579,4 +611,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_hours": q_recent_hours,
     "feed_last20": q_feed_last20,
     "feed_panels": q_feed_panels,
+    "stream_events": q_stream_events,
+    "stream_hourly_counts": q_stream_hourly_counts,
+    "stream_feed": q_stream_feed,
+    "stream_known_pools": q_stream_known_pools,
 }

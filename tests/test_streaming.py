@@ -14,16 +14,9 @@ COLS = [c for c in schemas.EVENT_COLUMNS if c != "created_at"]
 
 def _stage_logs(spark, path, chunks=4):
     """Write the decoded logs in time order as ``chunks`` appends (one file each)."""
+    from dexflow.streaming.replay import stage_in_time_order
     logs = fixtures.decoded_logs(spark, SF_SMALL)
-    bounds = logs.approxQuantile("observed_at_ms", [i / chunks for i in range(1, chunks)], 0.0)
-    edges = [None] + bounds + [None]
-    for lo, hi in zip(edges, edges[1:]):
-        part = logs
-        if lo is not None:
-            part = part.filter(F.col("observed_at_ms") > lo)
-        if hi is not None:
-            part = part.filter(F.col("observed_at_ms") <= hi)
-        part.coalesce(1).write.mode("append").parquet(path)
+    stage_in_time_order(logs, path, chunks)
     return logs
 
 
@@ -70,8 +63,9 @@ def test_replay_of_a_batch_leaves_one_copy(spark, fx_dims, tmp_path):
     before = job.read_events(dedupe=False).count()
     # a crash after the write but before the commit re-delivers the last batch
     last = spark.read.parquet(job.events_path).agg(F.max("batch_id")).first()[0]
-    part = spark.read.schema(schemas.DECODED_LOGS).parquet(src)
-    job.process_batch(part.filter(F.col("observed_at_ms") > part.approxQuantile("observed_at_ms", [0.5], 0.0)[0]), last)
+    part = spark.read.schema(schemas.DECODED_LOGS).parquet(src).withColumn("f", F.input_file_name())
+    last_file = part.orderBy(F.col("block_number").desc()).first().f
+    job.process_batch(part.filter(F.col("f") == last_file).drop("f"), last)
     assert job.read_events(dedupe=False).count() == before
     assert before == E.build_event_table(logs, fx_dims).count()
 
