@@ -32,41 +32,38 @@ def resolve_tokens(df: DataFrame, address_col: str, prefix: str, known_tokens: D
 
     Levels: fetched metadata (missing name -> 'Unknown') -> known-token table
     (missing name -> '') -> UNKNOWN / 18 / 'Unknown Token'. Joins are on the
-    lower-cased address; the original text is kept.
+    lower-cased address; the original text is kept. Runs on the pool
+    dimension (one row per pool), never per event. No broadcast hint: the
+    planner broadcasts a token table only when its size statistics are under
+    the threshold (exact for the built-in constant list).
     """
     key = f"__{prefix}_key"
-    out = df.withColumn(key, X.lower_key(address_col))
-    known = known_tokens.select(X.lower_key("address").alias(key),
-                                *[F.col(c).alias(f"__k_{c}") for c in TOKEN_FIELDS],
+    known = known_tokens.select(X.lower_key("address").alias(key), F.col("symbol").alias("__k_symbol"),
+                                F.col("decimals").alias("__k_decimals"), F.col("name").alias("__k_name"),
                                 F.lit(True).alias("__k_hit"))
-    # Runs on the pool dimension (one row per pool), never per event. No hint:
-    # the planner broadcasts the token table only when its size statistics are
-    # under the threshold (exact for the built-in constant list).
-    out = out.join(known, key, "left")
+    out = df.withColumn(key, X.lower_key(address_col)).join(known, key, "left")
+    k_hit = F.col("__k_hit").isNotNull()
+    symbol = F.when(k_hit, F.col("__k_symbol"))
+    decimals = F.when(k_hit, F.col("__k_decimals"))
+    name = F.when(k_hit, F.coalesce(F.col("__k_name"), F.lit("")))
+    extra = ["__k_symbol", "__k_decimals", "__k_name", "__k_hit"]
     if token_metadata is not None:
-        fetched = token_metadata.select(X.lower_key("address").alias(key),
-                                        *[F.col(c).alias(f"__m_{c}") for c in TOKEN_FIELDS],
+        fetched = token_metadata.select(X.lower_key("address").alias(key), F.col("symbol").alias("__m_symbol"),
+                                        F.col("decimals").alias("__m_decimals"), F.col("name").alias("__m_name"),
                                         F.lit(True).alias("__m_hit"))
         out = out.join(fetched, key, "left")
         m_hit = F.col("__m_hit").isNotNull()
-    else:
-        m_hit = F.lit(False)
-        for c in TOKEN_FIELDS:
-            out = out.withColumn(f"__m_{c}", F.lit(None))
-    k_hit = F.col("__k_hit").isNotNull()
-    symbol = F.when(m_hit, F.col("__m_symbol")).when(k_hit, F.col("__k_symbol")).otherwise(F.lit(dims.UNKNOWN_SYMBOL))
-    decimals = (F.when(m_hit, F.col("__m_decimals")).when(k_hit, F.col("__k_decimals"))
-                 .otherwise(F.lit(dims.UNKNOWN_DECIMALS))).cast("smallint")
-    name = (F.when(m_hit, F.coalesce(F.col("__m_name"), F.lit(dims.MISSING_NAME)))
-             .when(k_hit, F.coalesce(F.col("__k_name"), F.lit("")))
-             .otherwise(F.lit(dims.UNKNOWN_NAME)))
-    tmp = [key, "__k_hit"] + [f"__k_{c}" for c in TOKEN_FIELDS] + [f"__m_{c}" for c in TOKEN_FIELDS]
-    if token_metadata is not None:
-        tmp.append("__m_hit")
-    return (out.withColumn(f"{prefix}_symbol", symbol)
-               .withColumn(f"{prefix}_decimals", decimals)
-               .withColumn(f"{prefix}_name", name)
-               .drop(*tmp))
+        symbol = F.when(m_hit, F.col("__m_symbol")).otherwise(symbol)
+        decimals = F.when(m_hit, F.col("__m_decimals")).otherwise(decimals)
+        name = F.when(m_hit, F.coalesce(F.col("__m_name"), F.lit(dims.MISSING_NAME))).otherwise(name)
+        extra += ["__m_symbol", "__m_decimals", "__m_name", "__m_hit"]
+    keep = [c for c in df.columns]
+    return out.select(
+        *keep,
+        F.coalesce(symbol, F.lit(dims.UNKNOWN_SYMBOL)).alias(f"{prefix}_symbol"),
+        F.coalesce(decimals, F.lit(dims.UNKNOWN_DECIMALS)).cast("smallint").alias(f"{prefix}_decimals"),
+        F.coalesce(name, F.lit(dims.UNKNOWN_NAME)).alias(f"{prefix}_name"),
+    )
 
 
 def resolve_pool_tokens(pools: DataFrame, known_tokens: DataFrame, token_metadata: DataFrame | None = None) -> DataFrame:

@@ -102,12 +102,6 @@ def payload_columns(event_type: Column, version: Column) -> dict[str, Column]:
     }
 
 
-def event_data(event_type: Column, version: Column) -> Column:
-    """O-26/O-58g: payload as JSON text; absent fields omitted."""
-    cols = payload_columns(event_type, version)
-    return F.to_json(F.struct(*[cols[name].alias(name) for name in PAYLOAD_FIELDS]))
-
-
 def normalize(routed: DataFrame) -> DataFrame:
     """Standardised payload columns for routed logs (pool and factory), one pass."""
     version = version_column("protocol")

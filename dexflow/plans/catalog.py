@@ -111,9 +111,6 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
 # Normalisation subsets (O-13..O-22): one projection per (event type, version).
 # ---------------------------------------------------------------------------
 
-NORM_COMMON = ["id", "protocol", "version", "event_type", "pool_address", "block_number", "log_index",
-               "transaction_hash", "timestamp", "event_data"]
-
 # key -> (event_type, version or None, payload fields)
 NORM_SUBSETS = {
     "norm_v2_swap": ("swap", "v2", ["sender", "recipient", "amount0In", "amount1In", "amount0Out", "amount1Out"]),

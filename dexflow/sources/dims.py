@@ -6,8 +6,6 @@ is safe at any data scale because their size does not grow with the events.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

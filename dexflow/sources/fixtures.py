@@ -6,83 +6,72 @@ shuffle, so it scales with the events table and keeps its partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from .. import schemas
 from .tables import read_table
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def _hex_address(n: Column, width: int = 40) -> Column:
-    return F.concat(F.lit("0x"), F.lpad(n.cast("string"), width, "0"))
+# FX2 as Spark SQL expressions, step by step (FIXTURES.md). The epoch
+# milliseconds are taken from the TIMESTAMP_NTZ column directly.
+_FX2_B = [
+    "event_id", "user_id", "event_type AS raw_type", "user_id % 14 AS pool_no",
+    f"timestampdiff(MILLISECOND, {EPOCH_NTZ}, ts) AS ms",
+    "CAST(CAST(round(value * 100) AS BIGINT) AS STRING) AS cents",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+]
+_FX2_C = ["*", "CASE WHEN pool_no < 6 THEN 'uniswap-v2' WHEN pool_no < 10 THEN 'uniswap-v3' "
+               "ELSE 'pancakeswap-v2' END AS protocol"]
+_FX2_D = [
+    "*",
+    """CASE raw_type WHEN 'click' THEN 'Swap'
+         WHEN 'view' THEN CASE WHEN protocol = 'uniswap-v3' THEN 'Initialize' ELSE 'Sync' END
+         WHEN 'purchase' THEN 'Mint' WHEN 'error' THEN 'Burn'
+         ELSE CASE WHEN protocol = 'uniswap-v3' THEN 'PoolCreated' ELSE 'PairCreated' END END AS event_name""",
+    "concat('0x', lpad(CAST(user_id AS STRING), 40, '0')) AS who",
+    "concat(cents, repeat('0', 16)) AS amt",
+    "protocol = 'uniswap-v3' AS v3",
+    "event_id % 2 = 1 AS odd",
+]
+_FX2_OUT = [
+    "CAST(CASE WHEN protocol = 'pancakeswap-v2' THEN 56 ELSE 1 END AS INT) AS chain_id",
+    "protocol", "event_name",
+    "concat('0x', lpad(CAST(pool_no AS STRING), 40, '0')) AS pool_address",
+    "concat('0x', lpad(CAST(event_id div 2 AS STRING), 64, '0')) AS transaction_hash",
+    "CAST(18000000 + ms div 12000 - 142000000 AS BIGINT) AS block_number",
+    "CAST(event_id % 2 AS BIGINT) AS log_index",
+    "CAST(ms AS BIGINT) AS observed_at_ms",
+    "CASE WHEN event_name IN ('Swap', 'Mint') OR (event_name = 'Burn' AND NOT v3) THEN who END AS sender",
+    "CASE WHEN event_name = 'Swap' OR (event_name = 'Burn' AND NOT v3) THEN who END AS recipient",
+    "CASE WHEN event_name IN ('Mint', 'Burn') AND v3 THEN who END AS owner",
+    "CASE WHEN event_name = 'Swap' AND NOT v3 THEN CASE WHEN odd THEN '0' ELSE amt END END AS amount0_in",
+    "CASE WHEN event_name = 'Swap' AND NOT v3 THEN CASE WHEN odd THEN amt ELSE '0' END END AS amount1_in",
+    "CASE WHEN event_name = 'Swap' AND NOT v3 THEN CASE WHEN odd THEN amt ELSE '0' END END AS amount0_out",
+    "CASE WHEN event_name = 'Swap' AND NOT v3 THEN CASE WHEN odd THEN '0' ELSE amt END END AS amount1_out",
+    """CASE WHEN event_name IN ('Mint', 'Burn') THEN amt
+         WHEN event_name = 'Swap' AND v3 THEN CASE WHEN odd THEN concat('-', amt) ELSE amt END END AS amount0""",
+    """CASE WHEN event_name IN ('Mint', 'Burn') THEN amt
+         WHEN event_name = 'Swap' AND v3 THEN CASE WHEN odd THEN amt ELSE concat('-', amt) END END AS amount1""",
+    "CASE WHEN event_name IN ('Mint', 'Burn') AND v3 THEN concat(cents, repeat('0', 34)) END AS liquidity",
+    "CASE WHEN event_name = 'Sync' THEN concat(cents, repeat('0', 26)) END AS reserve0",
+    "CASE WHEN event_name = 'Sync' THEN concat(cents, repeat('0', 27)) END AS reserve1",
+    "CASE WHEN v3 AND event_name IN ('Swap', 'Initialize') THEN concat(cents, repeat('0', 42)) END AS sqrt_price_x96",
+    "CAST(CASE WHEN v3 AND event_name IN ('Swap', 'Initialize') THEN k - 50 END AS INT) AS tick",
+    "CAST(CASE WHEN v3 AND event_name IN ('Mint', 'Burn') THEN -60 * k END AS INT) AS tick_lower",
+    "CAST(CASE WHEN v3 AND event_name IN ('Mint', 'Burn') THEN 60 * k END AS INT) AS tick_upper",
+    "CASE WHEN raw_type = 'signup' THEN concat('0x', lpad(CAST(100 + pool_no % 5 AS STRING), 40, '0')) END AS token0_address",
+    "CASE WHEN raw_type = 'signup' THEN concat('0x', lpad(CAST(105 + pool_no % 3 AS STRING), 40, '0')) END AS token1_address",
+    """CAST(CASE WHEN event_name = 'PoolCreated' THEN CASE k % 3 WHEN 0 THEN 500 WHEN 1 THEN 3000 ELSE 10000 END END
+         AS INT) AS fee""",
+    """CAST(CASE WHEN event_name = 'PoolCreated' THEN CASE k % 3 WHEN 0 THEN 10 WHEN 1 THEN 60 ELSE 200 END END
+         AS INT) AS tick_spacing""",
+]
 
 
 def decoded_logs_from_events(events: DataFrame) -> DataFrame:
-    """FX2: map each ``events`` row to one decoded contract log."""
-    pool_no = F.col("user_id") % 14
-    b = events.select(
-        "event_id", "user_id", F.col("event_type").alias("raw_type"), pool_no.alias("pool_no"),
-        F.expr(f"timestampdiff(MILLISECOND, {EPOCH_NTZ}, ts)").alias("ms"),
-        F.round(F.col("value") * 100).cast("bigint").cast("string").alias("cents"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-    protocol = (F.when(F.col("pool_no") < 6, "uniswap-v2")
-                .when(F.col("pool_no") < 10, "uniswap-v3").otherwise("pancakeswap-v2"))
-    c = b.withColumn("protocol", protocol)
-    v3 = F.col("protocol") == "uniswap-v3"
-    raw = F.col("raw_type")
-    event_name = (F.when(raw == "click", "Swap")
-                  .when(raw == "view", F.when(v3, "Initialize").otherwise("Sync"))
-                  .when(raw == "purchase", "Mint")
-                  .when(raw == "error", "Burn")
-                  .otherwise(F.when(v3, "PoolCreated").otherwise("PairCreated")))
-    d = c.select(
-        "*", event_name.alias("event_name"),
-        _hex_address(F.col("user_id")).alias("who"),
-        F.concat("cents", F.lit("0" * 16)).alias("amt"),
-        v3.alias("v3"), (F.col("event_id") % 2 == 1).alias("odd"),
-    )
-    en, v3c, odd, amt, cents, k = (F.col(x) for x in ("event_name", "v3", "odd", "amt", "cents", "k"))
-    swap, mint, burn = en == "Swap", en == "Mint", en == "Burn"
-    v2_swap = swap & ~v3c
-    mint_burn = en.isin("Mint", "Burn")
-    price_events = v3c & en.isin("Swap", "Initialize")
-    fee_case = F.when(k % 3 == 0, 500).when(k % 3 == 1, 3000).otherwise(10000)
-    spacing_case = F.when(k % 3 == 0, 10).when(k % 3 == 1, 60).otherwise(200)
-    signup = F.col("raw_type") == "signup"
-    out = d.select(
-        F.when(F.col("protocol") == "pancakeswap-v2", 56).otherwise(1).alias("chain_id"),
-        "protocol", "event_name",
-        _hex_address(F.col("pool_no")).alias("pool_address"),
-        _hex_address(F.expr("event_id div 2"), 64).alias("transaction_hash"),
-        (F.lit(18000000) + F.expr("ms div 12000") - F.lit(142000000)).alias("block_number"),
-        (F.col("event_id") % 2).alias("log_index"),
-        F.col("ms").alias("observed_at_ms"),
-        F.when(en.isin("Swap", "Mint") | (burn & ~v3c), F.col("who")).alias("sender"),
-        F.when(swap | (burn & ~v3c), F.col("who")).alias("recipient"),
-        F.when(mint_burn & v3c, F.col("who")).alias("owner"),
-        F.when(v2_swap, F.when(odd, "0").otherwise(amt)).alias("amount0_in"),
-        F.when(v2_swap, F.when(odd, amt).otherwise("0")).alias("amount1_in"),
-        F.when(v2_swap, F.when(odd, amt).otherwise("0")).alias("amount0_out"),
-        F.when(v2_swap, F.when(odd, "0").otherwise(amt)).alias("amount1_out"),
-        F.when(mint_burn, amt).when(swap & v3c, F.when(odd, F.concat(F.lit("-"), amt)).otherwise(amt)).alias("amount0"),
-        F.when(mint_burn, amt).when(swap & v3c, F.when(odd, amt).otherwise(F.concat(F.lit("-"), amt))).alias("amount1"),
-        F.when(mint_burn & v3c, F.concat(cents, F.lit("0" * 34))).alias("liquidity"),
-        F.when(en == "Sync", F.concat(cents, F.lit("0" * 26))).alias("reserve0"),
-        F.when(en == "Sync", F.concat(cents, F.lit("0" * 27))).alias("reserve1"),
-        F.when(price_events, F.concat(cents, F.lit("0" * 42))).alias("sqrt_price_x96"),
-        F.when(price_events, k - 50).alias("tick"),
-        F.when(v3c & mint_burn, F.lit(-60) * k).alias("tick_lower"),
-        F.when(v3c & mint_burn, F.lit(60) * k).alias("tick_upper"),
-        F.when(signup, _hex_address(F.lit(100) + F.col("pool_no") % 5)).alias("token0_address"),
-        F.when(signup, _hex_address(F.lit(105) + F.col("pool_no") % 3)).alias("token1_address"),
-        F.when(en == "PoolCreated", fee_case).alias("fee"),
-        F.when(en == "PoolCreated", spacing_case).alias("tick_spacing"),
-    )
-    # Pin the declared types (int vs bigint literals differ by expression).
-    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.DECODED_LOGS.fields])
+    """FX2: map each ``events`` row to one decoded contract log (one narrow projection chain)."""
+    return events.selectExpr(*_FX2_B).selectExpr(*_FX2_C).selectExpr(*_FX2_D).selectExpr(*_FX2_OUT)
 
 
 def decoded_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,23 +80,21 @@ def decoded_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pool_seed(spark: SparkSession) -> DataFrame:
     """FX3 seed pools: 13 pools; pool 12 has an unresolved token0, pool 13 is not a seed."""
-    ids = F.col("id")
-    df = spark.range(13).select(
-        F.when(ids < 6, "uniswap-v2").when(ids < 10, "uniswap-v3").otherwise("pancakeswap-v2").alias("protocol"),
-        F.when(ids < 10, 1).otherwise(56).alias("chain_id"),
-        _hex_address(ids).alias("pool_address"),
-        F.when(ids == 12, F.lit(None)).otherwise(_hex_address(F.lit(100) + ids % 5)).alias("token0_address"),
-        _hex_address(F.lit(105) + ids % 3).alias("token1_address"),
+    return spark.range(13).selectExpr(
+        "CASE WHEN id < 6 THEN 'uniswap-v2' WHEN id < 10 THEN 'uniswap-v3' ELSE 'pancakeswap-v2' END AS protocol",
+        "CAST(CASE WHEN id < 10 THEN 1 ELSE 56 END AS INT) AS chain_id",
+        "concat('0x', lpad(CAST(id AS STRING), 40, '0')) AS pool_address",
+        "CASE WHEN id = 12 THEN CAST(NULL AS STRING) "
+        "ELSE concat('0x', lpad(CAST(100 + id % 5 AS STRING), 40, '0')) END AS token0_address",
+        "concat('0x', lpad(CAST(105 + id % 3 AS STRING), 40, '0')) AS token1_address",
     )
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.POOL_SEED.fields])
 
 
 def token_known(spark: SparkSession) -> DataFrame:
     """FX3 known tokens: 100..106; 104 has no name, 107 is absent."""
-    ids = F.col("id")
-    return spark.range(7).select(
-        _hex_address(F.lit(100) + ids).alias("address"),
-        F.concat(F.lit("TK"), ids.cast("string")).alias("symbol"),
-        F.when(ids % 3 == 0, 18).when(ids % 3 == 1, 6).otherwise(8).cast("smallint").alias("decimals"),
-        F.when(ids == 4, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Token "), ids.cast("string"))).alias("name"),
+    return spark.range(7).selectExpr(
+        "concat('0x', lpad(CAST(100 + id AS STRING), 40, '0')) AS address",
+        "concat('TK', CAST(id AS STRING)) AS symbol",
+        "CAST(CASE id % 3 WHEN 0 THEN 18 WHEN 1 THEN 6 ELSE 8 END AS SMALLINT) AS decimals",
+        "CASE WHEN id = 4 THEN CAST(NULL AS STRING) ELSE concat('Token ', CAST(id AS STRING)) END AS name",
     )
