@@ -89,3 +89,15 @@ def test_kafka_style_json_values(spark):
                                   '"tick": "-12", "block_number": 7, "amount0": "-' + "9" * 77 + '"}',)], "value string")
     r = tables.decoded_logs_from_json(raw).first()
     assert (r.chain_id, r.tick, r.block_number, r.amount0) == (1, -12, 7, "-" + "9" * 77)
+
+
+def test_compact_month_removes_cross_batch_duplicates(spark, tmp_path):
+    ev = catalog.context(spark, SF_SMALL).events
+    path, out = str(tmp_path / "t"), str(tmp_path / "c")
+    store.write_events(ev, path, batch_id=0, shuffle=False)
+    store.write_events(ev.limit(25), path, batch_id=1, shuffle=False)   # re-delivered rows in a later batch
+    month = spark.read.parquet(path).select("event_month").first()[0]
+    store.compact_month(spark, path, month, out)
+    back = spark.read.parquet(out)
+    assert back.count() == ev.filter(F.col("event_month") == month).count()
+    assert back.select("id").distinct().count() == back.count()
