@@ -167,7 +167,8 @@ ENRICHED_POOL_COLUMNS = ["pool_key", "protocol", "version", "pool_address", "is_
 
 
 def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool = True,
-                 max_broadcast_rows: int | None = None, passthrough: Column | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, passthrough: Column | None = None,
+                 write_dimension: bool = True) -> DataFrame:
     """Every pool event carries its pool's protocol, version and tokens (inner join).
 
     With ``discovery`` a discovered pool's events count only after its
@@ -179,7 +180,7 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
     kinds of rows (no union of two scans).
     """
     dim = pool_dim.select(*[F.col(c).alias(f"p_{c}") for c in ENRICHED_POOL_COLUMNS])
-    dim = materialize_dimension(dim, max_broadcast_rows)
+    dim = materialize_dimension(dim, max_broadcast_rows, write=write_dimension)
     ev = pool_events.withColumn("__pk", X.lower_key("pool_address"))
     cond = ev["__pk"] == dim["p_pool_key"]
     if discovery:

@@ -134,12 +134,15 @@ def flatten_all(joined: DataFrame, created_at: Column | None = None) -> DataFram
 
 
 def build_event_table(logs: DataFrame, d: Dimensions, created_at: Column | None = None,
-                      discovery: bool = True, pool_dim: DataFrame | None = None) -> DataFrame:
+                      discovery: bool = True, pool_dim: DataFrame | None = None,
+                      write_dimension: bool = True) -> DataFrame:
     """O-36: pool events and factory events as one table with the stored schema.
 
     One scan of the logs: factory rows ride through the pool join unmatched.
+    ``write_dimension=False`` when ``pool_dim`` already reads a written table.
     """
     normalized = routed_logs(logs)
     dim = pool_dim if pool_dim is not None else pool_dimension(normalized, d)
-    joined = enrich.attach_pools(normalized, dim, discovery=discovery, passthrough=F.col("kind") == "factory")
+    joined = enrich.attach_pools(normalized, dim, discovery=discovery, passthrough=F.col("kind") == "factory",
+                                 write_dimension=write_dimension)
     return flatten_all(joined, created_at)

@@ -26,14 +26,21 @@ def max_broadcast_rows(spark) -> int:
     return int(spark.conf.get("dexflow.maxBroadcastRows", str(DEFAULT_MAX_BROADCAST_ROWS)))
 
 
-def materialize_dimension(dim: DataFrame, limit: int | None = None) -> DataFrame:
-    """Cut the dimension's lineage and broadcast it only when its counted size is under ``limit``."""
+def materialize_dimension(dim: DataFrame, limit: int | None = None, write: bool = True) -> DataFrame:
+    """Broadcast ``dim`` only when its counted size is under ``limit``.
+
+    With ``write`` the dimension is first written as a table (cuts its lineage,
+    so the count and the join read the same rows). Without it (the dimension
+    already comes from a written table, as in the streaming pool registry)
+    only the count runs.
+    """
     spark = dim.sparkSession
     if dim.isStreaming:
         return dim
     limit = max_broadcast_rows(spark) if limit is None else limit
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-dims/{uuid.uuid4().hex}"
-    dim.write.parquet(path)
-    dim = spark.read.parquet(path)
+    if write:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-dims/{uuid.uuid4().hex}"
+        dim.write.parquet(path)
+        dim = spark.read.parquet(path)
     rows = dim.count()
     return F.broadcast(dim) if rows <= limit else dim

@@ -130,7 +130,9 @@ class EventIngestJob:
                                                   self.dims.known_tokens, self.dims.token_metadata)
 
             # (3) idempotent event write, duplicates inside the batch removed.
-            rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim).dropDuplicates(["id"])
+            # The registry is a written table: size-check it, no extra copy per batch.
+            rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim, write_dimension=False)
+            rows = rows.dropDuplicates(["id"])
             store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True, shuffle=False)
             stored = self.spark.read.parquet(self.events_path).filter(F.col("batch_id") == batch_id)
 
