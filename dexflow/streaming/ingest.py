@@ -114,60 +114,72 @@ class EventIngestJob:
     # -- one micro-batch -----------------------------------------------------
     def process_batch(self, logs: DataFrame, batch_id: int) -> None:
         logs = logs.persist()
+        rows = None
         try:
             normalized = E.routed_logs(logs)
-            factory = E.factory_events(normalized)
             prior = self._read_pools()
-            prior = prior.filter(F.col("batch_id") < batch_id) if prior is not None else None
+            prior = prior.filter(F.col("batch_id") < batch_id).drop("batch_id") if prior is not None else None
 
             # (2) discovery: first creation per pool in this batch, unless already registered.
-            fresh = enrich.first_pools(factory)
+            fresh = enrich.first_pools(E.factory_events(normalized))
             if prior is not None:
                 fresh = fresh.join(prior.select("pool_key"), "pool_key", "left_anti")
+            fresh = fresh.persist()
             self._write_pools(fresh, batch_id)
-            registered = self.known_pools(up_to_batch=batch_id)
+            registered = fresh.select(*enrich.POOL_COLUMNS)
+            if prior is not None:
+                registered = registered.unionByName(prior.select(*enrich.POOL_COLUMNS))
             pool_dim = enrich.resolve_pool_tokens(registered.withColumn("version", E.normalize.version_column("protocol")),
                                                   self.dims.known_tokens, self.dims.token_metadata)
 
-            # (3) idempotent event write, duplicates inside the batch removed.
-            # The registry is a written table: size-check it, no extra copy per batch.
+            # (3) idempotent event write, duplicates inside the batch removed. The
+            # registry comes from a written table: size-checked, no copy per batch.
             rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim, write_dimension=False)
-            rows = rows.dropDuplicates(["id"])
+            rows = rows.dropDuplicates(["id"]).persist()
             store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True, shuffle=False)
-            stored = self.spark.read.parquet(self.events_path).filter(F.col("batch_id") == batch_id)
+            fresh.unpersist()
 
-            # (4) rollup partials, (5) feed, (6) callbacks.
-            self._write_rollup(stored, batch_id)
-            self._write_feed(stored, batch_id)
+            # (4) rollup partials, (5) feed, (6) callbacks, all from this batch's rows
+            # (the growing event table is never listed or re-read here).
+            self._write_rollup(rows, batch_id)
+            self._write_feed(rows, batch_id)
+            factory_types = ["pair_created", "pool_created"]
             for fn in self.on_event:
-                fn(stored.filter(~F.col("event_type").isin("pair_created", "pool_created")), batch_id)
+                fn(rows.filter(~F.col("event_type").isin(factory_types)), batch_id)
             for fn in self.on_factory:
-                fn(stored.filter(F.col("event_type").isin("pair_created", "pool_created")), batch_id)
+                fn(rows.filter(F.col("event_type").isin(factory_types)), batch_id)
         finally:
+            if rows is not None:
+                rows.unpersist()
             logs.unpersist()
 
-    def _write_rollup(self, stored: DataFrame, batch_id: int) -> None:
-        partial = (stored.withColumn("hour", X.hour_start("timestamp"))
-                         .groupBy("protocol", "event_type", "hour")
-                         .agg(F.count(F.lit(1)).alias("event_count"),
-                              F.hll_sketch_agg("pool_address", ROLLUP_SKETCH_LG_K).alias("pools_sketch"),
-                              F.hll_sketch_agg("transaction_hash", ROLLUP_SKETCH_LG_K).alias("tx_sketch")))
+    def _write_rollup(self, rows: DataFrame, batch_id: int) -> None:
+        partial = (rows.withColumn("hour", X.hour_start("timestamp"))
+                       .groupBy("protocol", "event_type", "hour")
+                       .agg(F.count(F.lit(1)).alias("event_count"),
+                            F.hll_sketch_agg("pool_address", ROLLUP_SKETCH_LG_K).alias("pools_sketch"),
+                            F.hll_sketch_agg("transaction_hash", ROLLUP_SKETCH_LG_K).alias("tx_sketch")))
         (partial.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id").parquet(self.rollup_path))
 
-    def _write_feed(self, stored: DataFrame, batch_id: int) -> None:
-        candidates = stored.select(*reports.FEED_COLUMNS)
-        prev = self._try_read(self.feed_path)
+    def _feed_slot(self, batch_id: int) -> str:
+        return f"{self.feed_path}/slot_{batch_id % 2}"
+
+    def _write_feed(self, rows: DataFrame, batch_id: int) -> None:
+        """Newest ``feed_size`` events so far: this batch's rows merged with the previous batch's feed.
+
+        Two slots alternate: batch B reads slot (B-1) % 2 and overwrites slot B % 2,
+        so the read never lists more than one small folder and a replay of B
+        still finds B-1's feed.
+        """
+        candidates = rows.select(*reports.FEED_COLUMNS)
+        prev = self._try_read(self._feed_slot(batch_id - 1))
         if prev is not None:
-            prev = prev.filter(F.col("batch_id") < batch_id)
-            last = prev.agg(F.max("batch_id")).first()[0]
-            if last is not None:
-                candidates = candidates.unionByName(prev.filter(F.col("batch_id") == last).select(*reports.FEED_COLUMNS))
+            candidates = candidates.unionByName(prev.filter(F.col("batch_id") < batch_id).select(*reports.FEED_COLUMNS))
         top = candidates.orderBy(*reports.newest_first()).limit(self.feed_size)
         (top.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).coalesce(1)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(self.feed_path))
+            .write.mode("overwrite").parquet(self._feed_slot(batch_id)))
 
     # -- running ---------------------------------------------------------------
     def start(self, logs_stream: DataFrame, trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
@@ -189,9 +201,11 @@ class EventIngestJob:
         return read_rollup(self.spark, self.rollup_path)
 
     def read_feed(self) -> DataFrame:
-        df = self.spark.read.parquet(self.feed_path)
-        last = df.agg(F.max("batch_id")).first()[0]
-        return df.filter(F.col("batch_id") == last).drop("batch_id")
+        """The feed of the newest batch (the slot whose rows carry the higher batch id)."""
+        slots = [df for df in (self._try_read(f"{self.feed_path}/slot_{i}") for i in (0, 1)) if df is not None]
+        df = slots[0] if len(slots) == 1 else slots[0].unionByName(slots[1])
+        newest = df.agg(F.max("batch_id").alias("b"))
+        return df.join(newest, df["batch_id"] == newest["b"], "left_semi").drop("batch_id")
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
