@@ -87,7 +87,7 @@ def feed_last(events: DataFrame, n: int = 20) -> DataFrame:
     """O-56: the live feed, the ``n`` newest events overall, with a rank (1 = newest)."""
     top = events.orderBy(*newest_first()).limit(n)
     return top.select(*FEED_COLUMNS).withColumn(
-        "feed_rank", F.row_number().over(Window.orderBy(*newest_first())))
+        "feed_rank", F.row_number().over(Window.orderBy(*newest_first())).cast("bigint"))
 
 
 def feed_panels(events: DataFrame, per_protocol: int = 5, feed_size: int = 20) -> DataFrame:
@@ -97,4 +97,4 @@ def feed_panels(events: DataFrame, per_protocol: int = 5, feed_size: int = 20) -
     """
     feed = events.orderBy(*newest_first()).limit(feed_size).select(*FEED_COLUMNS)
     w = Window.partitionBy("protocol").orderBy(*newest_first())
-    return feed.withColumn("panel_rank", F.row_number().over(w)).filter(F.col("panel_rank") <= per_protocol)
+    return feed.withColumn("panel_rank", F.row_number().over(w).cast("bigint")).filter(F.col("panel_rank") <= per_protocol)

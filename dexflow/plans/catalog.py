@@ -429,9 +429,9 @@ _STORED = O.EVENT_COLUMNS_NO_CREATED
 _DISTINCT3 = ("count(*) AS event_count, count(DISTINCT pool_address) AS unique_pools, "
               "count(DISTINCT transaction_hash) AS unique_transactions")
 _SUMMARY_AGGS = ("count(*) AS total_rows, count(DISTINCT id) AS unique_ids, min(timestamp) AS min_timestamp, "
-                 "max(timestamp) AS max_timestamp, count_if(protocol = 'uniswap-v2') AS uniswap_v2_events, "
-                 "count_if(protocol = 'uniswap-v3') AS uniswap_v3_events, "
-                 "count_if(protocol = 'pancakeswap-v2') AS pancakeswap_v2_events")
+                 "max(timestamp) AS max_timestamp, CAST(count_if(protocol = 'uniswap-v2') AS BIGINT) AS uniswap_v2_events, "
+                 "CAST(count_if(protocol = 'uniswap-v3') AS BIGINT) AS uniswap_v3_events, "
+                 "CAST(count_if(protocol = 'pancakeswap-v2') AS BIGINT) AS pancakeswap_v2_events")
 _PER_CHAIN_NOTE = "-- per-chain builds give the same rows as one build (pool addresses are chain-specific)"
 _COPIES = f"""copies AS (
   SELECT 'primary' AS copy, id, protocol, timestamp FROM protocol_events

@@ -11,6 +11,9 @@ from conftest import SF_SMALL
 
 TABLES = ["events", "region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+
 
 def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
@@ -45,8 +48,11 @@ def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
     res = duck.execute(entry.oracle_sql()[name])
+    d_types = {d[0]: str(d[1]) for d in res.description}
     d_cols, d_rows = _canon([d[0] for d in res.description], res.fetchall())
     assert s_cols == d_cols
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert s_types == d_types
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
 
