@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 
 
+def sql_over_events(events: DataFrame, query: str, view: str = "protocol_events") -> DataFrame:
+    """O-05: run SQL text over the event table registered as a temporary view."""
+    events.createOrReplaceTempView(view)
+    return events.sparkSession.sql(query)
+
+
 def _distinct(col: str, approx: bool):
     return F.approx_count_distinct(col) if approx else F.count_distinct(col)
 

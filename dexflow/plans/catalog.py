@@ -201,8 +201,22 @@ def q_scan_events(spark, sf_dir):
 
 def q_adhoc_sql(spark, sf_dir):
     """O-05: the documented ad-hoc query, as SQL text over a temp view of the event table."""
-    context(spark, sf_dir).events.createOrReplaceTempView("protocol_events")
-    return spark.sql("SELECT protocol, count(*) AS event_count FROM protocol_events GROUP BY protocol")
+    return reports.sql_over_events(context(spark, sf_dir).events,
+                                   "SELECT protocol, count(*) AS event_count FROM protocol_events GROUP BY protocol")
+
+
+def q_adhoc_count(spark, sf_dir):
+    """O-05: ``SELECT count() FROM protocol_events``."""
+    return reports.sql_over_events(context(spark, sf_dir).events, "SELECT count(*) AS count FROM protocol_events")
+
+
+ADHOC_NEWEST = ("SELECT id, protocol, event_type, timestamp, block_number, pool_address FROM protocol_events "
+                "ORDER BY timestamp DESC, id DESC LIMIT 10")
+
+
+def q_adhoc_newest10(spark, sf_dir):
+    """O-05: ``SELECT * FROM protocol_events ORDER BY timestamp DESC LIMIT 10`` (id breaks ties)."""
+    return reports.sql_over_events(context(spark, sf_dir).events, ADHOC_NEWEST)
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -472,6 +486,8 @@ ORACLE: dict[str, str] = {
         "FROM pool_dim)"),
     "scan_events": O.with_base(f"SELECT {', '.join(SCAN_COLUMNS)} FROM protocol_events"),
     "adhoc_sql": O.with_base("SELECT protocol, count(*) AS event_count FROM protocol_events GROUP BY protocol"),
+    "adhoc_count": O.with_base("SELECT count(*) AS count FROM protocol_events"),
+    "adhoc_newest10": O.with_base(ADHOC_NEWEST),
     "lookup_pool": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE pool_address = '{LOOKUP_POOL}'"),
     "lookup_tx": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE transaction_hash = '{LOOKUP_TX}'"),
     "lookup_token": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE token0_address = '{LOOKUP_TOKEN0}' "
@@ -569,6 +585,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_tokens": q_dim_tokens,
     "scan_events": q_scan_events,
     "adhoc_sql": q_adhoc_sql,
+    "adhoc_count": q_adhoc_count,
+    "adhoc_newest10": q_adhoc_newest10,
     "lookup_pool": q_lookup_pool,
     "lookup_tx": q_lookup_tx,
     "lookup_token": q_lookup_token,

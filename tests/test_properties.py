@@ -47,3 +47,16 @@ def test_approx_stats_close_to_exact(spark):
     for k, r in exact.items():
         assert r.event_count == approx[k].event_count
         assert abs(r.unique_transactions - approx[k].unique_transactions) <= 0.1 * r.unique_transactions
+
+
+def test_copy_verdict_checksum(spark):
+    from dexflow.operators import checks
+    ev = catalog.context(spark, SF_MID).events.select("id", "protocol", "timestamp")
+    same = checks.copy_verdict({"a": ev, "b": ev}).first()
+    assert same.consistent and same.same_ids and same.total_rows == 2 * ev.count()
+    one_id = ev.select("id").first().id
+    changed = ev.withColumn("id", F.when(F.col("id") == one_id, F.lit("other")).otherwise(F.col("id")))
+    diff = checks.copy_verdict({"a": ev, "b": changed}).first()
+    assert diff.consistent and not diff.same_ids          # same counts, different ids
+    short = checks.copy_verdict({"a": ev, "b": ev.filter(F.col("id") != one_id)}).first()
+    assert not short.consistent and not short.same_ids
