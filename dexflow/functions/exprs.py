@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.dims import FACTORY_ID_PREFIX
+
 def epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -94,7 +96,7 @@ def event_id(tx: str | Column, log_index: str | Column, event_type: str | Column
 
 def factory_event_id(tx: str | Column, log_index: str | Column, event_type: str | Column) -> Column:
     """``factory-{tx}-{logIndex}-{type}`` (deterministic, unlike a clock-based id)."""
-    return F.concat_ws("-", F.lit("factory"), col(tx), col(log_index).cast("string"), col(event_type))
+    return F.concat_ws("-", F.lit(FACTORY_ID_PREFIX), col(tx), col(log_index).cast("string"), col(event_type))
 
 
 def fee_tier_label(fee: str | Column) -> Column:

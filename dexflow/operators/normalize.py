@@ -7,17 +7,16 @@ it runs unchanged inside a streaming micro-batch.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..sources import dims
 
-# Payload fields in JSON key order. Each event type fills a subset; NULL
-# fields are left out of the JSON text (like undefined keys).
-PAYLOAD_FIELDS = ["type", "sender", "recipient", "owner", "amount0In", "amount1In", "amount0Out", "amount1Out",
-                  "amount0", "amount1", "liquidity", "reserve0", "reserve1", "sqrtPriceX96", "tick",
-                  "tickLower", "tickUpper", "fee", "tickSpacing"]
+# Payload fields in JSON key order; NULL fields are left out of the JSON text.
+PAYLOAD_FIELDS = dims.PAYLOAD_KEYS
 
 
 # -- O-24 metadata fallback -------------------------------------------------
@@ -123,16 +122,27 @@ def normalized_event_data() -> Column:
 
 # -- O-28 payload reader ----------------------------------------------------
 
-def event_summary(event_type: str | Column = "event_type", data: str | Column = "event_data",
-                  symbol0: str | Column = "token0_symbol", symbol1: str | Column = "token1_symbol") -> Column:
-    """One-line text of a stored event, read back from its JSON payload."""
-    t, d, s0, s1 = X.col(event_type), X.col(data), X.col(symbol0), X.col(symbol1)
+def _fill(template: str, values: dict[str, Column]) -> Column:
+    """A text template with {name} slots as one concat of literals and columns."""
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2 == 0:
+            if piece:
+                parts.append(F.lit(piece))
+        else:
+            parts.append(values[piece])
+    return F.concat(*parts)
 
-    def get(key: str) -> Column:
-        return F.coalesce(F.get_json_object(d, f"$.{key}"), F.lit("undefined"))
 
-    return (F.when(t == "swap", F.concat_ws(" ", F.lit("Swap:"), get("amount0In"), s0, F.lit("→"), get("amount1Out"), s1))
-             .when(t == "mint", F.concat_ws(" ", F.lit("Liquidity Added:"), get("amount0"), s0, F.lit("+"), get("amount1"), s1))
-             .when(t == "burn", F.concat_ws(" ", F.lit("Liquidity Removed:"), get("amount0"), s0, F.lit("+"), get("amount1"), s1))
-             .when(t == "sync", F.concat_ws(" ", F.lit("Reserves Updated:"), get("reserve0"), s0, F.lit("/"), get("reserve1"), s1))
-             .when(t == "initialize", F.concat(F.lit("Pool Initialized: Price "), get("sqrtPriceX96"), F.lit(", Tick "), get("tick"))))
+def event_summary(event_type: str | Column = "event_type", data: str | Column = "event_data",
+                  symbol0: str | Column = "token0_symbol", symbol1: str | Column = "token1_symbol") -> Column:
+    """One-line text of a stored event, read back from its JSON payload (a missing value prints 'undefined')."""
+    t, d = X.col(event_type), X.col(data)
+    slots: dict[str, Column] = {"symbol0": X.col(symbol0), "symbol1": X.col(symbol1)}
+    for key in PAYLOAD_FIELDS:
+        slots[key] = F.coalesce(F.get_json_object(d, f"$.{key}"), F.lit("undefined"))
+    expr = None
+    for kind, template in dims.SUMMARY_FORMATS.items():
+        text = _fill(template, slots)
+        expr = F.when(t == kind, text) if expr is None else expr.when(t == kind, text)
+    return expr

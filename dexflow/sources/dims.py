@@ -90,6 +90,25 @@ KNOWN_TOKENS = [
     ("0x7130d2A12B9BCbFAe4f2634d864A1Ee1Ce3Ead9c", "BTCB", 18, "Bitcoin BEP2"),
 ]
 
+# Keys of the stored JSON payload (event_data), in output order. Each event
+# type fills a subset; absent keys are left out.
+PAYLOAD_KEYS = ["type", "sender", "recipient", "owner", "amount0In", "amount1In", "amount0Out", "amount1Out",
+                "amount0", "amount1", "liquidity", "reserve0", "reserve1", "sqrtPriceX96", "tick",
+                "tickLower", "tickUpper", "fee", "tickSpacing"]
+
+# One-line text of a stored event per type: {key} is a payload value,
+# {symbol0}/{symbol1} the token symbols.
+SUMMARY_FORMATS = {
+    "swap": "Swap: {amount0In} {symbol0} → {amount1Out} {symbol1}",
+    "mint": "Liquidity Added: {amount0} {symbol0} + {amount1} {symbol1}",
+    "burn": "Liquidity Removed: {amount0} {symbol0} + {amount1} {symbol1}",
+    "sync": "Reserves Updated: {reserve0} {symbol0} / {reserve1} {symbol1}",
+    "initialize": "Pool Initialized: Price {sqrtPriceX96}, Tick {tick}",
+}
+
+# Id prefix of pool-creation rows.
+FACTORY_ID_PREFIX = "factory"
+
 # Token details when no source knows the token.
 UNKNOWN_SYMBOL = "UNKNOWN"
 UNKNOWN_DECIMALS = 18
