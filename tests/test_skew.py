@@ -59,3 +59,23 @@ def test_first_creation_is_a_combining_aggregate(spark):
     text = plan_text(enrich.first_pools(E.factory_events(n)))
     assert text.count("HashAggregate") >= 2 or text.count("ObjectHashAggregate") >= 2 or "SortAggregate" in text
     assert "Window" not in text
+
+
+def test_event_table_same_rows_with_shuffle_join(spark, fx_dims):
+    """The one-pass build (factory rows passing through a left join) gives the same rows broadcast or not."""
+    from dexflow import schemas
+    logs = fixtures.decoded_logs(spark, SF_MID)
+    cols = [c for c in schemas.EVENT_COLUMNS if c != "created_at"]
+    small = E.build_event_table(logs, fx_dims).select(*cols)
+    spark.conf.set("dexflow.maxBroadcastRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = E.build_event_table(logs, fx_dims).select(*cols)
+        text = plan_text(big)
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+        assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+    finally:
+        spark.conf.unset("dexflow.maxBroadcastRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
