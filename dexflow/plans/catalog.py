@@ -446,10 +446,10 @@ _SUMMARY_AGGS = ("count(*) AS total_rows, count(DISTINCT id) AS unique_ids, min(
                  "max(timestamp) AS max_timestamp, CAST(count_if(protocol = 'uniswap-v2') AS BIGINT) AS uniswap_v2_events, "
                  "CAST(count_if(protocol = 'uniswap-v3') AS BIGINT) AS uniswap_v3_events, "
                  "CAST(count_if(protocol = 'pancakeswap-v2') AS BIGINT) AS pancakeswap_v2_events")
-_PER_CHAIN_NOTE = "-- per-chain builds give the same rows as one build (pool addresses are chain-specific)"
+# The per-chain builds give the same rows as one build (pool addresses are chain-specific).
 _COPIES = f"""copies AS (
   SELECT 'primary' AS copy, id, protocol, timestamp FROM protocol_events
-  UNION ALL SELECT 'by_chain', id, protocol, timestamp FROM protocol_events {_PER_CHAIN_NOTE}
+  UNION ALL SELECT 'by_chain', id, protocol, timestamp FROM protocol_events
   UNION ALL SELECT 'deduped', id, protocol, timestamp FROM (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp) AS rn FROM protocol_events) WHERE rn = 1)"""
 _FEED = f"feed AS (SELECT id, protocol, event_type, block_number, timestamp, pool_address, token0_symbol, token1_symbol, event_data FROM protocol_events ORDER BY {_NEWEST} LIMIT 20)"
