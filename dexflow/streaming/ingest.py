@@ -25,14 +25,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import schemas
 from ..functions import exprs as X
-from ..operators import enrich, reports
+from ..operators import enrich, normalize, reports
 from ..plans import events as E
 from ..sources import store
 
@@ -129,8 +129,9 @@ class EventIngestJob:
             registered = fresh.select(*enrich.POOL_COLUMNS)
             if prior is not None:
                 registered = registered.unionByName(prior.select(*enrich.POOL_COLUMNS))
-            pool_dim = enrich.resolve_pool_tokens(registered.withColumn("version", E.normalize.version_column("protocol")),
-                                                  self.dims.known_tokens, self.dims.token_metadata)
+            pool_dim = enrich.resolve_pool_tokens(
+                registered.withColumn("version", normalize.version_column("protocol")),
+                self.dims.known_tokens, self.dims.token_metadata)
 
             # (3) idempotent event write, duplicates inside the batch removed. The
             # registry comes from a written table: size-checked, no copy per batch.
