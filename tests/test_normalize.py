@@ -159,3 +159,24 @@ def test_no_python_udf_in_normalisation(spark):
     rows = logs(spark, v3_swap("1", "-1"))
     plan = plan_text(E.routed_logs(rows).select(N.normalized_event_data()))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_signed_split_property(spark):
+    """For any signed integer text: exactly one side is non-zero (or both '0'), digits unchanged."""
+    from hypothesis import given, settings, strategies as st
+
+    values = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.integers(min_value=-(2 ** 255), max_value=2 ** 255 - 1))
+    def collect(v):
+        values.append(str(v))
+
+    collect()
+    df = spark.createDataFrame([(v,) for v in values], "a string")
+    out = df.select("a", X.signed_in("a").alias("i"), X.signed_out("a").alias("o")).collect()
+    for r in out:
+        if r.a.startswith("-"):
+            assert (r.i, r.o) == ("0", r.a[1:])
+        else:
+            assert (r.i, r.o) == (r.a, "0")
