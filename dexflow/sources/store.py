@@ -117,3 +117,14 @@ def write_rollup(rollup: DataFrame, path: str, mode: str = "overwrite") -> None:
     df = rollup.withColumn("event_month", (F.year("hour") * 100 + F.month("hour")).cast("int"))
     (df.repartition("event_month").sortWithinPartitions("protocol", "event_type", "hour")
        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("event_month").parquet(path))
+
+
+def create_if_missing(spark: SparkSession, path: str) -> DataFrame:
+    """O-07 "create if not exists": an empty table with the stored schema when ``path`` holds none."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        empty = spark.createDataFrame([], schemas.PROTOCOL_EVENTS)
+        empty.write.mode("append").partitionBy("event_month").parquet(path)
+        return spark.read.schema(schemas.PROTOCOL_EVENTS).parquet(path)

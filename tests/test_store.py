@@ -101,3 +101,12 @@ def test_compact_month_removes_cross_batch_duplicates(spark, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == ev.filter(F.col("event_month") == month).count()
     assert back.select("id").distinct().count() == back.count()
+
+
+def test_create_if_missing(spark, tmp_path):
+    path = str(tmp_path / "fresh")
+    t = store.create_if_missing(spark, path)
+    assert t.count() == 0 and set(t.columns) == set(schemas.EVENT_COLUMNS)
+    ev = catalog.context(spark, SF_SMALL).events
+    store.write_events(ev, path)
+    assert store.create_if_missing(spark, path).count() == ev.count()   # existing table left as is
