@@ -99,7 +99,8 @@ POOL_COLUMNS = ["pool_key", "pool_address", "protocol", "chain_id", "token0_addr
 
 
 def _factory_candidates(factory: DataFrame) -> DataFrame:
-    return factory.select(
+    # A creation log without a pool address cannot register a pool.
+    return factory.filter(F.col("pool_address").isNotNull()).select(
         X.lower_key("pool_address").alias("pool_key"), "pool_address", "protocol",
         F.col("chain").alias("chain_id") if "chain" in factory.columns else F.col("chain_id"),
         "token0_address", "token1_address", "fee", "tick_spacing",

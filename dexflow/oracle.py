@@ -169,7 +169,7 @@ pool_candidates AS (
   UNION ALL
   SELECT lower(pool_address), pool_address, protocol, chain, token0_address, token1_address, fee, tick_spacing, FALSE,
          block_number, log_index, transaction_hash
-  FROM norm WHERE kind = 'factory'),
+  FROM norm WHERE kind = 'factory' AND pool_address IS NOT NULL),
 known_pools AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY pool_key
