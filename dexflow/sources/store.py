@@ -80,7 +80,7 @@ def read_events(spark: SparkSession, path: str, columns: list[str] | None = None
     if start_ms is not None:
         df = df.filter((F.col("timestamp") >= start_ms) & (F.col("event_month") >= month_of(start_ms)))
     if end_ms is not None:
-        df = df.filter((F.col("timestamp") < end_ms) & (F.col("event_month") <= month_of(end_ms)))
+        df = df.filter((F.col("timestamp") < end_ms) & (F.col("event_month") <= month_of(end_ms - 1)))
     if columns:
         df = df.select(*columns)
     return df
