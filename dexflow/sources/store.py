@@ -26,22 +26,24 @@ def bloom_options(columns=LOOKUP_COLUMNS, expected_ndv: int = 1_000_000) -> dict
     return opts
 
 
-def layout(events: DataFrame, partitions: int | None = None, buckets: int = 64) -> DataFrame:
+def layout(events: DataFrame, partitions: int | None = None, buckets: int | None = None) -> DataFrame:
     """O-07: spread each month over many tasks, sort each task's rows by the table's sort key.
 
-    Rows are hash-partitioned on (event_month, bucket) with the bucket taken
-    from the transaction hash, so a large month or a hot pool is split over up
-    to ``buckets`` tasks without the extra sampling pass a range partitioner
-    would run over the whole upstream plan. Each task sorts by (month, protocol,
-    event_type, block, tx, log index): row groups hold narrow runs of the key
-    and their min/max statistics skip data.
+    Rows are rebalanced on (event_month, bucket), the bucket taken from the
+    transaction hash. There are as many buckets as shuffle partitions, so even
+    a single huge month (or a hot pool) spreads over every task without the
+    sampling pass a range partitioner would run over the whole upstream plan.
+    With AQE the REBALANCE hint also merges small partitions and splits skewed
+    ones to the advisory size, so files come out evenly sized. Each task sorts
+    by (month, protocol, event_type, block, tx, log index): row groups hold
+    narrow runs of the key and their min/max statistics skip data.
     """
     keys = ["event_month", *schemas.SORT_KEY]
-    bucket = F.pmod(F.xxhash64("transaction_hash"), F.lit(buckets))
-    df = events.withColumn("__bucket", bucket)
-    df = df.repartition(partitions, "event_month", "__bucket") if partitions else \
-        df.repartition("event_month", "__bucket")
-    return df.drop("__bucket").sortWithinPartitions(*keys)
+    if buckets is None:
+        buckets = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    df = events.withColumn("__bucket", F.pmod(F.xxhash64("transaction_hash"), F.lit(int(buckets))))
+    args = ([int(partitions)] if partitions else []) + ["event_month", "__bucket"]
+    return df.hint("rebalance", *args).drop("__bucket").sortWithinPartitions(*keys)
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool = True,
