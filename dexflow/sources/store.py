@@ -130,3 +130,16 @@ def create_if_missing(spark: SparkSession, path: str) -> DataFrame:
         empty = spark.createDataFrame([], schemas.PROTOCOL_EVENTS)
         empty.write.mode("append").partitionBy("event_month").parquet(path)
         return spark.read.schema(schemas.PROTOCOL_EVENTS).parquet(path)
+
+
+def refresh_rollup(spark: SparkSession, events_path: str, rollup_path: str, months: list[int]) -> None:
+    """Rebuild the exact hourly rollup of ``months`` from the event table (late-data repair).
+
+    Reads only those month partitions (partition pruning), removes ids
+    delivered twice, and replaces only those months of the rollup table.
+    """
+    from ..operators.reports import hourly_rollup
+    events = spark.read.parquet(events_path).filter(F.col("event_month").isin([int(m) for m in months]))
+    if "batch_id" in events.columns:
+        events = events.drop("batch_id")
+    write_rollup(hourly_rollup(dedupe_by_id(events)), rollup_path)
