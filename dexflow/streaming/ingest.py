@@ -46,9 +46,10 @@ class EventIngestJob:
 
     def __init__(self, spark: SparkSession, root: str, dims: E.Dimensions,
                  on_event: list[Handler] | None = None, on_factory: list[Handler] | None = None,
-                 feed_size: int = 20):
+                 feed_size: int = 20, checkpoint_location: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._checkpoint = checkpoint_location
         self.dims = dims
         self.on_event = list(on_event or [])
         self.on_factory = list(on_factory or [])
@@ -73,7 +74,7 @@ class EventIngestJob:
 
     @property
     def checkpoint_path(self) -> str:
-        return f"{self.root}/_checkpoint"
+        return self._checkpoint or f"{self.root}/_checkpoint"
 
     # -- pool table ----------------------------------------------------------
     def _try_read(self, path: str) -> DataFrame | None:
