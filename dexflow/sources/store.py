@@ -40,7 +40,8 @@ def layout(events: DataFrame, partitions: int | None = None, buckets: int | None
     """
     keys = ["event_month", *schemas.SORT_KEY]
     if buckets is None:
-        buckets = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        configured = events.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+        buckets = partitions or (int(configured) if str(configured).isdigit() else 200)
     df = events.withColumn("__bucket", F.pmod(F.xxhash64("transaction_hash"), F.lit(int(buckets))))
     args = ([int(partitions)] if partitions else []) + ["event_month", "__bucket"]
     return df.hint("rebalance", *args).drop("__bucket").sortWithinPartitions(*keys)
