@@ -424,6 +424,12 @@ def q_stream_hourly_counts(spark, sf_dir):
     return context(spark, sf_dir).stream_job.read_rollup().select("protocol", "event_type", "hour", "event_count")
 
 
+def q_stream_stats(spark, sf_dir):
+    """O-44 from the stream's rollup partials (no raw scan): exact counts and first/last event times."""
+    return context(spark, sf_dir).stream_job.read_stats().select(
+        "protocol", "event_type", "event_count", "first_event", "last_event")
+
+
 def q_stream_feed(spark, sf_dir):
     """O-63: the live feed kept by the stream (newest 20)."""
     return context(spark, sf_dir).stream_job.read_feed().select(*reports.FEED_COLUMNS)
@@ -569,6 +575,9 @@ ORACLE: dict[str, str] = {
         f"SELECT protocol, event_type, {O.hour_of('timestamp')} AS hour, count(*) AS event_count FROM protocol_events "
         f"GROUP BY protocol, event_type, hour"),
     "stream_feed": O.with_base("SELECT * FROM feed", _FEED),
+    "stream_stats": O.with_base(
+        f"SELECT protocol, event_type, count(*) AS event_count, {O.ms_to_seconds('min(timestamp)')} AS first_event, "
+        f"{O.ms_to_seconds('max(timestamp)')} AS last_event FROM protocol_events GROUP BY protocol, event_type"),
     "stream_known_pools": O.with_base("SELECT " + ", ".join(KNOWN_POOL_COLUMNS) + " FROM pool_dim"),
     "feed_panels": O.with_base(
         f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY protocol ORDER BY {_NEWEST}) AS panel_rank FROM feed) "
@@ -629,5 +638,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_events": q_stream_events,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_feed": q_stream_feed,
+    "stream_stats": q_stream_stats,
     "stream_known_pools": q_stream_known_pools,
 }

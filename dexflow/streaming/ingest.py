@@ -159,6 +159,7 @@ class EventIngestJob:
         partial = (rows.withColumn("hour", X.hour_start("timestamp"))
                        .groupBy("protocol", "event_type", "hour")
                        .agg(F.count(F.lit(1)).alias("event_count"),
+                            F.min("timestamp").alias("first_ms"), F.max("timestamp").alias("last_ms"),
                             F.hll_sketch_agg("pool_address", ROLLUP_SKETCH_LG_K).alias("pools_sketch"),
                             F.hll_sketch_agg("transaction_hash", ROLLUP_SKETCH_LG_K).alias("tx_sketch")))
         (partial.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
@@ -202,6 +203,9 @@ class EventIngestJob:
     def read_rollup(self) -> DataFrame:
         return read_rollup(self.spark, self.rollup_path)
 
+    def read_stats(self, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+        return read_stats(self.spark, self.rollup_path, start_ms, end_ms)
+
     def read_feed(self) -> DataFrame:
         """The feed of the newest batch (the slot whose rows carry the higher batch id)."""
         slots = [df for df in (self._try_read(f"{self.feed_path}/slot_{i}") for i in (0, 1)) if df is not None]
@@ -219,6 +223,28 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
                       F.hll_sketch_estimate(F.hll_union_agg("tx_sketch")).alias("unique_transactions")))
 
 
+def read_stats(spark: SparkSession, path: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """O-44 from the rollup partials: per (protocol, event_type) stats over whole hours, without a raw scan.
+
+    Counts and first/last times are exact; distinct pools and transactions
+    come from merged HLL sketches (estimates). The partials table grows with
+    groups x hours x batches, not with events, so this answers over any range
+    of a 100 TB table by reading a small table. ``start_ms``/``end_ms`` select
+    whole hours (an hour is kept when it starts inside the range).
+    """
+    parts = spark.read.parquet(path)
+    if start_ms is not None:
+        parts = parts.filter(F.col("hour") >= X.seconds_time(F.lit(int(start_ms))))
+    if end_ms is not None:
+        parts = parts.filter(F.col("hour") < X.seconds_time(F.lit(int(end_ms))))
+    return (parts.groupBy("protocol", "event_type")
+                 .agg(F.sum("event_count").alias("event_count"),
+                      F.hll_sketch_estimate(F.hll_union_agg("pools_sketch")).alias("unique_pools"),
+                      F.hll_sketch_estimate(F.hll_union_agg("tx_sketch")).alias("unique_transactions"),
+                      X.seconds_time(F.min("first_ms")).alias("first_event"),
+                      X.seconds_time(F.max("last_ms")).alias("last_event")))
+
+
 def stream_hourly_rollup(events_stream: DataFrame, delay: str = "2 hours") -> DataFrame:
     """O-62 as a native streaming aggregate over a stream of stored events.
 

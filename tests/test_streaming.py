@@ -51,6 +51,16 @@ def test_stream_equals_batch(spark, fx_dims, tmp_path):
         assert merged[k].event_count == r.event_count
         assert abs(merged[k].unique_transactions - r.unique_transactions) <= max(1, 0.05 * r.unique_transactions)
 
+    # stats from the partials: counts and first/last exact, distincts close
+    stats = {(r.protocol, r.event_type): r for r in job.read_stats().collect()}
+    exact_stats = {(r.protocol, r.event_type): r for r in reports.event_stats(batch).collect()}
+    assert stats.keys() == exact_stats.keys()
+    for k, r in exact_stats.items():
+        s = stats[k]
+        assert (s.event_count, s.first_event, s.last_event) == (r.event_count, r.first_event, r.last_event)
+        assert abs(s.unique_transactions - r.unique_transactions) <= max(1, 0.05 * r.unique_transactions)
+        assert abs(s.unique_pools - r.unique_pools) <= 1
+
     # feed: newest 20 overall
     feed = sorted(r.id for r in job.read_feed().collect())
     assert feed == sorted(r.id for r in reports.feed_last(batch).collect())
