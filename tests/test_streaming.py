@@ -61,6 +61,15 @@ def test_stream_equals_batch(spark, fx_dims, tmp_path):
         assert abs(s.unique_transactions - r.unique_transactions) <= max(1, 0.05 * r.unique_transactions)
         assert abs(s.unique_pools - r.unique_pools) <= 1
 
+    # a time range selects whole hours
+    lo, hi = batch.agg(F.min("timestamp"), F.max("timestamp")).first()
+    start = (lo // 3_600_000 + 24) * 3_600_000
+    end = start + 48 * 3_600_000
+    ranged = {(r.protocol, r.event_type): r.event_count for r in job.read_stats(start, end).collect()}
+    window = batch.filter((F.col("timestamp") >= start) & (F.col("timestamp") < end))
+    expected = {(r.protocol, r.event_type): r.event_count for r in reports.event_stats(window).collect()}
+    assert ranged == expected and 0 < sum(expected.values()) < batch.count()
+
     # feed: newest 20 overall
     feed = sorted(r.id for r in job.read_feed().collect())
     assert feed == sorted(r.id for r in reports.feed_last(batch).collect())
