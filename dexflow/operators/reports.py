@@ -92,6 +92,7 @@ FEED_COLUMNS = ["id", "protocol", "event_type", "block_number", "timestamp", "po
 def feed_last(events: DataFrame, n: int = 20) -> DataFrame:
     """O-56: the live feed, the ``n`` newest events overall, with a rank (1 = newest)."""
     top = events.orderBy(*newest_first()).limit(n)
+    # The window has no partition key on purpose: it only ever sees the n rows left by the limit.
     return top.select(*FEED_COLUMNS).withColumn(
         "feed_rank", F.row_number().over(Window.orderBy(*newest_first())).cast("bigint"))
 
