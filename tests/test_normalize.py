@@ -180,3 +180,25 @@ def test_signed_split_property(spark):
             assert (r.i, r.o) == ("0", r.a[1:])
         else:
             assert (r.i, r.o) == (r.a, "0")
+
+
+def test_fee_tier_label_property(spark):
+    """fee / 10000 printed like a JavaScript number (shortest text, no trailing '.0') plus '%'."""
+    from hypothesis import given, settings, strategies as st
+
+    fees = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(min_value=0, max_value=10 ** 7))
+    def collect(v):
+        fees.append(v)
+
+    collect()
+
+    def js_like(fee: int) -> str:
+        text = repr(fee / 10000)
+        return (text[:-2] if text.endswith(".0") else text) + "%"
+
+    df = spark.createDataFrame([(f,) for f in fees], "fee int")
+    for r in df.select("fee", X.fee_tier_label("fee").alias("label")).collect():
+        assert r.label == js_like(r.fee), r.fee
