@@ -40,6 +40,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._stream_job = None
 
     @cached_property
     def logs(self) -> DataFrame:
@@ -74,11 +75,17 @@ class Context:
         """The whole event table in one pass over the logs."""
         return E.build_event_table(self.logs, self.dims, pool_dim=self.pool_dim)
 
-    @cached_property
+    @property
     def stream_job(self):
-        """The streaming ingest run over the decoded logs (staged as time-ordered files) to completion."""
-        from ..streaming.replay import run_file_stream
-        return run_file_stream(self.spark, self.logs, self.dims)
+        """The streaming ingest run over the decoded logs (staged as time-ordered files) to completion.
+
+        Run once per context; the lock keeps concurrent callers from starting two streams.
+        """
+        with _STREAM_LOCK:
+            if self._stream_job is None:
+                from ..streaming.replay import run_file_stream
+                self._stream_job = run_file_stream(self.spark, self.logs, self.dims)
+            return self._stream_job
 
     def per_chain_events(self) -> DataFrame:
         """O-37: each chain's feed normalised on its own, then one union."""
@@ -96,6 +103,7 @@ class Context:
 
 _CACHE: dict[tuple[int, str], Context] = {}
 _LOCK = threading.Lock()
+_STREAM_LOCK = threading.Lock()
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
