@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chats, minhash, shards, substring, urls, warc
+from . import chats, embeddings, minhash, shards, substring, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), 0.9)
+
+
 #: The rules of the query.
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
              ("net/es/", "block"), ("net/fr/", "block")]
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_shards": op4_shards,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_url_filter": op6_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_minhash": op10_minhash,
@@ -76,6 +81,17 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
                sha256(coalesce(array_to_string(list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)), ' '), '')) AS kept_sha256
         FROM d LEFT JOIN r USING (row)""",
+    "op5_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        u AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        l AS (SELECT p.vec_id AS a, q.vec_id AS b FROM u p JOIN u q ON p.vec_id <> q.vec_id
+              WHERE list_cosine_similarity(p.e, q.e) >= 0.9),
+        r AS (SELECT vec_id AS v, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.v),
+        n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a),
+        m AS (SELECT v AS vec_id, min(c) AS component_id FROM r GROUP BY v)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM v LEFT JOIN n USING (vec_id) JOIN m USING (vec_id)""",
     "op6_url_filter": r"""
         WITH r(rule, rule_host, rule_path, verdict) AS (VALUES
             ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
@@ -108,8 +124,8 @@ ORACLE: dict[str, str] = {
         x AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
                 ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s FROM d),
         n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id),
-        i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
-        l AS (SELECT i.a, i.b FROM i JOIN n p ON p.doc_id = i.a JOIN n q ON q.doc_id = i.b WHERE 100 * both >= 80 * (p.n + q.n - both)),
+        i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT i.a, i.b FROM i JOIN n p ON p.doc_id = i.a JOIN n q ON q.doc_id = i.b WHERE 100 * common >= 80 * (p.n + q.n - common)),
         e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
         r AS (SELECT doc_id AS v, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.v)
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
