@@ -49,7 +49,7 @@ def anchors(docs: DataFrame, width: int, places: bool) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(find, schema)
 
 
-def near_anchors(places: np.ndarray, n: int, reach: int) -> np.ndarray:
+def near_anchors(places: np.ndarray, n: int, reach: int = PERIOD) -> np.ndarray:
     """Which of ``n`` windows have an anchor at one of their first ``reach`` places."""
     d = np.zeros(n + 1, np.int32)
     np.add.at(d, np.clip(places - reach + 1, 0, n), 1)
@@ -57,8 +57,74 @@ def near_anchors(places: np.ndarray, n: int, reach: int) -> np.ndarray:
     return np.cumsum(d[:n]) > 0
 
 
+EXTENDED = pa.schema([("doc_id", pa.int64()), ("covered", pa.list_(pa.int32())), ("asked", pa.list_(pa.int64()))])
+
+
+def extend(doc: int, place: np.ndarray, anchor: np.ndarray, source: np.ndarray, source_place: np.ndarray,
+           proves: np.ndarray, width: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the anchors of a document prove, and what they leave open.
+
+    Anchors (sorted by place) that overlap or touch and lie at the same distance in one
+    smaller document extend each other: all words from the first to the end of the last are equal
+    there. A run of ``length`` words or more is covered: start and end, one after the other.
+    A window near an anchor that a smaller document has, and not inside a covered run, stays
+    open; ``asked`` are the anchors of open windows.
+    """
+    earlier = source < doc
+    place, anchor, source, source_place, proves = (x[earlier] for x in (place, anchor, source, source_place, proves))
+    if not len(place):
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    new = np.ones(len(place) + 1, bool)
+    new[1:-1] = ((source[1:] != source[:-1]) | (np.diff(place) != np.diff(source_place)) | (np.diff(place) > width) | ~proves[1:])
+    at = np.flatnonzero(new)
+    start, end = place[at[:-1]], place[at[1:] - 1] + width
+    long = (end - start >= length) & proves[at[:-1]]
+    start, end = start[long], end[long]
+    n = int(place[-1]) + 1
+    open_ = near_anchors(place, n)
+    inside = np.zeros(n + 1, np.int32)
+    np.add.at(inside, np.minimum(start, n), 1)
+    np.add.at(inside, np.minimum(end - length + 1, n), -1)
+    open_ &= np.cumsum(inside[:n]) == 0
+    c = np.concatenate([[0], np.cumsum(open_)])
+    asks = c[place + 1] - c[np.maximum(place - PERIOD + 1, 0)] > 0
+    return np.stack([start, end], 1).reshape(-1).astype(np.int32), anchor[asks]
+
+
+def extensions(shared: DataFrame, repeated: DataFrame, width: int, length: int) -> DataFrame:
+    """``doc_id, covered, asked`` of every document with an anchor that a smaller one has.
+
+    A doc_id that several rows have (``repeated``) may stand for different texts, whose places
+    do not go together: its anchors prove nothing.
+    """
+    many = repeated.select(F.col("doc_id").alias("source"), F.lit(True).alias("many"))
+    first = saved(shared.groupBy("anchor").agg(F.min(F.struct("doc_id", "place")).alias("s"))
+                  .select("anchor", F.col("s.doc_id").alias("source"), F.col("s.place").alias("source_place"))
+                  .join(many, "source", "left").withColumn("proves", F.col("many").isNull()).drop("many"), "sources")
+    per = shared.join(first, "anchor").groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("place", "anchor", "source", "source_place", "proves"))).alias("found"))
+    per = per.join(many.withColumnRenamed("source", "doc_id"), "doc_id", "left")
+
+    def run(batches):
+        for batch in batches:
+            docs, found, many = batch.column("doc_id").to_pylist(), batch.column("found"), batch.column("many")
+            out = []
+            for i, doc in enumerate(docs):
+                x = found[i].values
+                fields = [x.field(k).to_numpy(zero_copy_only=False) for k in ("place", "anchor", "source", "source_place", "proves")]
+                if many[i].is_valid:
+                    fields[-1] = np.zeros(len(x), bool)
+                c, q = extend(doc, *fields, width, length)
+                if len(c) or len(q):
+                    out.append((doc, c, q))
+            if out:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), EXTENDED)], schema=EXTENDED)
+
+    return per.mapInArrow(run, "doc_id long, covered array<int>, asked array<long>")
+
+
 def windows(texts: DataFrame, length: int) -> DataFrame:
-    """``w1, w2, row, doc_id, place``: hash (128 bits) of every window that an anchor makes a candidate."""
+    """``w1, w2, row, doc_id, place``: hash (128 bits) of every window that has an asked anchor."""
 
     def find(batches):
         by_byte, by_word = words.Rolling(words.BYTE_STEP), words.Rolling(words.WORD_STEP)
@@ -73,7 +139,7 @@ def windows(texts: DataFrame, length: int) -> DataFrame:
             for i in range(batch.num_rows):
                 n = w.first[i + 1] - w.first[i] - length + 1
                 if n > 0 and places[i].is_valid:
-                    at = np.flatnonzero(near_anchors(places[i].values.to_numpy(), n, PERIOD))
+                    at = np.flatnonzero(near_anchors(places[i].values.to_numpy(), n))
                     chosen.append(at)
                     texts_.append(np.full(len(at), i))
             if chosen:
@@ -87,29 +153,33 @@ def windows(texts: DataFrame, length: int) -> DataFrame:
 
 
 def kept_words(texts: DataFrame, length: int) -> DataFrame:
-    """Texts without the words that the windows starting at ``starts`` cover."""
+    """Texts without the words of the ``covered`` runs and of the windows starting at ``starts``."""
 
     def cut(batches):
         for batch, data, offsets in words.pieces(batches):
             w = words.Words(data, offsets)
-            starts, out = batch.column("starts"), []
+            starts, covered, out = batch.column("starts"), batch.column("covered"), []
             raw = data.tobytes()
             for i in range(batch.num_rows):
                 n = int(w.first[i + 1] - w.first[i])
                 parts = raw[offsets[i]:offsets[i + 1]].split()
-                removed = np.zeros(n, bool)
+                d = np.zeros(n + 1, np.int32)
                 if starts[i].is_valid:
                     at = starts[i].values.to_numpy()
-                    d = np.zeros(n + 1, np.int32)
                     np.add.at(d, at, 1)
-                    np.add.at(d, np.minimum(at + length, n), -1)
-                    removed = np.cumsum(d[:n]) > 0
-                    parts = [parts[k] for k in np.flatnonzero(~removed)]
-                out.append((n, int(removed.sum()), hashlib.sha256(b" ".join(parts)).hexdigest()))
+                    np.add.at(d, at + length, -1)
+                if covered[i].is_valid:
+                    runs = covered[i].values.to_numpy()
+                    np.add.at(d, runs[::2], 1)
+                    np.add.at(d, runs[1::2], -1)
+                kept = np.cumsum(d[:n]) == 0
+                if not kept.all():
+                    parts = [parts[k] for k in np.flatnonzero(kept)]
+                out.append((n, n - len(parts), hashlib.sha256(b" ".join(parts)).hexdigest()))
             yield pa.record_batch([batch.column("doc_id"), *[pa.array(c, f.type) for c, f in zip(zip(*out), list(RESULT_ARROW)[1:])]],
                                   schema=RESULT_ARROW)
 
-    return texts.select("doc_id", "text", "starts").mapInArrow(cut, RESULT)
+    return texts.select("doc_id", "text", "covered", "starts").mapInArrow(cut, RESULT)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -119,8 +189,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     window whose words also start in a document with a smaller doc_id, judged on
     the input. Two equal windows have, at one shift below ``PERIOD``, cover places in
     both texts, and the anchor of ``length - PERIOD + 1`` words from there lies inside
-    the window. So only windows with an anchor that occurs twice are hashed in full
-    (128 bits), and the smallest doc_id of each decides.
+    the window. Anchors that occur once are dropped. The others extend to runs shared with
+    the smallest document that has them (see ``extend``), which settles
+    most words; windows that this leaves open, and those of other documents
+    around the same anchors, are hashed in full (128 bits), and the smallest doc_id of
+    each decides.
 
     A null text has no words; a null doc_id is left as it is and repeats nothing. Rows with the
     same doc_id are one document that does not repeat itself, each with its own
@@ -133,15 +206,19 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     twice = saved(anchors(docs, width, False).groupBy("anchor").agg(F.count("*").alias("n"))
                   .where("n > 1").select("anchor"), "anchors")
-    places = saved(anchors(docs, width, True).join(twice, "anchor").groupBy("doc_id")
-                   .agg(F.sort_array(F.collect_list("place")).alias("places")), "places")
-    texts = saved(docs.join(places, "doc_id", "left").withColumn("row", F.monotonically_increasing_id()), "texts")
-    found = saved(windows(texts, length), "windows")
+    shared = saved(anchors(docs, width, True).join(twice, "anchor"), "shared")
+    repeated = saved(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    runs = saved(extensions(shared, repeated, width, length), "runs")
+    asked = saved(runs.select(F.explode("asked").alias("anchor")).distinct(), "asked")
+    places = shared.join(asked, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    known = saved(runs.select("doc_id", "covered").join(places, "doc_id", "outer"), "known")
+    texts = saved(docs.join(known, "doc_id", "left").withColumn("row", F.monotonically_increasing_id()), "texts")
+    found = windows(texts, length)
     least = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     least = saved(least.where("least < most").select("w1", "w2", "least"), "repeated")
     starts = (found.join(least, ["w1", "w2"]).where("least < doc_id").groupBy("row")
               .agg(F.collect_list("place").alias("starts")))
     starts = saved(starts, "starts")
-    hit = texts.where("places is not null").select("row", "doc_id", "text").join(starts, "row", "left")
-    miss = texts.where("places is null").select("doc_id", "text", F.lit(None).cast("array<int>").alias("starts"))
-    return kept_words(hit.select("doc_id", "text", "starts").unionByName(miss), length)
+    hit = texts.where("places is not null").select("row", "doc_id", "text", "covered").join(starts, "row", "left")
+    miss = texts.where("places is null").select("doc_id", "text", "covered", F.lit(None).cast("array<int>").alias("starts"))
+    return kept_words(hit.select("doc_id", "text", "covered", "starts").unionByName(miss), length)
