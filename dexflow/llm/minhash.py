@@ -21,8 +21,8 @@ VALUES = CHUNKS * SLOTS
 #: The most values that may differ: 19 of 40. Sets of similarity 0.8 differ in 8 on average,
 #: and in more than 19 with a probability of 6 in a million.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Documents of a bucket that one task compares with as many others.
-BLOCK = 512
+#: Members of a group that a task holds to compare others with.
+BLOCK = 256
 
 SIGNATURE = "doc_id long, n long, f1 long, f2 long, signature binary"
 SIGNATURE_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("signature", pa.binary())])
@@ -83,12 +83,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, SIGNATURE)
 
 
-KEYS = pa.schema([("key", pa.int64()), ("cid", pa.int64())])
-
-
-def chunk_keys(classes: DataFrame) -> DataFrame:
-    """``key, cid``: for each chunk of a signature, a key for every choice of ``ERRORS`` values left out."""
+def chunk_keys(classes: DataFrame, *carried: str) -> DataFrame:
+    """``key, cid`` and the ``carried`` columns (longs): for each chunk of a signature, a key for every choice of ``ERRORS`` values left out."""
     choices = list(itertools.combinations(range(SLOTS), SLOTS - ERRORS))
+    names = ["cid", *carried]
 
     def split(batches):
         for batch in batches:
@@ -102,10 +100,10 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
                 for c in choice:
                     x = x * U(65536) + values[:, :, c]
                 keys[:, :, k] = words.mix(words.mix(x) ^ words.mix((np.arange(CHUNKS, dtype=U) * U(len(choices)) + U(k + 1)) << U(20)))
-            cid = np.repeat(batch.column("cid").to_numpy(), CHUNKS * len(choices))
-            yield pa.record_batch([pa.array(keys.reshape(-1).view(np.int64)), pa.array(cid)], schema=KEYS)
+            others = [pa.array(np.repeat(batch.column(c).to_numpy(), CHUNKS * len(choices))) for c in names]
+            yield pa.record_batch([pa.array(keys.reshape(-1).view(np.int64)), *others], names=["key", *names])
 
-    return classes.select("cid", "signature").mapInArrow(split, "key long, cid long")
+    return classes.select(*names, "signature").mapInArrow(split, "key long, " + ", ".join(f"{c} long" for c in names))
 
 
 def close(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
@@ -131,12 +129,8 @@ def signature_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(keep, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets have 100 * intersection >= percent * union.
-
-    Only texts of classes in a pair are kept from the shuffle of the texts, each once.
-    """
-    pairs = saved(pairs, "pairs")
+def class_texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``cid, text`` of the classes in ``pairs``. Only these texts leave the shuffle of all texts."""
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     wanted = saved(classes.join(wanted, "cid").select("cid", F.col("first").alias("doc_id"), "f1", "f2"), "wanted")
 
@@ -148,7 +142,11 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             yield batch.select(["cid", "text"]).take(pa.array(rows, pa.int64()))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    texts = saved(texts.select("cid", "text", "f1", "f2").mapInArrow(of_class, "cid long, text string"), "class-texts")
+    return saved(texts.select("cid", "text", "f1", "f2").mapInArrow(of_class, "cid long, text string"), "class-texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full shingle sets have 100 * intersection >= percent * union."""
 
     def check(batches):
         shingles, held = Shingles(width), {}
@@ -173,59 +171,112 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     return saved(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long"), "links")
 
 
-CROSS_IN = "key long, i int, j int, cid long, component long, n long, block int, signature binary"
+def homes(rows: DataFrame, group: str, label: str) -> DataFrame:
+    """``group, home, blocks`` of the groups with several labels: home is the most common one."""
+    sizes = rows.groupBy(group, label).agg(F.count("*").alias("size"))
+    found = sizes.groupBy(group).agg(F.max_by(label, F.struct("size", label)).alias("home"), F.sum("size").alias("rows"), F.count("*").alias("labels"))
+    return saved(found.where("labels > 1").select(group, "home", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "homes")
 
 
-def across(classes: DataFrame, percent: int) -> DataFrame:
-    """Close pairs ``a, b`` of different ``component`` that share a key.
+def dealt(rows: DataFrame, homes_: DataFrame, group: str, label: str) -> DataFrame:
+    """``rows`` of groups with several labels, dealt so that rows of different labels meet.
 
-    Buckets whose classes are one component already need nothing. Others are compared in
-    tiles of BLOCK by BLOCK classes, so that a bucket of any size is many tasks, and
-    only close pairs leave a tile.
+    Every row is a member of one of its group's blocks. Rows outside the home label
+    (``out``) also ask in every block; rows of the home label never need each other. So a
+    group of any size is many tasks, and what is copied are the rows outside its home.
     """
-    keys = chunk_keys(classes).join(classes.select("cid", "component"), "cid")
-    mixed = keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    mixed = saved(mixed.where("low < high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = chunk_keys(classes).join(mixed, "key")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").cast("int").alias("i"), F.greatest("block", "other").cast("int").alias("j"), "block", "cid")
-    rows = rows.join(classes.select("cid", "component", "n", "signature"), "cid")
-    rows = rows.select("key", "i", "j", "cid", "component", "n", "block", "signature")
-
-    def compare(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        cid, comp, n, block = (group.column(c).to_numpy() for c in ("cid", "component", "n", "block"))
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, VALUES)
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = [(np.empty(0, int), np.empty(0, int))]
-        for k in left:
-            r = right[(comp[right] != comp[k]) & ((i != j) | (right > k))]
-            r = r[close(sig[k], sig[r], n[k], n[r], percent)]
-            out.append((np.full(len(r), k), r))
-        a, b = (cid[np.concatenate(x).astype(int)] for x in zip(*out))
-        return np.minimum(a, b), np.maximum(a, b)
-
-    def tiles(batches):
-        """Batches are sorted by (key, i, j); the last tile of a batch may go on in the next."""
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            table = table.combine_chunks()
-            if not table.num_rows:
-                continue
-            k, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
-            cut = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            bounds = [0, *cut]
-            pairs = [compare(table.slice(s, e - s)) for s, e in zip(bounds, bounds[1:])]
-            rest = table.slice(bounds[-1])
-            if pairs:
-                yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*pairs)], schema=PAIR)
-        if rest is not None:
-            yield pa.record_batch([pa.array(x) for x in compare(rest)], schema=PAIR)
+    rows = rows.join(homes_, group)
+    rows = rows.withColumns({"out": F.col(label) != F.col("home"), "own": F.pmod(F.xxhash64("cid", group), F.col("blocks")).cast("int")})
+    place = F.expr("""concat(array(struct(own as block, false as asks)), case when out
+        then transform(sequence(0, blocks - 1), b -> struct(b as block, true as asks))
+        else cast(array() as array<struct<block: int, asks: boolean>>) end)""")
+    return rows.withColumn("place", F.explode(place)).select(*[c for c in rows.columns if c not in ("home", "blocks", "own")], "place.block", "place.asks")
 
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(tiles, "a long, b long").distinct()
+
+def meetings(rows: DataFrame, group: str, meet) -> DataFrame:
+    """Pairs that ``meet`` finds between the askers and the members of each block.
+
+    Rows are sorted so that the members of a block come before its askers: a task holds the
+    members and takes the askers a batch at a time.
+    """
+    def run(batches):
+        last, members, ready = None, [], None
+        for batch in batches:
+            g, b, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in (group, "block", "asks"))
+            cut = np.flatnonzero((g[1:] != g[:-1]) | (b[1:] != b[:-1]) | (asks[1:] != asks[:-1])) + 1
+            found = []
+            bounds = [0, *cut, len(g)] if len(g) else []
+            for s, e in zip(bounds, bounds[1:]):
+                if (g[s], b[s]) != last:
+                    last, members, ready = (g[s], b[s]), [], None
+                part = batch.slice(s, e - s)
+                if not asks[s]:
+                    members.append(part)
+                elif members:
+                    if ready is None:
+                        ready = meet.members(pa.Table.from_batches(members).combine_chunks())
+                    found += meet.pairs(ready, part)
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found))
+                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=PAIR)
+
+    rows = rows.repartition(group, "block").sortWithinPartitions(group, "block", "asks")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+class BySignature:
+    """Close pairs of different clusters."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def members(self, rows) -> dict:
+        out = {c: rows.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "cluster", "n", "out")}
+        return out | {"signature": np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, VALUES)}
+
+    def pairs(self, m: dict, askers) -> list[tuple[np.ndarray, np.ndarray]]:
+        x, found = self.members(askers), []
+        for k in range(len(x["cid"])):
+            use = (m["cluster"] != x["cluster"][k]) & (~m["out"] | (m["cid"] > x["cid"][k]))
+            r = np.flatnonzero(use)
+            r = r[close(x["signature"][k], m["signature"][r], x["n"][k], m["n"][r], self.percent)]
+            if len(r):
+                found.append((np.full(len(r), x["cid"][k]), m["cid"][r]))
+        return found
+
+
+class BySet:
+    """Linked pairs of different components, one for each asker and component of a block."""
+
+    def __init__(self, width: int, percent: int):
+        self.width, self.percent = width, percent
+
+    def sets(self, rows) -> list[np.ndarray]:
+        shingles = Shingles(self.width)
+        batches = rows.to_batches() if isinstance(rows, pa.Table) else [rows]
+        return [s for _, data, offsets in words.pieces(batches) for s in shingles.sets(data, offsets)]
+
+    def members(self, rows) -> dict:
+        out = {c: rows.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "component", "out")}
+        sets = self.sets(rows)
+        ids, place = np.unique(np.concatenate(sets), return_inverse=True)
+        sizes = np.array([len(s) for s in sets])
+        return out | {"ids": ids, "place": place, "sizes": sizes, "starts": np.cumsum(sizes) - sizes}
+
+    def pairs(self, m: dict, askers) -> list[tuple[np.ndarray, np.ndarray]]:
+        found, mark = [], np.zeros(len(m["ids"]), np.int32)
+        for cid, component, s in zip(askers.column("cid").to_pylist(), askers.column("component").to_pylist(), self.sets(askers)):
+            at = np.searchsorted(m["ids"], s)
+            at = at[m["ids"][np.minimum(at, len(mark) - 1)] == s]
+            mark[at] = 1
+            both = np.add.reduceat(mark[m["place"]], m["starts"])
+            mark[at] = 0
+            use = (100 * both >= self.percent * (m["sizes"] + len(s) - both)) & (m["component"] != component) & (~m["out"] | (m["cid"] > cid))
+            r = np.flatnonzero(use)
+            if len(r):
+                r = r[np.unique(m["component"][r], return_index=True)[1]]
+                found.append((np.full(len(r), cid), m["cid"][r]))
+        return found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -235,10 +286,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shingles of ``width`` words, or the whole sequence if there are fewer. Sets with 100 *
     intersection >= ``percent`` * union are linked, and component_id is the smallest
     doc_id reachable by links. First, documents with equal sets become one class.
-    Classes that share a chunk key are candidates: each is confirmed against the first
-    class of its buckets, and after that only classes of one bucket that are not connected yet
-    are compared, so a large group of copies never makes all its pairs. Every candidate
-    within the signature distance and not yet connected is confirmed on full sets.
+    Classes that share a chunk key are candidates. Each meets the first class of its
+    buckets; what is within the signature distance makes clusters, and what is confirmed on
+    full sets makes components. Then every candidate pair not connected yet is
+    decided: inside a cluster, the classes outside its largest component are compared by full sets
+    with all others, block by block; pairs of different clusters that share a key are
+    confirmed one by one. A large group of copies never makes all its pairs.
 
     Null or empty texts and texts without words have an empty set and link with nothing,
     as do rows with a null doc_id (component_id null, kept). Repeated rows get equal
@@ -252,13 +305,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     keys = chunk_keys(classes)
     hubs = keys.groupBy("key").agg(F.min("cid").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
     pairs = keys.join(saved(hubs, "buckets"), "key").where("a <> cid").select("a", F.col("cid").alias("b")).distinct()
-    links = confirmed(signature_filter(saved(pairs, "stars"), classes, percent), classes, docs, width, percent)
+    stars = saved(signature_filter(saved(pairs, "stars"), classes, percent), "close-stars")
+    texts = class_texts(stars, classes, docs, width)
+    links = confirmed(stars, texts, width, percent)
+
+    def labelled(found: DataFrame, name: str, to: DataFrame) -> DataFrame:
+        found = found.select(F.col("node").alias("cid"), F.col("component").alias(name))
+        return to.join(found, "cid", "left").withColumn(name, F.coalesce(name, "cid"))
+
+    known = saved(labelled(components(links), "component", labelled(components(stars), "cluster", classes)), "clusters")
+
+    inside = known.select("cid", "cluster", "component")
+    inside = dealt(inside, homes(inside, "cluster", "component"), "cluster", "component").join(texts, "cid")
+    links = links.unionByName(saved(meetings(inside, "cluster", BySet(width, percent)), "inner-links"))
 
-    joined = lambda found: classes.join(
-        found.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    later = across(saved(joined(components(links)), "joined"), percent)
-    links = links.unionByName(confirmed(later, classes, docs, width, percent))
+    mixed = homes(chunk_keys(known, "cluster"), "key", "cluster")
+    between = dealt(chunk_keys(known, "cluster"), mixed, "key", "cluster").join(known.select("cid", "n", "signature"), "cid")
+    later = saved(meetings(between, "key", BySignature(percent)), "later")
+    links = links.unionByName(confirmed(later, class_texts(later, classes, docs, width), width, percent))
 
+    joined = lambda found: labelled(found, "component", classes)
     named = saved(joined(components(links)).select("f1", "f2", "first", "component"), "components")
     least = saved(named.groupBy("component").agg(F.min("first").alias("component_id")), "named")
     named = saved(named.join(least, "component").select("f1", "f2", "component_id"), "class-components")
