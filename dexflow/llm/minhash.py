@@ -332,3 +332,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return (signed.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, with one document of each group of near-duplicates: the one of the smallest doc_id.
+
+    Of rows with equal doc_id and text one stays. A doc_id with several texts stays if any
+    of them does. Rows with a null doc_id stay.
+    """
+    found = saved(near_duplicates(docs, width, percent).where("doc_id is not null")
+                  .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    gone = found.where("not kept").select(F.col("doc_id").alias("gone_id"))
+    left = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    again = found.where("kept and rows > 1").select(F.col("doc_id").alias("again_id"))
+    several = left.join(again, F.col("doc_id") == F.col("again_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(again, F.col("doc_id") == F.col("again_id"), "left_anti").unionByName(several)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chats, embeddings, minhash, shards, substring, urls, warc
+from . import chats, decontam, embeddings, langid, minhash, mixing, shards, substring, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), 50)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -40,6 +44,16 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, urls.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return mixing.mix_documents(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -51,9 +65,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_language_id": op3_language_id,
     "op4_shards": op4_shards,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_url_filter": op6_url_filter,
+    "op7_mixing": op7_mixing,
+    "op8_decontamination": op8_decontamination,
     "op9_chat_format": op9_chat_format,
     "op10_minhash": op10_minhash,
 }
