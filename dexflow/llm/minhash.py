@@ -287,11 +287,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     intersection >= ``percent`` * union are linked, and component_id is the smallest
     doc_id reachable by links. First, documents with equal sets become one class.
     Classes that share a chunk key are candidates. Each meets the first class of its
-    buckets; what is within the signature distance makes clusters, and what is confirmed on
-    full sets makes components. Then every candidate pair not connected yet is
-    decided: inside a cluster, the classes outside its largest component are compared by full sets
-    with all others, block by block; pairs of different clusters that share a key are
-    confirmed one by one. A large group of copies never makes all its pairs.
+    buckets; what is within the signature distance makes clusters. Those pairs, and the close pairs
+    of different clusters that share a key, are confirmed on full sets, which makes
+    components. Last, every pair inside a cluster that is not connected yet is decided: the
+    classes outside the cluster's largest component are compared by full sets with all
+    others, block by block. A large group of copies never makes all its pairs.
 
     Null or empty texts and texts without words have an empty set and link with nothing,
     as do rows with a null doc_id (component_id null, kept). Repeated rows get equal
@@ -306,24 +306,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     hubs = keys.groupBy("key").agg(F.min("cid").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
     pairs = keys.join(saved(hubs, "buckets"), "key").where("a <> cid").select("a", F.col("cid").alias("b")).distinct()
     stars = saved(signature_filter(saved(pairs, "stars"), classes, percent), "close-stars")
-    texts = class_texts(stars, classes, docs, width)
-    links = confirmed(stars, texts, width, percent)
 
     def labelled(found: DataFrame, name: str, to: DataFrame) -> DataFrame:
         found = found.select(F.col("node").alias("cid"), F.col("component").alias(name))
         return to.join(found, "cid", "left").withColumn(name, F.coalesce(name, "cid"))
 
-    known = saved(labelled(components(links), "component", labelled(components(stars), "cluster", classes)), "clusters")
+    known = saved(labelled(components(stars), "cluster", classes), "clusters")
+    mixed = homes(chunk_keys(known, "cluster"), "key", "cluster")
+    between = dealt(chunk_keys(known, "cluster"), mixed, "key", "cluster").join(known.select("cid", "n", "signature"), "cid")
+    pairs = saved(stars.unionByName(meetings(between, "key", BySignature(percent))), "pairs")
 
-    inside = known.select("cid", "cluster", "component")
+    texts = class_texts(pairs, classes, docs, width)
+    links = confirmed(pairs, texts, width, percent)
+    inside = labelled(components(links), "component", known.select("cid", "cluster"))
+    inside = saved(inside.select("cid", "cluster", "component"), "inside")
     inside = dealt(inside, homes(inside, "cluster", "component"), "cluster", "component").join(texts, "cid")
     links = links.unionByName(saved(meetings(inside, "cluster", BySet(width, percent)), "inner-links"))
 
-    mixed = homes(chunk_keys(known, "cluster"), "key", "cluster")
-    between = dealt(chunk_keys(known, "cluster"), mixed, "key", "cluster").join(known.select("cid", "n", "signature"), "cid")
-    later = saved(meetings(between, "key", BySignature(percent)), "later")
-    links = links.unionByName(confirmed(later, class_texts(later, classes, docs, width), width, percent))
-
     joined = lambda found: labelled(found, "component", classes)
     named = saved(joined(components(links)).select("f1", "f2", "first", "component"), "components")
     least = saved(named.groupBy("component").agg(F.min("first").alias("component_id")), "named")
