@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from dexflow.plans import catalog
 
 TABLES = ["events", "region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -40,10 +41,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
