@@ -64,7 +64,7 @@ def signed_in(amount: str | Column) -> Column:
 def signed_out(amount: str | Column) -> Column:
     """V3 swap: a negative signed amount is the output side, digits after the sign."""
     a = col(amount)
-    return F.when(a.startswith("-"), F.substring(a, 2, 1 << 20)).otherwise(F.lit("0"))
+    return F.when(a.startswith("-"), a.substr(F.lit(2), F.length(a))).otherwise(F.lit("0"))
 
 
 def first_present(*cols: str | Column, default=None) -> Column:

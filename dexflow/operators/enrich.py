@@ -183,7 +183,8 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
     dim = pool_dim.select(*[F.col(c).alias(f"p_{c}") for c in ENRICHED_POOL_COLUMNS])
     dim = materialize_dimension(dim, max_broadcast_rows, write=write_dimension)
     ev = pool_events.withColumn("__pk", X.lower_key("pool_address"))
-    cond = ev["__pk"] == dim["p_pool_key"]
+    # A log of another protocol than the pool's cannot come from that pool's handlers.
+    cond = (ev["__pk"] == dim["p_pool_key"]) & (ev["protocol"] == dim["p_protocol"])
     if discovery:
         after = (F.struct(ev["block_number"], ev["log_index"])
                  > F.struct(dim["p_created_block"], dim["p_created_log_index"]))

@@ -20,7 +20,7 @@ from .. import oracle as O
 from .. import schemas
 from ..functions import exprs as X
 from ..operators import checks, enrich, normalize, reports
-from ..sources import fixtures
+from ..sources import dims, fixtures
 from . import events as E
 
 # Parameters of the parameterised reports (fixed so both engines answer the same question).
@@ -88,17 +88,11 @@ class Context:
             return self._stream_job
 
     def per_chain_events(self) -> DataFrame:
-        """O-37: each chain's feed normalised on its own, then one union."""
-        parts = []
-        for chain_ids in ([1], [56]):
-            logs = self.logs.filter(F.col("chain_id").isin(chain_ids))
-            parts.append(E.build_event_table(logs, self.dims))
-        rest = self.logs.filter(~F.col("chain_id").isin(1, 56))
-        parts.append(E.build_event_table(rest, self.dims))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        """O-37: each chain's feed normalised on its own, then one union (unknown and missing chains are Ethereum's)."""
+        chain = dims.effective_chain(F.col("chain_id"))
+        parts = [E.build_event_table(self.logs.filter(chain == c), self.dims)
+                 for c in (dims.ETHEREUM_CHAIN_ID, dims.BSC_CHAIN_ID)]
+        return parts[0].unionByName(parts[1])
 
 
 _CACHE: dict[tuple[int, str], Context] = {}

@@ -180,7 +180,8 @@ class EventIngestJob:
         prev = self._try_read(self._feed_slot(batch_id - 1))
         if prev is not None:
             candidates = candidates.unionByName(prev.filter(F.col("batch_id") < batch_id).select(*reports.FEED_COLUMNS))
-        top = candidates.orderBy(*reports.newest_first()).limit(self.feed_size)
+        # An event delivered again in a later batch stands in the feed once.
+        top = candidates.dropDuplicates(["id"]).orderBy(*reports.newest_first()).limit(self.feed_size)
         (top.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).coalesce(1)
             .write.mode("overwrite").parquet(self._feed_slot(batch_id)))
 

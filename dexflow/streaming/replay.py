@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import normalize
 from ..plans import events as E
 from ..session import ensure_checkpoint_dir
 from ..sources import tables
@@ -34,19 +35,22 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
     costs one pass over the input instead of one per chunk. All logs of one
     block land in the same chunk, so per-batch discovery sees a pool's
     creation together with the same block's events. The number of chunks grows
-    with the input (at most ``ROWS_PER_CHUNK`` rows each). Each chunk is one
+    with the input (about ``ROWS_PER_CHUNK`` rows each, more where one block has more). Each chunk is one
     file written after the previous one, so ``maxFilesPerTrigger=1`` makes one
     micro-batch per chunk; small row groups let the reader split that file
     into parallel input partitions. Returns the number of chunks written.
     """
     spark = logs.sparkSession
+    # A log without a block counts as block 0, as in the batch build; a range filter would drop it.
+    logs = normalize.with_log_metadata(logs)
     sorted_path = path.rstrip("/") + "_by_block"
     (logs.repartitionByRange("block_number").sortWithinPartitions("block_number", "log_index")
          .write.mode("overwrite").parquet(sorted_path))
     staged = spark.read.schema(logs.schema).parquet(sorted_path)
     rows = staged.count()
     chunks = max(chunks, -(-rows // ROWS_PER_CHUNK))
-    bounds = staged.approxQuantile("block_number", [i / chunks for i in range(1, chunks)], 0.001)
+    # The error shrinks with the number of chunks, so neighbouring bounds do not fall together.
+    bounds = staged.approxQuantile("block_number", [i / chunks for i in range(1, chunks)], min(0.001, 0.1 / chunks))
     edges = [None, *sorted(set(bounds)), None]
     for lo, hi in zip(edges, edges[1:]):
         part = staged
@@ -60,15 +64,23 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
 
 
 def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, chunks: int = 4,
-                    root: str | None = None, timeout_s: int = 1800) -> EventIngestJob:
-    """Stage ``logs``, run the ingest job until the staged input is consumed, return the job (its tables)."""
+                    root: str | None = None, timeout_s: int | None = None) -> EventIngestJob:
+    """Stage ``logs``, run the ingest job until the staged input is consumed, return the job (its tables).
+
+    There is no time limit unless ``timeout_s`` is given; a run that reaches it is stopped and
+    raises TimeoutError, so no caller reads incomplete tables.
+    """
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-stream/{uuid.uuid4().hex}"
     source = f"{root}/source"
     stage_in_time_order(logs, source, chunks)
     job = EventIngestJob(spark, f"{root}/out", dims)
     query = job.start(tables.stream_decoded_logs(spark, source, max_files_per_trigger=1),
                       trigger={"availableNow": True})
-    query.awaitTermination(timeout_s)
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the staged input was not consumed in {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
     return job
