@@ -141,7 +141,8 @@ def class_texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: in
                     if fingerprint(s) == (batch.column("f1")[i].as_py(), batch.column("f2")[i].as_py())]
             yield batch.select(["cid", "text"]).take(pa.array(rows, pa.int64()))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    # Ids and texts both grow with the input, so the join is the same at every size: never a broadcast.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id")
     return saved(texts.select("cid", "text", "f1", "f2").mapInArrow(of_class, "cid long, text string"), "class-texts")
 
 
@@ -167,7 +168,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                     out.append((a, b))
             yield pa.record_batch([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], schema=PAIR)
 
-    side = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"t{x}"))
+    side = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"t{x}")).hint("merge")
     return saved(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long"), "links")
 
 
@@ -320,7 +321,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = confirmed(pairs, texts, width, percent)
     inside = labelled(components(links), "component", known.select("cid", "cluster"))
     inside = saved(inside.select("cid", "cluster", "component"), "inside")
-    inside = dealt(inside, homes(inside, "cluster", "component"), "cluster", "component").join(texts, "cid")
+    inside = dealt(inside, homes(inside, "cluster", "component"), "cluster", "component").join(texts.hint("merge"), "cid")
     links = links.unionByName(saved(meetings(inside, "cluster", BySet(width, percent)), "inner-links"))
 
     joined = lambda found: labelled(found, "component", classes)
