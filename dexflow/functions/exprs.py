@@ -84,6 +84,11 @@ def lower_key(c: str | Column) -> Column:
     return F.lower(col(c))
 
 
+def pool_key(chain: str | Column, address: str | Column) -> Column:
+    """Identity of a pool: the chain it lives on and its address (NULL without an address)."""
+    return F.concat(col(chain).cast("string"), F.lit(":"), lower_key(address))
+
+
 def surrogate_tx_hash(*cols: str | Column) -> Column:
     """Deterministic stand-in when a log has no transaction hash (replays dedupe)."""
     return F.concat(F.lit("tx-"), F.sha2(F.concat_ws("|", *[col(c).cast("string") for c in cols]), 256))

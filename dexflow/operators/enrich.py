@@ -3,8 +3,10 @@
 Scale notes:
 * Token and pool resolution runs on the pool dimension (one row per pool),
   never per event; events meet the finished dimension in a single join.
-* "First creation per pool" is a hash aggregate with ``min_by``: partial
-  aggregation runs map-side, so a pool created a million times costs one row
+* A pool is identified by (chain, lower-cased address): one address can hold
+  different pools on two chains, whose block numbers do not compare.
+* "First creation per pool" is an aggregate with ``min_by`` (a sort aggregate,
+  since its buffer is a struct): partial aggregation runs map-side, so a pool created a million times costs one row
   per map task in the shuffle, not a million-row group.
 * The event -> pool join is an equi join on the pool key plus a range
   condition; it is broadcast only after the materialised pool dimension has
@@ -98,11 +100,16 @@ POOL_COLUMNS = ["pool_key", "pool_address", "protocol", "chain_id", "token0_addr
                 "created_at_ms"]
 
 
+def chain_of(df: DataFrame) -> Column:
+    """The routed chain of a log, or the effective chain of its ``chain_id``."""
+    return F.col("chain") if "chain" in df.columns else dims.effective_chain(F.col("chain_id"))
+
+
 def _factory_candidates(factory: DataFrame) -> DataFrame:
     # A creation log without a pool address cannot register a pool.
     return factory.filter(F.col("pool_address").isNotNull()).select(
-        X.lower_key("pool_address").alias("pool_key"), "pool_address", "protocol",
-        F.col("chain").alias("chain_id") if "chain" in factory.columns else F.col("chain_id"),
+        X.pool_key(chain_of(factory), "pool_address").alias("pool_key"), "pool_address", "protocol",
+        chain_of(factory).alias("chain_id"),
         "token0_address", "token1_address", "fee", "tick_spacing",
         F.lit(False).alias("is_seed"),
         F.col("block_number").alias("created_block"), F.col("log_index").alias("created_log_index"),
@@ -111,7 +118,8 @@ def _factory_candidates(factory: DataFrame) -> DataFrame:
 
 def _seed_candidates(seeds: DataFrame) -> DataFrame:
     return pools_resolved(seeds).select(
-        X.lower_key("pool_address").alias("pool_key"), "pool_address", "protocol", F.col("chain_id").cast("int"),
+        X.pool_key(dims.effective_chain(F.col("chain_id")), "pool_address").alias("pool_key"),
+        "pool_address", "protocol", F.col("chain_id").cast("int"),
         "token0_address", "token1_address",
         # Seed V3 pools carry no fee or tick spacing.
         F.lit(None).cast("int").alias("fee"), F.lit(None).cast("int").alias("tick_spacing"),
@@ -182,7 +190,7 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
     """
     dim = pool_dim.select(*[F.col(c).alias(f"p_{c}") for c in ENRICHED_POOL_COLUMNS])
     dim = materialize_dimension(dim, max_broadcast_rows, write=write_dimension)
-    ev = pool_events.withColumn("__pk", X.lower_key("pool_address"))
+    ev = pool_events.withColumn("__pk", X.pool_key(chain_of(pool_events), "pool_address"))
     # A log of another protocol than the pool's cannot come from that pool's handlers.
     cond = (ev["__pk"] == dim["p_pool_key"]) & (ev["protocol"] == dim["p_protocol"])
     if discovery:

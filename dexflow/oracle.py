@@ -172,12 +172,12 @@ pool_candidates AS (
   FROM norm WHERE kind = 'factory' AND pool_address IS NOT NULL),
 known_pools AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY pool_key
+    SELECT *, row_number() OVER (PARTITION BY chain_id, pool_key
               ORDER BY CASE WHEN is_seed THEN 0 ELSE 1 END, created_block, created_log_index, created_tx) AS rn
     FROM pool_candidates) WHERE rn = 1),
 first_pools AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY pool_key ORDER BY created_block, created_log_index, created_tx) AS rn
+    SELECT *, row_number() OVER (PARTITION BY chain_id, pool_key ORDER BY created_block, created_log_index, created_tx) AS rn
     FROM pool_candidates WHERE NOT is_seed) WHERE rn = 1),
 pool_dim AS (
   SELECT p.*, CASE WHEN p.protocol LIKE '%v2%' THEN 'v2' ELSE 'v3' END AS version,
@@ -196,7 +196,8 @@ pool_rows AS (
          p.token0_decimals AS p_token0_decimals, p.token0_name AS p_token0_name,
          p.token1_address AS p_token1_address, p.token1_symbol AS p_token1_symbol,
          p.token1_decimals AS p_token1_decimals, p.token1_name AS p_token1_name, p.is_seed AS p_is_seed
-  FROM norm e JOIN pool_dim p ON lower(e.pool_address) = p.pool_key
+  FROM norm e JOIN pool_dim p
+    ON lower(e.pool_address) = p.pool_key AND e.chain = p.chain_id AND e.protocol = p.protocol
   WHERE e.kind = 'pool'
     AND (p.is_seed OR e.block_number > p.created_block
          OR (e.block_number = p.created_block AND e.log_index > p.created_log_index))),
@@ -235,6 +236,13 @@ def with_base(select: str, extra_ctes: str = "") -> str:
     return BASE + extra + "\n" + select.strip()
 
 
+def with_repeated_addresses(statement: str) -> str:
+    """The same statement over logs whose BSC pools have addresses of Ethereum pools, with Ethereum seeds alone."""
+    return (statement.replace("concat('0x', lpad(CAST(pool_no AS VARCHAR), 40, '0')) AS pool_address",
+                              "concat('0x', lpad(CAST(pool_no % 10 AS VARCHAR), 40, '0')) AS pool_address")
+            .replace("FROM range(13) t(id)", "FROM range(10) t(id)"))
+
+
 def ms_to_seconds(col: str) -> str:
     return _ms_to_seconds(col)
 

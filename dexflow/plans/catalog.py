@@ -40,7 +40,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._stream_job = None
+        self._stream_job = self._redelivered_job = None
 
     @cached_property
     def logs(self) -> DataFrame:
@@ -87,10 +87,20 @@ class Context:
                 self._stream_job = run_file_stream(self.spark, self.logs, self.dims)
             return self._stream_job
 
+    @property
+    def redelivered_job(self):
+        """As ``stream_job``, with the newest quarter of the blocks delivered a second time."""
+        with _STREAM_LOCK:
+            if self._redelivered_job is None:
+                from ..streaming.replay import run_file_stream
+                self._redelivered_job = run_file_stream(self.spark, self.logs, self.dims, redeliver=True)
+            return self._redelivered_job
+
     def per_chain_events(self) -> DataFrame:
         """O-37: each chain's feed normalised on its own, then one union (unknown and missing chains are Ethereum's)."""
         chain = dims.effective_chain(F.col("chain_id"))
-        parts = [E.build_event_table(self.logs.filter(chain == c), self.dims)
+        # A pool belongs to its chain, so both builds can use the one pool dimension.
+        parts = [E.build_event_table(self.logs.filter(chain == c), self.dims, pool_dim=self.pool_dim)
                  for c in (dims.ETHEREUM_CHAIN_ID, dims.BSC_CHAIN_ID)]
         return parts[0].unionByName(parts[1])
 
@@ -343,6 +353,15 @@ def q_discovered_events(spark, sf_dir):
                                                    "log_index")
 
 
+def q_two_chain_events(spark, sf_dir):
+    """O-34, O-39..O-41 where one address holds a pool on each of two chains."""
+    ctx = context(spark, sf_dir)
+    d = E.Dimensions(ctx.dims.seeds.filter(F.col("chain_id") == dims.ETHEREUM_CHAIN_ID), ctx.dims.known_tokens)
+    rows = E.flatten_pool_events(E.enriched_pool_events(E.routed_logs(fixtures.repeat_addresses(ctx.logs)), d))
+    return rows.select("id", "protocol", "event_type", "pool_address", "token0_address", "token1_address",
+                       "block_number", "log_index")
+
+
 def q_known_pools(spark, sf_dir):
     return context(spark, sf_dir).pool_dim.select(*KNOWN_POOL_COLUMNS)
 
@@ -389,7 +408,7 @@ def q_copy_counts(spark, sf_dir):
 
 
 def q_copy_verdict(spark, sf_dir):
-    return checks.copy_verdict(_copies(context(spark, sf_dir))).drop("same_ids")
+    return checks.copy_verdict(_copies(context(spark, sf_dir)))
 
 
 def q_duplicate_ids(spark, sf_dir):
@@ -432,6 +451,11 @@ def q_stream_stats(spark, sf_dir):
         "protocol", "event_type", "event_count", "first_event", "last_event")
 
 
+def q_stream_redelivered(spark, sf_dir):
+    """O-60, O-62: hourly counts of the rollup partials although a quarter of the blocks came twice."""
+    return context(spark, sf_dir).redelivered_job.read_rollup().select("protocol", "event_type", "hour", "event_count")
+
+
 def q_stream_feed(spark, sf_dir):
     """O-63: the live feed kept by the stream (newest 20)."""
     return context(spark, sf_dir).stream_job.read_feed().select(*reports.FEED_COLUMNS)
@@ -454,7 +478,7 @@ _SUMMARY_AGGS = ("count(*) AS total_rows, count(DISTINCT id) AS unique_ids, min(
                  "max(timestamp) AS max_timestamp, CAST(count_if(protocol = 'uniswap-v2') AS BIGINT) AS uniswap_v2_events, "
                  "CAST(count_if(protocol = 'uniswap-v3') AS BIGINT) AS uniswap_v3_events, "
                  "CAST(count_if(protocol = 'pancakeswap-v2') AS BIGINT) AS pancakeswap_v2_events")
-# The per-chain builds give the same rows as one build (pool addresses are chain-specific).
+# The per-chain builds give the same rows as one build (a pool belongs to one chain).
 _COPIES = f"""copies AS (
   SELECT 'primary' AS copy, id, protocol, timestamp FROM protocol_events
   UNION ALL SELECT 'by_chain', id, protocol, timestamp FROM protocol_events
@@ -480,7 +504,8 @@ seed_enriched AS (
   SELECT e.transaction_hash || '-' || CAST(e.log_index AS VARCHAR) || '-' || e.event_type AS id, e.event_type,
     p.pool_address, p.protocol, p.version, p.token0_address, p.token0_symbol, p.token0_decimals, p.token0_name,
     p.token1_address, p.token1_symbol, p.token1_decimals, p.token1_name
-  FROM norm e JOIN seed_dim p ON lower(e.pool_address) = lower(p.pool_address)
+  FROM norm e JOIN seed_dim p
+    ON lower(e.pool_address) = lower(p.pool_address) AND e.chain = p.chain_id AND e.protocol = p.protocol
   WHERE e.kind = 'pool')"""
 
 ORACLE: dict[str, str] = {
@@ -541,6 +566,9 @@ ORACLE: dict[str, str] = {
                                "tick_spacing, created_block, created_log_index, created_tx FROM first_pools"),
     "discovered_events": O.with_base("SELECT id, protocol, event_type, pool_address, block_number, log_index "
                                      "FROM pool_events_flat"),
+    "two_chain_events": O.with_repeated_addresses(O.with_base(
+        "SELECT id, protocol, event_type, pool_address, token0_address, token1_address, block_number, log_index "
+        "FROM pool_events_flat")),
     "known_pools": O.with_base("SELECT " + ", ".join(KNOWN_POOL_COLUMNS) + " FROM pool_dim"),
     "known_pool_count": O.with_base("SELECT count(*) AS known_pools FROM pool_dim"),
     "pool_info": O.with_base(f"SELECT {_DIM_POOL} FROM pool_dim WHERE pool_address = '{INFO_POOL}'"),
@@ -561,7 +589,8 @@ ORACLE: dict[str, str] = {
     "copy_counts": O.with_base(f"SELECT copy, {_SUMMARY_AGGS} FROM copies GROUP BY copy", _COPIES),
     "copy_verdict": O.with_base(
         "SELECT count(*) AS copies, count(DISTINCT n) = 1 AS consistent, CAST(sum(n) AS BIGINT) AS total_rows, "
-        "min(n) AS min_rows, max(n) AS max_rows FROM (SELECT copy, count(*) AS n FROM copies GROUP BY copy)", _COPIES),
+        "min(n) AS min_rows, max(n) AS max_rows, min(d) = (SELECT count(DISTINCT id) FROM copies) AS same_ids "
+        "FROM (SELECT copy, count(*) AS n, count(DISTINCT id) AS d FROM copies GROUP BY copy)", _COPIES),
     "duplicate_ids": O.with_base("SELECT id, count(*) AS copies FROM protocol_events GROUP BY id HAVING count(*) > 1"),
     "id_uniqueness": O.with_base("SELECT count(*) AS total_rows, count(DISTINCT id) AS unique_ids, "
                                  "count(*) - count(DISTINCT id) AS duplicate_rows FROM protocol_events"),
@@ -576,6 +605,9 @@ ORACLE: dict[str, str] = {
     "stream_hourly_counts": O.with_base(
         f"SELECT protocol, event_type, {O.hour_of('timestamp')} AS hour, count(*) AS event_count FROM protocol_events "
         f"GROUP BY protocol, event_type, hour"),
+    "stream_redelivered": O.with_base(
+        f"SELECT protocol, event_type, {O.hour_of('timestamp')} AS hour, count(*) AS event_count FROM protocol_events "
+        f"GROUP BY protocol, event_type, hour"),
     "stream_feed": O.with_base("SELECT * FROM feed", _FEED),
     "stream_stats": O.with_base(
         f"SELECT protocol, event_type, count(*) AS event_count, {O.ms_to_seconds('min(timestamp)')} AS first_event, "
@@ -620,6 +652,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pool_tokens": q_pool_tokens,
     "first_pools": q_first_pools,
     "discovered_events": q_discovered_events,
+    "two_chain_events": q_two_chain_events,
     "known_pools": q_known_pools,
     "known_pool_count": q_known_pool_count,
     "pool_info": q_pool_info,
@@ -639,6 +672,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_panels": q_feed_panels,
     "stream_events": q_stream_events,
     "stream_hourly_counts": q_stream_hourly_counts,
+    "stream_redelivered": q_stream_redelivered,
     "stream_feed": q_stream_feed,
     "stream_stats": q_stream_stats,
     "stream_known_pools": q_stream_known_pools,

@@ -7,6 +7,7 @@ shuffle, so it scales with the events table and keeps its partitioning.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .tables import read_table
 
@@ -78,6 +79,12 @@ def decoded_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_logs_from_events(read_table(spark, sf_dir, "events"))
 
 
+def repeat_addresses(logs: DataFrame) -> DataFrame:
+    """FX2 with the addresses of Ethereum pools 0..3 given to the BSC pools 10..13 as well."""
+    shared = F.overlay("pool_address", F.lit("0"), F.lit(41), F.lit(1))
+    return logs.withColumn("pool_address", F.when(F.col("chain_id") == 56, shared).otherwise(F.col("pool_address")))
+
+
 def pool_seed(spark: SparkSession) -> DataFrame:
     """FX3 seed pools: 13 pools; pool 12 has an unresolved token0, pool 13 is not a seed."""
     return spark.range(13).selectExpr(

@@ -10,7 +10,9 @@ Per micro-batch, in one function:
    excluded;
 3. write the event rows to ``event_month=M/batch_id=B`` with dynamic partition
    overwrite: a batch replayed after a crash replaces itself (exactly-once
-   output on top of the checkpointed offsets);
+   output on top of the checkpointed offsets); rows that one of the last
+   ``redelivery_batches`` batches stored are left out, so a source that delivers
+   again adds nothing to the table, the partials or the feed;
 4. write hourly rollup partials with HLL sketches, merged at read time;
 5. keep the newest 20 events (the live feed) as one small versioned file;
 6. hand the batch to user callbacks (``standardizedEvent`` / ``factoryEvent``).
@@ -40,13 +42,17 @@ Handler = Callable[[DataFrame, int], None]
 
 ROLLUP_SKETCH_LG_K = 12
 
+#: A log delivered again within so many batches is recognised before it is stored.
+REDELIVERY_BATCHES = 100
+
 
 class EventIngestJob:
     """Stream of decoded logs -> event table, pool table, rollup partials, feed."""
 
     def __init__(self, spark: SparkSession, root: str, dims: E.Dimensions,
                  on_event: list[Handler] | None = None, on_factory: list[Handler] | None = None,
-                 feed_size: int = 20, checkpoint_location: str | None = None):
+                 feed_size: int = 20, checkpoint_location: str | None = None,
+                 redelivery_batches: int = REDELIVERY_BATCHES):
         self.spark = spark
         self.root = root.rstrip("/")
         self._checkpoint = checkpoint_location
@@ -54,6 +60,7 @@ class EventIngestJob:
         self.on_event = list(on_event or [])
         self.on_factory = list(on_factory or [])
         self.feed_size = feed_size
+        self.redelivery_batches = redelivery_batches
 
     # -- locations -----------------------------------------------------------
     @property
@@ -72,6 +79,10 @@ class EventIngestJob:
     def feed_path(self) -> str:
         return f"{self.root}/feed"
 
+    @property
+    def ids_path(self) -> str:
+        return f"{self.root}/recent_ids"
+
     @property
     def checkpoint_path(self) -> str:
         return self._checkpoint or f"{self.root}/_checkpoint"
@@ -137,8 +148,13 @@ class EventIngestJob:
             # (3) idempotent event write, duplicates inside the batch removed. The
             # registry comes from a written table: size-checked, no copy per batch.
             rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim, write_dimension=False)
-            rows = rows.dropDuplicates(["id"]).persist()
+            rows = store.dedupe_by_id(rows)
+            stored = self._recent_ids(batch_id)
+            if stored is not None:
+                rows = rows.join(stored, "id", "left_anti")
+            rows = rows.persist()
             store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True, shuffle=False)
+            self._write_ids(rows, batch_id)
             fresh.unpersist()
 
             # (4) rollup partials, (5) feed, (6) callbacks, all from this batch's rows
@@ -155,6 +171,23 @@ class EventIngestJob:
                 rows.unpersist()
             logs.unpersist()
 
+    def _recent_ids(self, batch_id: int) -> DataFrame | None:
+        """Ids stored by the ``redelivery_batches`` - 1 batches before this one (a replay does not see its own).
+
+        Each batch overwrites one of ``redelivery_batches`` slots, so the folders
+        listed and the ids read do not grow with the table. What comes again after
+        that is removed by ``read_events`` and by ``store.refresh_rollup``.
+        """
+        ids = self._try_read(self.ids_path)
+        if ids is None:
+            return None
+        return ids.filter((F.col("batch_id") < batch_id) & (F.col("batch_id") > batch_id - self.redelivery_batches)).select("id")
+
+    def _write_ids(self, rows: DataFrame, batch_id: int) -> None:
+        (rows.select("id", F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
+                     F.lit(int(batch_id % self.redelivery_batches)).alias("slot"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(self.ids_path))
+
     def _write_rollup(self, rows: DataFrame, batch_id: int) -> None:
         partial = (rows.withColumn("hour", X.hour_start("timestamp"))
                        .groupBy("protocol", "event_type", "hour")

@@ -17,7 +17,7 @@ from ..operators import normalize
 from ..plans import events as E
 from ..session import ensure_checkpoint_dir
 from ..sources import tables
-from .ingest import EventIngestJob
+from .ingest import REDELIVERY_BATCHES, EventIngestJob
 
 
 ROWS_PER_CHUNK = 2_000_000
@@ -64,16 +64,22 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
 
 
 def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, chunks: int = 4,
-                    root: str | None = None, timeout_s: int | None = None) -> EventIngestJob:
+                    root: str | None = None, timeout_s: int | None = None, redeliver: bool = False) -> EventIngestJob:
     """Stage ``logs``, run the ingest job until the staged input is consumed, return the job (its tables).
 
     There is no time limit unless ``timeout_s`` is given; a run that reaches it is stopped and
-    raises TimeoutError, so no caller reads incomplete tables.
+    raises TimeoutError, so no caller reads incomplete tables. With ``redeliver`` the newest
+    quarter of the blocks arrives a second time at the end, within the job's horizon.
     """
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-stream/{uuid.uuid4().hex}"
     source = f"{root}/source"
-    stage_in_time_order(logs, source, chunks)
-    job = EventIngestJob(spark, f"{root}/out", dims)
+    batches = stage_in_time_order(logs, source, chunks)
+    if redeliver:
+        staged = spark.read.parquet(source)
+        newest = staged.approxQuantile("block_number", [0.75], 0.01)
+        again = staged.filter(F.col("block_number") > newest[0]) if newest else staged
+        again.coalesce(batches).write.mode("append").parquet(source)
+    job = EventIngestJob(spark, f"{root}/out", dims, redelivery_batches=max(REDELIVERY_BATCHES, 3 * batches))
     query = job.start(tables.stream_decoded_logs(spark, source, max_files_per_trigger=1),
                       trigger={"availableNow": True})
     if timeout_s is None:

@@ -55,6 +55,17 @@ def test_seed_with_unresolved_token_is_rejected_then_discoverable(spark, fx_dims
     assert [r.transaction_hash for r in ev] == ["0xb"]
 
 
+def test_one_address_on_two_chains_is_two_pools(spark, fx_dims):
+    on = lambda chain, row: {**row, "chain_id": chain, "protocol": "pancakeswap-v2"}
+    t0 = "0x" + "101".rjust(40, "0")
+    rows = logs(spark, on(1, created("0xp", 100, 1, tx="0xc1")), on(56, created("0xP", 900, 1, t0=t0, tx="0xc56")),
+                on(1, sync("0xp", 500, 0, "0xa")), on(56, sync("0xp", 500, 0, "0xb")), on(56, sync("0xp", 950, 0, "0xc")))
+    normalized = E.routed_logs(rows)
+    assert enrich.first_pools(E.factory_events(normalized)).count() == 2
+    got = {r.transaction_hash: r.token0_address for r in E.build_event_table(rows, fx_dims).collect() if r.event_type == "sync"}
+    assert got == {"0xa": "0x" + "100".rjust(40, "0"), "0xc": t0}
+
+
 def test_unknown_pool_is_dropped(spark, fx_dims):
     rows = logs(spark, sync("0xnowhere", 1, 0))
     assert E.build_event_table(rows, fx_dims).count() == 0

@@ -89,6 +89,24 @@ def test_replay_of_a_batch_leaves_one_copy(spark, fx_dims, tmp_path):
     assert before == E.build_event_table(logs, fx_dims).count()
 
 
+def test_redelivered_logs_count_once(spark, fx_dims, tmp_path):
+    """A batch delivered again, alone or with new logs, adds nothing to the table, the partials or the feed."""
+    logs = fixtures.decoded_logs(spark, SF_SMALL)
+    early = logs.agg(F.percentile_approx("block_number", 0.5)).first()[0]
+    job = EventIngestJob(spark, str(tmp_path / "out"), fx_dims)
+    job.register_seeds()
+    job.process_batch(logs.filter(F.col("block_number") <= early), 0)
+    job.process_batch(logs.unionByName(logs.limit(50)), 1)
+    job.process_batch(logs, 2)
+    job.process_batch(logs, 2)
+    batch = E.build_event_table(logs, fx_dims)
+    n = batch.count()
+    assert job.read_events(dedupe=False).count() == n
+    assert job.read_rollup().agg(F.sum("event_count")).first()[0] == n
+    assert job.read_stats().agg(F.sum("event_count")).first()[0] == n
+    assert sorted(r.id for r in job.read_feed().collect()) == sorted(r.id for r in reports.feed_last(batch).collect())
+
+
 def test_restart_keeps_discovered_pools(spark, fx_dims, tmp_path):
     src = str(tmp_path / "logs")
     _stage_logs(spark, src, chunks=2)
