@@ -225,29 +225,55 @@ def meetings(rows: DataFrame, group: str, meet) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+class Joined:
+    """Which labels of a block are connected by the pairs given out so far."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while x in self.up:
+            x = self.up[x]
+        return x
+
+    def spanning(self, label: int, labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Of the ``rows`` that meet a row of ``label``, one for each of their ``labels`` that was not connected with it.
+
+        So the pairs of a block are fewer than its labels, and connect what all pairs would.
+        """
+        out = []
+        for other, at in zip(*np.unique(labels, return_index=True)):
+            a, b = self.root(int(label)), self.root(int(other))
+            if a != b:
+                self.up[max(a, b)] = min(a, b)
+                out.append(rows[at])
+        return np.array(out, np.int64)
+
+
 class BySignature:
-    """Close pairs of different clusters."""
+    """Close pairs of different clusters, as many as connect them."""
 
     def __init__(self, percent: int):
         self.percent = percent
 
     def members(self, rows) -> dict:
         out = {c: rows.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "cluster", "n", "out")}
-        return out | {"signature": np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, VALUES)}
+        return out | {"joined": Joined(), "signature": np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, VALUES)}
 
     def pairs(self, m: dict, askers) -> list[tuple[np.ndarray, np.ndarray]]:
-        x, found = self.members(askers), []
+        x, found = self.members(askers), []  # an asker has the columns of a member
         for k in range(len(x["cid"])):
             use = (m["cluster"] != x["cluster"][k]) & (~m["out"] | (m["cid"] > x["cid"][k]))
             r = np.flatnonzero(use)
             r = r[close(x["signature"][k], m["signature"][r], x["n"][k], m["n"][r], self.percent)]
+            r = m["joined"].spanning(x["cluster"][k], m["cluster"][r], r)
             if len(r):
                 found.append((np.full(len(r), x["cid"][k]), m["cid"][r]))
         return found
 
 
 class BySet:
-    """Linked pairs of different components, one for each asker and component of a block."""
+    """Linked pairs of different components, as many as connect them."""
 
     def __init__(self, width: int, percent: int):
         self.width, self.percent = width, percent
@@ -262,7 +288,7 @@ class BySet:
         sets = self.sets(rows)
         ids, place = np.unique(np.concatenate(sets), return_inverse=True)
         sizes = np.array([len(s) for s in sets])
-        return out | {"ids": ids, "place": place, "sizes": sizes, "starts": np.cumsum(sizes) - sizes}
+        return out | {"joined": Joined(), "ids": ids, "place": place, "sizes": sizes, "starts": np.cumsum(sizes) - sizes}
 
     def pairs(self, m: dict, askers) -> list[tuple[np.ndarray, np.ndarray]]:
         found, mark = [], np.zeros(len(m["ids"]), np.int32)
@@ -274,8 +300,8 @@ class BySet:
             mark[at] = 0
             use = (100 * both >= self.percent * (m["sizes"] + len(s) - both)) & (m["component"] != component) & (~m["out"] | (m["cid"] > cid))
             r = np.flatnonzero(use)
+            r = m["joined"].spanning(component, m["component"][r], r)
             if len(r):
-                r = r[np.unique(m["component"][r], return_index=True)[1]]
                 found.append((np.full(len(r), cid), m["cid"][r]))
         return found
 
@@ -288,8 +314,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     intersection >= ``percent`` * union are linked, and component_id is the smallest
     doc_id reachable by links. First, documents with equal sets become one class.
     Classes that share a chunk key are candidates. Each meets the first class of its
-    buckets; what is within the signature distance makes clusters. Those pairs, and the close pairs
-    of different clusters that share a key, are confirmed on full sets, which makes
+    buckets; what is within the signature distance makes clusters. Clusters with close pairs
+    that share a key become one, by as many pairs as connect them. All those pairs
+    are confirmed on full sets, which makes
     components. Last, every pair inside a cluster that is not connected yet is decided: the
     classes outside the cluster's largest component are compared by full sets with all
     others, block by block. A large group of copies never makes all its pairs.
@@ -319,7 +346,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     texts = class_texts(pairs, classes, docs, width)
     links = confirmed(pairs, texts, width, percent)
-    inside = labelled(components(links), "component", known.select("cid", "cluster"))
+    merged = saved(labelled(components(pairs), "cluster", classes.select("cid")), "merged")
+    inside = labelled(components(links), "component", merged)
     inside = saved(inside.select("cid", "cluster", "component"), "inside")
     inside = dealt(inside, homes(inside, "cluster", "component"), "cluster", "component").join(texts.hint("merge"), "cid")
     links = links.unionByName(saved(meetings(inside, "cluster", BySet(width, percent)), "inner-links"))
