@@ -128,6 +128,24 @@ def _seed_candidates(seeds: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("created_tx"), F.lit(None).cast("bigint").alias("created_at_ms"))
 
 
+#: The registration that counts: a seed, else the earliest creation.
+def _registration_order() -> list:
+    return [F.when(F.col("is_seed"), 0).otherwise(1), F.col("created_block"), F.col("created_log_index"), F.col("created_tx")]
+
+
+def first_registrations(pools: DataFrame) -> DataFrame:
+    """One row per pool of a registry that may hold several: a seed, else the earliest creation."""
+    return _first_per_pool(pools, _registration_order())
+
+
+def new_registrations(first: DataFrame, current: DataFrame) -> DataFrame:
+    """Pools of ``first`` that ``current`` does not know, or knows (not as a seed) from a later creation."""
+    at = F.struct("created_block", "created_log_index")
+    known = current.select(F.col("pool_key"), F.col("is_seed").alias("__seed"), at.alias("__at"))
+    joined = first.join(known, "pool_key", "left")
+    return joined.filter(F.col("__seed").isNull() | (~F.col("__seed") & (at < F.col("__at")))).select(*POOL_COLUMNS)
+
+
 def _first_per_pool(candidates: DataFrame, order: list) -> DataFrame:
     rest = [c for c in POOL_COLUMNS if c != "pool_key"]
     picked = candidates.groupBy("pool_key").agg(
@@ -149,9 +167,7 @@ def known_pools(seeds: DataFrame, factory: DataFrame) -> DataFrame:
     later creation event can still register that pool.
     """
     cands = _seed_candidates(seeds).unionByName(_factory_candidates(factory))
-    order = [F.when(F.col("is_seed"), 0).otherwise(1), F.col("created_block"),
-             F.col("created_log_index"), F.col("created_tx")]
-    return _first_per_pool(cands, order)
+    return _first_per_pool(cands, _registration_order())
 
 
 def seed_pool_dimension(seeds: DataFrame, known_tokens: DataFrame,
@@ -175,6 +191,26 @@ ENRICHED_POOL_COLUMNS = ["pool_key", "protocol", "version", "pool_address", "is_
                          "token1_address", "token1_symbol", "token1_decimals", "token1_name"]
 
 
+def _matches(ev: DataFrame, dim: DataFrame, discovery: bool = True) -> Column:
+    """A log (with ``__pk``) belongs to a pool of ``dim`` (columns ``p_``) and, for a discovered pool, follows its creation."""
+    # A log of another protocol than the pool's cannot come from that pool's handlers.
+    cond = (ev["__pk"] == dim["p_pool_key"]) & (ev["protocol"] == dim["p_protocol"])
+    if discovery:
+        after = (F.struct(ev["block_number"], ev["log_index"])
+                 > F.struct(dim["p_created_block"], dim["p_created_log_index"]))
+        cond = cond & (dim["p_is_seed"] | after)
+    return cond
+
+
+def split_by_pools(pool_events: DataFrame, pools: DataFrame, matched: bool) -> DataFrame:
+    """The pool logs that ``attach_pools`` keeps with ``pools`` (``matched``) or drops, unchanged; those without an address in neither."""
+    dim = pools.select(*[F.col(c).alias(f"p_{c}") for c in
+                         ("pool_key", "protocol", "is_seed", "created_block", "created_log_index")])
+    ev = pool_events.filter(F.col("pool_address").isNotNull())
+    ev = ev.withColumn("__pk", X.pool_key(chain_of(pool_events), "pool_address"))
+    return ev.join(dim, _matches(ev, dim), "left_semi" if matched else "left_anti").drop("__pk")
+
+
 def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool = True,
                  max_broadcast_rows: int | None = None, passthrough: Column | None = None,
                  write_dimension: bool = True) -> DataFrame:
@@ -191,12 +227,7 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
     dim = pool_dim.select(*[F.col(c).alias(f"p_{c}") for c in ENRICHED_POOL_COLUMNS])
     dim = materialize_dimension(dim, max_broadcast_rows, write=write_dimension)
     ev = pool_events.withColumn("__pk", X.pool_key(chain_of(pool_events), "pool_address"))
-    # A log of another protocol than the pool's cannot come from that pool's handlers.
-    cond = (ev["__pk"] == dim["p_pool_key"]) & (ev["protocol"] == dim["p_protocol"])
-    if discovery:
-        after = (F.struct(ev["block_number"], ev["log_index"])
-                 > F.struct(dim["p_created_block"], dim["p_created_log_index"]))
-        cond = cond & (dim["p_is_seed"] | after)
+    cond = _matches(ev, dim, discovery)
     if passthrough is None:
         joined = ev.join(dim, cond, "inner")
     else:

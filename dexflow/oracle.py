@@ -9,8 +9,6 @@ in the other.
 
 from __future__ import annotations
 
-from .sources import dims
-
 # ---------------------------------------------------------------------------
 # Inputs: FX2 decoded logs from ``events``, FX3 dimensions.
 # ---------------------------------------------------------------------------
@@ -78,22 +76,16 @@ token_known AS (
   FROM range(7) t(id))"""
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _dispatch_case(field: int) -> str:
-    whens = " ".join(f"WHEN protocol = {_q(p)} AND event_name = {_q(e)} THEN {_q(row[field])}"
-                     for row in dims.EVENT_DISPATCH for p, e in [(row[0], row[1])])
-    return f"CASE {whens} END"
-
-
-def _supported(chain: str = "chain") -> str:
-    by_chain: dict[int, list[str]] = {}
-    for c, p in dims.supported_pairs():
-        by_chain.setdefault(c, []).append(p)
-    terms = [f"({chain} = {c} AND protocol IN ({', '.join(_q(p) for p in ps)}))" for c, ps in sorted(by_chain.items())]
-    return "(" + " OR ".join(terms) + ")"
+# Routing, written out here so that a wrong entry of the library's tables shows as a difference.
+_EVENT_TYPE = """CASE
+      WHEN protocol IN ('uniswap-v2', 'pancakeswap-v2') THEN CASE event_name WHEN 'Swap' THEN 'swap' WHEN 'Mint' THEN 'mint'
+        WHEN 'Burn' THEN 'burn' WHEN 'Sync' THEN 'sync' WHEN 'PairCreated' THEN 'pair_created' END
+      WHEN protocol = 'uniswap-v3' THEN CASE event_name WHEN 'Swap' THEN 'swap' WHEN 'Mint' THEN 'mint'
+        WHEN 'Burn' THEN 'burn' WHEN 'Initialize' THEN 'initialize' WHEN 'PoolCreated' THEN 'pool_created' END
+    END"""
+_KIND = f"CASE WHEN {_EVENT_TYPE} IN ('pair_created', 'pool_created') THEN 'factory' WHEN {_EVENT_TYPE} IS NOT NULL THEN 'pool' END"
+_SUPPORTED = ("((chain = 1 AND protocol IN ('uniswap-v2', 'uniswap-v3', 'pancakeswap-v2')) "
+              "OR (chain = 56 AND protocol = 'pancakeswap-v2'))")
 
 
 def _json_field(key: str, expr: str) -> str:
@@ -152,12 +144,12 @@ routed AS (
              CAST(block_number AS VARCHAR), CAST(log_index AS VARCHAR), CAST(observed_at_ms AS VARCHAR)))) AS transaction_hash,
            coalesce(l.log_index, 0) AS log_index, coalesce(l.block_number, 0) AS block_number),
          CASE WHEN chain_id IN (1, 56) THEN chain_id ELSE 1 END AS chain,
-         {_dispatch_case(2)} AS event_type, {_dispatch_case(3)} AS kind
+         {_EVENT_TYPE} AS event_type, {_KIND} AS kind
   FROM decoded_logs l),
-accepted AS (SELECT * FROM routed WHERE event_type IS NOT NULL AND {_supported()}),
+accepted AS (SELECT * FROM routed WHERE event_type IS NOT NULL AND {_SUPPORTED}),
 rejected AS (
-  SELECT *, CASE WHEN NOT {_supported()} THEN 'unsupported_protocol' ELSE 'unhandled_event' END AS reject_reason
-  FROM routed WHERE event_type IS NULL OR NOT {_supported()}),
+  SELECT *, CASE WHEN NOT {_SUPPORTED} THEN 'unsupported_protocol' ELSE 'unhandled_event' END AS reject_reason
+  FROM routed WHERE event_type IS NULL OR NOT {_SUPPORTED}),
 norm AS (
   SELECT *, {_json_sql()} AS event_data
   FROM (SELECT *, CASE WHEN protocol LIKE '%v2%' THEN 'v2' ELSE 'v3' END AS version FROM accepted)),

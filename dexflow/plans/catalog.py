@@ -20,7 +20,8 @@ from .. import oracle as O
 from .. import schemas
 from ..functions import exprs as X
 from ..operators import checks, enrich, normalize, reports
-from ..sources import dims, fixtures
+from ..session import scratch_path
+from ..sources import dims, fixtures, store
 from . import events as E
 
 # Parameters of the parameterised reports (fixed so both engines answer the same question).
@@ -30,6 +31,7 @@ LOOKUP_TOKEN0 = "0x" + "101".rjust(40, "0")
 LOOKUP_TOKEN1 = "0x" + "106".rjust(40, "0")
 INFO_POOL = "0x" + "13".rjust(40, "0")
 FEED_PROTOCOL = "uniswap-v3"
+RANGE_MS = (1_704_844_800_000, 1_705_104_000_000)  # 2024-01-10 to 2024-01-13, UTC
 
 STORED_COLUMNS = [c for c in schemas.EVENT_COLUMNS if c != "created_at"]
 
@@ -40,7 +42,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._stream_job = self._redelivered_job = None
+        self._stream_job = self._redelivered_job = self._unordered_job = self._stored_path = None
 
     @cached_property
     def logs(self) -> DataFrame:
@@ -96,6 +98,28 @@ class Context:
                 self._redelivered_job = run_file_stream(self.spark, self.logs, self.dims, redeliver=True)
             return self._redelivered_job
 
+    @property
+    def unordered_job(self):
+        """As ``stream_job``, with the newest blocks delivered first: events come before the creation of their pool."""
+        with _STREAM_LOCK:
+            if self._unordered_job is None:
+                from ..streaming.replay import run_file_stream
+                self._unordered_job = run_file_stream(self.spark, self.logs, self.dims, newest_first=True)
+            return self._unordered_job
+
+    @property
+    def stored_path(self) -> str:
+        """The event table as written with its layout (O-07, O-09, O-10), once per context."""
+        with _STORE_LOCK:
+            if self._stored_path is None:
+                path = scratch_path(self.spark, "dexflow-stored")
+                store.write_events(self.events, path)
+                self._stored_path = path
+            return self._stored_path
+
+    def stored(self, columns=None, start_ms=None, end_ms=None) -> DataFrame:
+        return store.read_events(self.spark, self.stored_path, columns, start_ms, end_ms)
+
     def per_chain_events(self) -> DataFrame:
         """O-37: each chain's feed normalised on its own, then one union (unknown and missing chains are Ethereum's)."""
         chain = dims.effective_chain(F.col("chain_id"))
@@ -108,6 +132,7 @@ class Context:
 _CACHE: dict[tuple[int, str], Context] = {}
 _LOCK = threading.Lock()
 _STREAM_LOCK = threading.Lock()
+_STORE_LOCK = threading.Lock()
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
@@ -248,6 +273,40 @@ def q_lookup_token(spark, sf_dir):
     return _stored(ev.filter((F.col("token0_address") == LOOKUP_TOKEN0) & (F.col("token1_address") == LOOKUP_TOKEN1)))
 
 
+def q_stored_scan(spark, sf_dir):
+    """O-04, O-07, O-09, O-10: the written table read back, whole."""
+    return context(spark, sf_dir).stored(STORED_COLUMNS)
+
+
+def q_stored_time_range(spark, sf_dir):
+    """O-04: a time range of the written table (months pruned)."""
+    return context(spark, sf_dir).stored(SCAN_COLUMNS, *RANGE_MS)
+
+
+def q_stored_lookup_pool(spark, sf_dir):
+    """O-08: a pool's events from the written table (equality reaches the scan)."""
+    return _stored(context(spark, sf_dir).stored().filter(F.col("pool_address") == LOOKUP_POOL))
+
+
+def q_stored_lookup_tx(spark, sf_dir):
+    return _stored(context(spark, sf_dir).stored().filter(F.col("transaction_hash") == LOOKUP_TX))
+
+
+def q_stored_lookup_token(spark, sf_dir):
+    return _stored(context(spark, sf_dir).stored().filter(
+        (F.col("token0_address") == LOOKUP_TOKEN0) & (F.col("token1_address") == LOOKUP_TOKEN1)))
+
+
+def q_stored_event_stats(spark, sf_dir):
+    """O-44 over the written table."""
+    return reports.event_stats(context(spark, sf_dir).stored())
+
+
+def q_stored_newest10(spark, sf_dir):
+    """O-05 over the written table."""
+    return reports.sql_over_events(context(spark, sf_dir).stored(), ADHOC_NEWEST)
+
+
 def q_event_ids(spark, sf_dir):
     return context(spark, sf_dir).events.select("id", "event_type", "transaction_hash", "log_index")
 
@@ -456,6 +515,11 @@ def q_stream_redelivered(spark, sf_dir):
     return context(spark, sf_dir).redelivered_job.read_rollup().select("protocol", "event_type", "hour", "event_count")
 
 
+def q_stream_out_of_order(spark, sf_dir):
+    """O-61: the streamed table although the newest blocks came first."""
+    return context(spark, sf_dir).unordered_job.read_events().select(*STORED_COLUMNS)
+
+
 def q_stream_feed(spark, sf_dir):
     """O-63: the live feed kept by the stream (newest 20)."""
     return context(spark, sf_dir).stream_job.read_feed().select(*reports.FEED_COLUMNS)
@@ -525,6 +589,17 @@ ORACLE: dict[str, str] = {
     "lookup_tx": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE transaction_hash = '{LOOKUP_TX}'"),
     "lookup_token": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE token0_address = '{LOOKUP_TOKEN0}' "
                                 f"AND token1_address = '{LOOKUP_TOKEN1}'"),
+    "stored_scan": O.with_base(f"SELECT {_STORED} FROM protocol_events"),
+    "stored_time_range": O.with_base(f"SELECT {', '.join(SCAN_COLUMNS)} FROM protocol_events "
+                                     f"WHERE timestamp >= {RANGE_MS[0]} AND timestamp < {RANGE_MS[1]}"),
+    "stored_lookup_pool": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE pool_address = '{LOOKUP_POOL}'"),
+    "stored_lookup_tx": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE transaction_hash = '{LOOKUP_TX}'"),
+    "stored_lookup_token": O.with_base(f"SELECT {_STORED} FROM protocol_events WHERE token0_address = '{LOOKUP_TOKEN0}' "
+                                       f"AND token1_address = '{LOOKUP_TOKEN1}'"),
+    "stored_event_stats": O.with_base(
+        f"SELECT protocol, event_type, {_DISTINCT3}, {O.ms_to_seconds('min(timestamp)')} AS first_event, "
+        f"{O.ms_to_seconds('max(timestamp)')} AS last_event FROM protocol_events GROUP BY protocol, event_type"),
+    "stored_newest10": O.with_base(ADHOC_NEWEST),
     "event_ids": O.with_base("SELECT id, event_type, transaction_hash, log_index FROM protocol_events"),
     "norm_version": O.with_base("SELECT protocol, version, count(*) AS logs FROM norm GROUP BY protocol, version"),
     "flatten_events": O.with_base(f"SELECT {_STORED} FROM pool_events_flat"),
@@ -608,6 +683,7 @@ ORACLE: dict[str, str] = {
     "stream_redelivered": O.with_base(
         f"SELECT protocol, event_type, {O.hour_of('timestamp')} AS hour, count(*) AS event_count FROM protocol_events "
         f"GROUP BY protocol, event_type, hour"),
+    "stream_out_of_order": O.with_base(f"SELECT {_STORED} FROM protocol_events"),
     "stream_feed": O.with_base("SELECT * FROM feed", _FEED),
     "stream_stats": O.with_base(
         f"SELECT protocol, event_type, count(*) AS event_count, {O.ms_to_seconds('min(timestamp)')} AS first_event, "
@@ -634,6 +710,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_tx": q_lookup_tx,
     "lookup_token": q_lookup_token,
     **{k: _norm_spark(k) for k in NORM_SUBSETS},
+    "stored_scan": q_stored_scan,
+    "stored_time_range": q_stored_time_range,
+    "stored_lookup_pool": q_stored_lookup_pool,
+    "stored_lookup_tx": q_stored_lookup_tx,
+    "stored_lookup_token": q_stored_lookup_token,
+    "stored_event_stats": q_stored_event_stats,
+    "stored_newest10": q_stored_newest10,
     "event_ids": q_event_ids,
     "norm_version": q_norm_version,
     "flatten_events": q_flatten_events,
@@ -673,6 +756,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_events": q_stream_events,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_redelivered": q_stream_redelivered,
+    "stream_out_of_order": q_stream_out_of_order,
     "stream_feed": q_stream_feed,
     "stream_stats": q_stream_stats,
     "stream_known_pools": q_stream_known_pools,

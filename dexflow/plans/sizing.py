@@ -9,12 +9,10 @@ which AQE sizes and splits on skew.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 # Rows of a dimension allowed into a broadcast. Pool rows are ~300 bytes, so
 # the default keeps a broadcast under ~60 MB. Override per session with
@@ -39,7 +37,7 @@ def materialize_dimension(dim: DataFrame, limit: int | None = None, write: bool
         return dim
     limit = max_broadcast_rows(spark) if limit is None else limit
     if write:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-dims/{uuid.uuid4().hex}"
+        path = scratch_path(spark, "dexflow-dims")
         dim.write.parquet(path)
         dim = spark.read.parquet(path)
     rows = dim.count()

@@ -79,13 +79,15 @@ def write_events(events: DataFrame, path: str, mode: str = "append", bloom: bool
 def read_events(spark: SparkSession, path: str, columns: list[str] | None = None,
                 start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
     """O-04: scan the table; a time range also adds the ``event_month`` predicate so partitions are pruned."""
-    df = spark.read.parquet(path)
+    df = in_time_range(spark.read.parquet(path), start_ms, end_ms)
+    return df.select(*columns) if columns else df
+
+
+def in_time_range(df: DataFrame, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
     if start_ms is not None:
         df = df.filter((F.col("timestamp") >= start_ms) & (F.col("event_month") >= month_of(start_ms)))
     if end_ms is not None:
         df = df.filter((F.col("timestamp") < end_ms) & (F.col("event_month") <= month_of(end_ms - 1)))
-    if columns:
-        df = df.select(*columns)
     return df
 
 
@@ -108,10 +110,42 @@ def dedupe_by_id(events: DataFrame) -> DataFrame:
     return first.select("id", *[F.col(f"__r.{c}").alias(c) for c in cols]).select(*events.columns)
 
 
-def compact_month(spark: SparkSession, path: str, month: int, out_path: str) -> None:
-    """Rewrite one finished month without cross-batch duplicates (the compaction job)."""
-    df = spark.read.parquet(path).filter(F.col("event_month") == month).drop("batch_id")
-    write_events(dedupe_by_id(df), out_path, mode="overwrite", bloom=True)
+def months_around(month: int, distance: int) -> list[int]:
+    """The months (yyyymm) from ``distance`` before to ``distance`` after ``month``."""
+    n = month // 100 * 12 + month % 100 - 1
+    return [m // 12 * 100 + m % 12 + 1 for m in range(n - distance, n + distance + 1)]
+
+
+def compact_month(spark: SparkSession, path: str, month: int, out_path: str, horizon: int = 1) -> None:
+    """Rewrite one finished month without duplicates (the compaction job).
+
+    The time of a row is its arrival, so a log delivered again can lie in another
+    month: ids are compared over ``horizon`` months to both sides, and an
+    event stays in the month of its earliest copy alone.
+    """
+    df = spark.read.parquet(path).filter(F.col("event_month").isin(months_around(month, horizon)))
+    kept = dedupe_by_id(df.drop("batch_id")).filter(F.col("event_month") == month)
+    write_events(kept, out_path, mode="overwrite", bloom=True)
+
+
+def read_compacted(spark: SparkSession, path: str, compacted_path: str, columns: list[str] | None = None,
+                   start_ms: int | None = None, end_ms: int | None = None, horizon: int = 1) -> DataFrame:
+    """One row per event: compacted months as they are, the others of ``path`` without duplicates.
+
+    Filters and columns reach the scan of the compacted months, which need no shuffle. Only open
+    months are de-duplicated, against each other and against the compacted months
+    within ``horizon`` before or after one of them.
+    """
+    done = spark.read.parquet(compacted_path)
+    finished = {r[0] for r in done.select("event_month").distinct().collect()}  # one value per month
+    live = spark.read.parquet(path)
+    present = {r[0] for r in live.select("event_month").distinct().collect()}
+    near = {m for o in present - finished for m in months_around(o, horizon)} & finished
+    ids = done.filter(F.col("event_month").isin(sorted(near))).select("id")
+    recent = dedupe_by_id(live.filter(F.col("event_month").isin(sorted(present - finished))).select(*done.columns))
+    recent = recent.join(ids, "id", "left_anti")
+    parts = [in_time_range(df, start_ms, end_ms).select(*(columns or done.columns)) for df in (done, recent)]
+    return parts[0].unionByName(parts[1])
 
 
 

@@ -7,7 +7,11 @@ Per micro-batch, in one function:
    batch's rows go to partition ``batch_id=B``, replaced on replay), then join
    the same batch to the pool table with the (block, log_index) range
    condition, so events before a pool's creation in the same batch are
-   excluded;
+   excluded. Pool logs without a pool yet (or before its creation, as far as
+   known) go to a quarantine table; a batch that registers a pool, or an earlier
+   creation of one, takes that pool's logs from there, so files in any order
+   end in the batch answer. An event comes out in the one batch from which on the
+   registry matches it;
 3. write the event rows to ``event_month=M/batch_id=B`` with dynamic partition
    overwrite: a batch replayed after a crash replaces itself (exactly-once
    output on top of the checkpointed offsets); rows that one of the last
@@ -71,6 +75,10 @@ class EventIngestJob:
     def pools_path(self) -> str:
         return f"{self.root}/pools"
 
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.root}/quarantine"
+
     @property
     def rollup_path(self) -> str:
         return f"{self.root}/rollup_partials"
@@ -115,39 +123,41 @@ class EventIngestJob:
               .partitionBy("batch_id").parquet(self.pools_path))
 
     def known_pools(self, up_to_batch: int | None = None) -> DataFrame:
-        """All registered pools (earliest registration wins), optionally as of a batch."""
+        """All registered pools (a seed or the earliest creation wins), optionally as of a batch."""
         pools = self._read_pools()
         if up_to_batch is not None:
             pools = pools.filter(F.col("batch_id") <= up_to_batch)
-        cols = [c for c in enrich.POOL_COLUMNS if c != "pool_key"]
-        first = pools.groupBy("pool_key").agg(F.min_by(F.struct(*cols), F.col("batch_id")).alias("p"))
-        return first.select("pool_key", *[F.col(f"p.{c}").alias(c) for c in cols])
+        return enrich.first_registrations(pools)
 
     # -- one micro-batch -----------------------------------------------------
     def process_batch(self, logs: DataFrame, batch_id: int) -> None:
         logs = logs.persist()
-        rows = None
+        rows = fresh = None
         try:
             normalized = E.routed_logs(logs)
             prior = self._read_pools()
-            prior = prior.filter(F.col("batch_id") < batch_id).drop("batch_id") if prior is not None else None
+            if prior is not None:
+                prior = enrich.first_registrations(prior.filter(F.col("batch_id") < batch_id))
 
-            # (2) discovery: first creation per pool in this batch, unless already registered.
+            # (2) discovery: first creation per pool in this batch, unless registered from an earlier one.
             fresh = enrich.first_pools(E.factory_events(normalized))
             if prior is not None:
-                fresh = fresh.join(prior.select("pool_key"), "pool_key", "left_anti")
+                fresh = enrich.new_registrations(fresh, prior)
             fresh = fresh.persist()
             self._write_pools(fresh, batch_id)
             registered = fresh.select(*enrich.POOL_COLUMNS)
             if prior is not None:
-                registered = registered.unionByName(prior.select(*enrich.POOL_COLUMNS))
+                registered = enrich.first_registrations(registered.unionByName(prior))
+            accepted = E.pool_events(normalize.route_supported(normalize.with_log_metadata(logs)))
+            self._write_quarantine(enrich.split_by_pools(accepted, registered, matched=False), logs.columns, batch_id)
+            ready = logs if fresh.isEmpty() else logs.unionByName(self._released(fresh, prior, batch_id).select(*logs.columns))
             pool_dim = enrich.resolve_pool_tokens(
                 registered.withColumn("version", normalize.version_column("protocol")),
                 self.dims.known_tokens, self.dims.token_metadata)
 
             # (3) idempotent event write, duplicates inside the batch removed. The
             # registry comes from a written table: size-checked, no copy per batch.
-            rows = E.build_event_table(logs, self.dims, pool_dim=pool_dim, write_dimension=False)
+            rows = E.build_event_table(ready, self.dims, pool_dim=pool_dim, write_dimension=False)
             rows = store.dedupe_by_id(rows)
             stored = self._recent_ids(batch_id)
             if stored is not None:
@@ -155,7 +165,6 @@ class EventIngestJob:
             rows = rows.persist()
             store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True, shuffle=False)
             self._write_ids(rows, batch_id)
-            fresh.unpersist()
 
             # (4) rollup partials, (5) feed, (6) callbacks, all from this batch's rows
             # (the growing event table is never listed or re-read here).
@@ -167,10 +176,29 @@ class EventIngestJob:
             for fn in self.on_factory:
                 fn(rows.filter(F.col("event_type").isin(factory_types)), batch_id)
         finally:
-            if rows is not None:
-                rows.unpersist()
+            for df in (rows, fresh):
+                if df is not None:
+                    df.unpersist()
             logs.unpersist()
 
+    def _write_quarantine(self, unmatched: DataFrame, columns: list[str], batch_id: int) -> None:
+        (unmatched.select(*columns).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+                  .sortWithinPartitions("pool_address").write.mode("overwrite")
+                  .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.quarantine_path))
+
+    def _released(self, fresh: DataFrame, prior: DataFrame | None, batch_id: int) -> DataFrame:
+        """Quarantined logs of earlier batches that match a pool registered in this batch and none registered before.
+
+        Only batches that register a pool read the quarantine. Nothing is deleted from it, so a
+        replayed batch finds what it found the first time.
+        """
+        held = self._try_read(self.quarantine_path)
+        if held is None:
+            return self.spark.createDataFrame([], schemas.DECODED_LOGS)
+        held = normalize.route_supported(held.filter(F.col("batch_id") < batch_id).drop("batch_id"))
+        out = enrich.split_by_pools(held, fresh, matched=True)
+        return out if prior is None else enrich.split_by_pools(out, prior, matched=False)
+
     def _recent_ids(self, batch_id: int) -> DataFrame | None:
         """Ids stored by the ``redelivery_batches`` - 1 batches before this one (a replay does not see its own).
 

@@ -8,14 +8,12 @@ live stream, run to the end of the available input.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import normalize
 from ..plans import events as E
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources import tables
 from .ingest import REDELIVERY_BATCHES, EventIngestJob
 
@@ -26,7 +24,7 @@ ROWS_PER_CHUNK = 2_000_000
 ROW_GROUP_BYTES = 4 * 1024 * 1024
 
 
-def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
+def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4, newest_first: bool = False) -> int:
     """Write ``logs`` as time-ordered appends, one file per chunk, split at block boundaries.
 
     The logs are first written once, range-partitioned and sorted by block, next
@@ -38,7 +36,8 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
     with the input (about ``ROWS_PER_CHUNK`` rows each, more where one block has more). Each chunk is one
     file written after the previous one, so ``maxFilesPerTrigger=1`` makes one
     micro-batch per chunk; small row groups let the reader split that file
-    into parallel input partitions. Returns the number of chunks written.
+    into parallel input partitions. With ``newest_first`` the chunks are written in
+    reverse, so events arrive before the creation of their pool. Returns the number of chunks written.
     """
     spark = logs.sparkSession
     # A log without a block counts as block 0, as in the batch build; a range filter would drop it.
@@ -52,7 +51,8 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
     # The error shrinks with the number of chunks, so neighbouring bounds do not fall together.
     bounds = staged.approxQuantile("block_number", [i / chunks for i in range(1, chunks)], min(0.001, 0.1 / chunks))
     edges = [None, *sorted(set(bounds)), None]
-    for lo, hi in zip(edges, edges[1:]):
+    ranges = list(zip(edges, edges[1:]))
+    for lo, hi in reversed(ranges) if newest_first else ranges:
         part = staged
         if lo is not None:
             part = part.filter(F.col("block_number") > lo)
@@ -64,16 +64,18 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4) -> int:
 
 
 def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, chunks: int = 4,
-                    root: str | None = None, timeout_s: int | None = None, redeliver: bool = False) -> EventIngestJob:
+                    root: str | None = None, timeout_s: int | None = None, redeliver: bool = False,
+                    newest_first: bool = False) -> EventIngestJob:
     """Stage ``logs``, run the ingest job until the staged input is consumed, return the job (its tables).
 
     There is no time limit unless ``timeout_s`` is given; a run that reaches it is stopped and
     raises TimeoutError, so no caller reads incomplete tables. With ``redeliver`` the newest
-    quarter of the blocks arrives a second time at the end, within the job's horizon.
+    quarter of the blocks arrives a second time at the end, within the job's horizon;
+    with ``newest_first`` the chunks arrive in reverse order.
     """
-    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/dexflow-stream/{uuid.uuid4().hex}"
+    root = root or scratch_path(spark, "dexflow-stream")
     source = f"{root}/source"
-    batches = stage_in_time_order(logs, source, chunks)
+    batches = stage_in_time_order(logs, source, chunks, newest_first)
     if redeliver:
         staged = spark.read.parquet(source)
         newest = staged.approxQuantile("block_number", [0.75], 0.01)

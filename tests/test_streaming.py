@@ -207,3 +207,17 @@ def test_restart_from_checkpoint_copy_without_last_commit(spark, fx_dims, tmp_pa
     assert job2.read_events(dedupe=False).count() == n_before  # and replaced itself
     after = sorted(r.id for r in job2.read_events(dedupe=False).select("id").collect())
     assert after == before
+
+
+def test_files_in_any_order_equal_batch(spark, fx_dims, tmp_path):
+    from dexflow.streaming.replay import run_file_stream
+    logs = fixtures.decoded_logs(spark, SF_SMALL)
+    job = run_file_stream(spark, logs, fx_dims, root=str(tmp_path / "s"), newest_first=True)
+    streamed = job.read_events(dedupe=False).select(*COLS)
+    batch = E.build_event_table(logs, fx_dims).select(*COLS)
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    # The registry ends at the earliest creation, as in the batch build.
+    pools = E.pool_dimension(E.routed_logs(logs), fx_dims).select("pool_key", "created_block", "created_log_index")
+    assert job.known_pools().select(*pools.columns).exceptAll(pools).count() == 0
+    assert sum(r.event_count for r in job.read_rollup().collect()) == batch.count()
