@@ -132,12 +132,12 @@ class EventIngestJob:
     # -- one micro-batch -----------------------------------------------------
     def process_batch(self, logs: DataFrame, batch_id: int) -> None:
         logs = logs.persist()
-        rows = fresh = None
+        rows = fresh = registered = prior = None
         try:
             normalized = E.routed_logs(logs)
             prior = self._read_pools()
             if prior is not None:
-                prior = enrich.first_registrations(prior.filter(F.col("batch_id") < batch_id))
+                prior = enrich.first_registrations(prior.filter(F.col("batch_id") < batch_id)).persist()
 
             # (2) discovery: first creation per pool in this batch, unless registered from an earlier one.
             fresh = enrich.first_pools(E.factory_events(normalized))
@@ -148,6 +148,7 @@ class EventIngestJob:
             registered = fresh.select(*enrich.POOL_COLUMNS)
             if prior is not None:
                 registered = enrich.first_registrations(registered.unionByName(prior))
+            registered = registered.persist()
             accepted = E.pool_events(normalize.route_supported(normalize.with_log_metadata(logs)))
             self._write_quarantine(enrich.split_by_pools(accepted, registered, matched=False), logs.columns, batch_id)
             ready = logs if fresh.isEmpty() else logs.unionByName(self._released(fresh, prior, batch_id).select(*logs.columns))
@@ -176,7 +177,7 @@ class EventIngestJob:
             for fn in self.on_factory:
                 fn(rows.filter(F.col("event_type").isin(factory_types)), batch_id)
         finally:
-            for df in (rows, fresh):
+            for df in (rows, registered, fresh, prior):
                 if df is not None:
                     df.unpersist()
             logs.unpersist()
