@@ -1,4 +1,4 @@
-"""Mixing to target weights: domain posteriors from a labelled table, document rates by projected-gradient least squares."""
+"""Mixing to target weights: domain posteriors from a labelled table, document rates by least squares over rates of 0 or more."""
 
 from __future__ import annotations
 
@@ -15,8 +15,12 @@ from .words import U
 HASHED, DENSE = 1 << 18, 6
 #: Labelled documents the classifier is fitted on at most; steps, step size and decay of the fit.
 LABELLED, STEPS, RATE, DECAY = 6000, 150, 0.05, 1e-4
-#: Steps of the rate fit at most, and the share of all tokens by which a domain may miss its target.
-ROUNDS, CLOSE = 40, 1e-5
+#: Share of all tokens by which a domain may miss its target; where targets cannot be met, the share that the gradient may have.
+CLOSE, FLAT = 1e-5, 1e-7
+#: Weight of the squared distance of the rates from 1 against that of the totals from the targets.
+RIDGE = 1e-6
+#: Newton and gradient steps tried in a round, as multiples of the full step; rounds after which the fit is given up with an error.
+NEWTON, GRADIENT, ROUNDS = (1.0, 0.5, 0.25, 0.0625, 0.0078125), (1.0, 8.0), 200
 
 CAPITAL = np.zeros(256, bool)
 CAPITAL[65:91] = True
@@ -145,42 +149,60 @@ def rate(history: list[list[float]]) -> Column:
 
 
 def fit_rates(scored: DataFrame, expected: np.ndarray, targets: np.ndarray) -> list[list[float]]:
-    """Steps of projected gradient descent that bring the expected token totals of the domains to ``targets``.
+    """The step ``m`` from rates of 1 to those that bring the expected token totals of the domains to ``targets``.
 
     Minimises the distance of S to the targets, S[d] = sum of rate * tokens * p[d], over
-    rates of 0 or more, from rates of 1. The distance is least squares with each domain
-    weighed by the inverse of its tokens at rates of 1 (``expected``); in that metric a step of the
-    whole gradient, p times (S - target) / expected, never overshoots. Each step is projected
-    on the rates of 0 or more. A round is one aggregation over all documents to as many
-    numbers as there are domains; rates are never stored, they follow from the few steps so
-    far. It ends when every domain is within ``CLOSE`` of all tokens, or when a round brings the
-    worst domain less than 3 % nearer.
+    rates of 0 or more. The distance is least squares with each domain weighed by the inverse of its
+    tokens at rates of 1 (``expected``), plus ``RIDGE`` times that of the rates from 1, so of the
+    rates that do equally well those nearest to 1 are taken. Such rates are max(0, 1 + p m) for a
+    vector m with a number per domain, the minimum of a smooth convex function with gradient
+    S - targets + RIDGE * expected * m and, as second derivative, the Gram matrix of p over the documents
+    above 0. A round is one aggregation over all documents to value, gradient and Gram matrix
+    at several Newton steps from the best m so far, and at gradient steps, of which the one by
+    1 / expected never overshoots. It ends when every domain is within ``CLOSE`` of all tokens,
+    when no part of the gradient is over ``FLAT`` of them, or when numbers of 64 bits show no gain.
     """
     known = expected > 0
     if not known.any():
         return []
-    history: list[list[float]] = []
-    least = np.inf
+    k, total = len(targets), expected.sum()
+    scale, goal = np.where(known, expected, 1), np.where(known, targets, 0)
+    here, least, tries = None, np.inf, [np.zeros(k)]
     for _ in range(ROUNDS):
-        sums = token_sums(scored, history, len(targets)).agg(*[F.sum(F.col("s")[d]).alias(f"s{d}") for d in range(len(targets))]).first()
-        off = np.where(known, np.array(sums, float) - targets, 0)
-        worst = np.abs(off).max() / expected.sum()
-        if worst <= CLOSE or worst > 0.97 * least:
+        n = 1 + k + k * k
+        got = token_sums(scored, tries, k).agg(*[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(n * len(tries))]).first()
+        got = np.array(got, float).reshape(len(tries), n)
+        values = [g[0] - goal @ m + RIDGE / 2 * scale @ (m * m) for g, m in zip(got, tries)]
+        best = int(np.argmin(values))
+        if not values[best] < least:
             break
-        least = worst
-        history.append([float(-x) for x in off / np.where(known, expected, 1)])
-    return history
+        least, here = values[best], tries[best]
+        off = np.where(known, got[best, 1:k + 1] - goal, 0)
+        slope = off + RIDGE * scale * here
+        if np.abs(off).max() <= CLOSE * total or np.abs(slope).max() <= FLAT * total:
+            break
+        newton = np.linalg.solve(got[best, k + 1:].reshape(k, k) + np.diag(RIDGE * scale), -slope)
+        tries = [here + x * newton for x in NEWTON] + [here - x * slope / scale / (1 + RIDGE) for x in GRADIENT]
+    else:
+        raise RuntimeError(f"the rates are not fitted after {ROUNDS} rounds")
+    return [here.tolist()]
+
 
+def token_sums(scored: DataFrame, tries: list[np.ndarray], k: int) -> DataFrame:
+    """``s``: for each of ``tries``, half the tokens times squared rates, the expected tokens of the domains, and the Gram matrix.
 
-def token_sums(scored: DataFrame, steps: list[list[float]], k: int) -> DataFrame:
-    """``s``, the expected tokens of the domains at the rates after ``steps``, for each batch of documents."""
+    One row for each batch of documents; the Gram matrix is of p over the documents with a rate above 0, by tokens.
+    """
 
     def add(batches):
         for batch in batches:
             if batch.num_rows:
                 p = batch.column("p").flatten().to_numpy().reshape(-1, k)
-                s = (rates_of(p, steps) * batch.column("n_tokens").to_numpy()) @ p
-                yield pa.record_batch([pa.array([s.tolist()], pa.list_(pa.float64()))], names=["s"])
+                tokens, s = batch.column("n_tokens").to_numpy(), []
+                for m in tries:
+                    r = rates_of(p, [m])
+                    s += [r @ (r * tokens) / 2, *((r * tokens) @ p), *(p.T @ (p * (tokens * (r > 0))[:, None])).reshape(-1)]
+                yield pa.record_batch([pa.array([list(map(float, s))], pa.list_(pa.float64()))], names=["s"])
 
     return scored.select("n_tokens", "p").mapInArrow(add, "s array<double>")
 

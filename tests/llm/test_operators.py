@@ -320,6 +320,28 @@ def test_mixing(spark):
     assert mixing.mix_documents(docs.limit(0), labels).count() == 0
 
 
+def overlapping(n):
+    """Tokens and posteriors of good, poor and toxic documents, of which many could be either."""
+    rng = np.random.default_rng(1)
+    prior = np.array([0.76, 0.127, 0.113])
+    x = rng.normal(size=(n, 3))
+    x[np.arange(n), rng.choice(3, n, p=prior)] += 2
+    p = np.exp(2 * x) * prior
+    return rng.integers(20, 2000, n), p / p.sum(axis=1, keepdims=True)
+
+
+def test_rates_are_fitted_to_the_optimum(spark):
+    tokens, p = overlapping(20_000)
+    scored = spark.createDataFrame([(int(t), list(map(float, x))) for t, x in zip(tokens, p)], "n_tokens long, p array<double>")
+    expected = tokens @ p
+    targets = np.array([0.9, 0.1, 0]) * expected[0] / 0.9
+    r = mixing.rates_of(p, mixing.fit_rates(scored, expected, targets))
+    off = (r * tokens) @ p - targets
+    assert np.abs(off).max() < 1e-3 * expected.sum()
+    slope = p @ (off / expected)
+    assert np.where(r > 0, np.abs(slope), -slope).max() < 1e-4
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     now = docs
