@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import heapq
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
 
-#: Groups, or partial partitions, that one task combines; also the most that the driver does.
+#: Bundles of groups for each shard, and the most large groups for each; the driver differences them all.
 FAN = 2000
 #: Rows that one task numbers.
 BIN = 20_000
@@ -55,46 +53,27 @@ def _bins(rows: int, most: int) -> int:
 
 
 def assign_groups(groups: DataFrame, shards: int) -> DataFrame:
-    """``key, size`` groups to ``key, shard``, by differencing in a tree of tasks.
+    """``key, size`` groups to ``key, shard``, by one differencing run over large groups and bundles of the others.
 
-    Groups are dealt over buckets of about ``FAN``; a task differences its bucket to one
-    partial partition. Buckets are then combined the same way, level by level, and
-    the driver combines the last ``FAN`` at most.
+    A group above a ``shards * FAN``-th of all bytes is an item by itself, so there are fewer than
+    ``shards * FAN`` of them; the others are dealt by hash over as many bundles, each an item that goes to one
+    shard undivided. The driver differences all items at once, whatever the number of groups, so that
+    bundles make room for a group of any size.
     """
     spark = groups.sparkSession
-    n = groups.count()
-    if not n:
+    total = groups.agg(F.sum(F.col("size").cast("decimal(38,0)"))).first()[0]
+    if total is None:
         return groups.select("key", F.lit(0).alias("shard")).limit(0)
-
-    def first(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("key", ignore_index=True)
-        to, _ = difference([(int(s), *[0] * (shards - 1)) for s in pdf["size"]])
-        return pdf.assign(slot=np.array([t[0] for t in to], "int32"))[["key", "size", "bucket", "slot"]]
-
-    def later(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bucket", ignore_index=True)
-        to, loads = difference([tuple(map(int, x)) for x in pdf["loads"]])
-        return pdf.assign(places=to, up_loads=[loads] * len(pdf))[["bucket", "up", "places", "up_loads"]]
-
-    buckets = _bins(n, FAN)
-    dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("long"))
-    placed = saved(dealt.groupBy("bucket").applyInPandas(first, "key binary, size long, bucket long, slot int"), "slots")
-    slots = placed.groupBy("bucket").agg(*[F.sum(F.when(F.col("slot") == s, F.col("size")).otherwise(0)).alias(f"l{s}")
-                                           for s in range(shards)])
-    level = slots.select("bucket", F.array(*[f"l{s}" for s in range(shards)]).alias("loads"))
-    result = placed.select("key", "bucket", "slot")
-    while buckets > FAN:
-        buckets = _bins(buckets, FAN)
-        up = level.withColumn("up", F.pmod(F.xxhash64("bucket"), F.lit(buckets)).cast("long"))
-        up = saved(up.groupBy("up").applyInPandas(
-            later, "bucket long, up long, places array<int>, up_loads array<long>"), "levels")
-        result = result.join(up.select("bucket", "up", "places"), "bucket").select(
-            "key", F.col("up").alias("bucket"), F.expr("places[slot]").alias("slot"))
-        level = up.groupBy(F.col("up").alias("bucket")).agg(F.first("up_loads").alias("loads"))
-    top = sorted((r["bucket"], tuple(r["loads"])) for r in level.collect())
-    to, _ = difference([loads for _, loads in top])
-    last = spark.createDataFrame([(b, t) for (b, _), t in zip(top, to)], "bucket long, places array<int>")
-    return result.join(F.broadcast(last), "bucket").select("key", F.expr("places[slot]").alias("shard"))
+    items = shards * FAN
+    alone = F.col("size") > F.lit(int(total) // items)
+    bundled = groups.where(~alone).select("key", "size", F.pmod(F.xxhash64("key"), F.lit(items)).cast("int").alias("bundle"))
+    large = sorted((bytes(r["key"]), r["size"]) for r in groups.where(alone).collect())
+    bundles = sorted(tuple(r) for r in bundled.groupBy("bundle").agg(F.sum("size")).collect())
+    to, _ = difference([(int(x), *[0] * (shards - 1)) for _, x in large + bundles])
+    slots = [t[0] for t in to]
+    by_key = spark.createDataFrame([(k, t) for (k, _), t in zip(large, slots)], "key binary, shard int")
+    by_bundle = spark.createDataFrame([(k, t) for (k, _), t in zip(bundles, slots[len(large):])], "bundle int, shard int")
+    return bundled.join(F.broadcast(by_bundle), "bundle").select("key", "shard").unionByName(by_key)
 
 
 def number_rows(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:

@@ -236,6 +236,21 @@ def test_shards(spark, monkeypatch):
     assert shards.shard_documents(spark.createDataFrame([], TEXT)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.1, 1 / 3])
+def test_shards_offset_a_large_group(spark, share):
+    n = 2 * shards.FAN + 1
+    sizes = [100 + i * 7919 % 901 for i in range(n)]
+    sizes[5] = round(share / (1 - share) * (sum(sizes) - sizes[5]))
+    groups = spark.createDataFrame([(hashlib.md5(b"%d" % i).digest(), s) for i, s in enumerate(sizes)], "key binary, size long")
+    placed = {bytes(r["key"]): r["shard"] for r in shards.assign_groups(groups, 8).collect()}
+    loads = [0] * 8
+    for i, s in enumerate(sizes):
+        loads[placed[hashlib.md5(b"%d" % i).digest()]] += s
+    assert len(placed) == n
+    total, others = sum(sizes), 1 / 8 if share < 1 / 8 else (1 - share) / 7
+    assert abs(max(loads) / total - max(share, 1 / 8)) < 1e-3 and abs(min(loads) / total - others) < 1e-3
+
+
 def test_difference_keeps_every_load():
     loads = [(5, 0, 0), (4, 1, 0), (7, 7, 7), (3, 0, 0)]
     to, total = shards.difference(loads)
