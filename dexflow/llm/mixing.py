@@ -128,7 +128,7 @@ def fitted(docs: DataFrame, labelled: DataFrame) -> Classifier | None:
 
 
 def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """doc_id, n_tokens (words) and p, the domain posteriors, for every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_tokens (words), p, the domain posteriors, and draw for every row of ``docs`` (doc_id, text)."""
 
     def score(batches):
         rolling = words.Rolling(words.BYTE_STEP)
@@ -136,9 +136,15 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
             f = Features(data, offsets, rolling)
             p = model.posteriors(f)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.reshape(-1)))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(f.words.astype(np.int64)), lists], names=["doc_id", "n_tokens", "p"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(f.words.astype(np.int64)), lists, batch.column("draw")],
+                                  names=["doc_id", "n_tokens", "p", "draw"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, n_tokens long, p array<double>")
+    return docs.select("doc_id", "text", draw().alias("draw")).mapInArrow(score, "doc_id long, n_tokens long, p array<double>, draw double")
+
+
+def draw() -> Column:
+    """A number from 0 up to 1 by the hash of a row's doc_id and text."""
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
 def rate(history: list[list[float]]) -> Column:
@@ -244,9 +250,10 @@ def mix_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float]
     domains without a labelled document cannot be told apart and are left out, the others
     rescaled. The budget is all tokens, or, if ``floor`` names a domain, so many that this domain
     keeps its expected tokens. domain is the likeliest one, p the posteriors by name of the
-    domain. copies is the rate rounded to the nearest whole number, halves up.
+    domain. copies is the whole part of the rate, and one more if a hash of doc_id and text falls below the
+    rest, so that the tokens of all copies are those of the rates in expectation.
 
-    Each row has a rate of its own, also null ids and repeated rows. A null or empty text has no
+    Each row has a rate of its own, also null ids and repeated rows (rows equal in both columns get equal copies). A null or empty text has no
     tokens and moves nothing. Without any labelled document every rate is 1, and domain
     and p are null; empty tables give no rows. Columns other than those named are ignored.
     """
@@ -257,8 +264,8 @@ def mix_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float]
                            F.lit(None).cast("array<double>").alias("p"), F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
     names = F.array(*[F.lit(d) for d in mix.model.domains])
     likeliest = names[F.expr("cast(array_position(p, array_max(p)) - 1 as int)")]
-    return (mix.scored.select("doc_id", "n_tokens", likeliest.alias("domain"), "p", rate(mix.steps).alias("rate"))
-            .withColumn("copies", F.floor(F.col("rate") + 0.5)))
+    return (mix.scored.select("doc_id", "n_tokens", likeliest.alias("domain"), "p", rate(mix.steps).alias("rate"), "draw")
+            .withColumn("copies", F.floor("rate") + (F.col("draw") < F.col("rate") - F.floor("rate")).cast("long")).drop("draw"))
 
 
 def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGETS, floor: str | None = "good") -> DataFrame:
@@ -272,7 +279,9 @@ def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET
     def repeat(batches):
         rolling = words.Rolling(words.BYTE_STEP)
         for batch, data, offsets in words.pieces(batches):
-            copies = np.floor(rates_of(model.posteriors(Features(data, offsets, rolling)), steps) + 0.5).astype(int)
-            yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
+            rates = rates_of(model.posteriors(Features(data, offsets, rolling)), steps)
+            copies = np.floor(rates).astype(int) + (batch.columns[-1].to_numpy() < rates - np.floor(rates))
+            rows = pa.record_batch(batch.columns[:-1], names=batch.schema.names[:-1])
+            yield rows.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
-    return docs.mapInArrow(repeat, docs.schema)
+    return docs.select("*", draw().alias("_draw")).mapInArrow(repeat, docs.schema)

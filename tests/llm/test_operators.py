@@ -357,6 +357,21 @@ def test_rates_are_fitted_to_the_optimum(spark):
     assert np.where(r > 0, np.abs(slope), -slope).max() < 1e-4
 
 
+@pytest.mark.parametrize("poor", [0.1, 0.4])
+def test_copies_have_the_target_shares(spark, poor):
+    rng = random.Random(6)
+    kind = ["poor" if rng.random() < poor else "good" for _ in range(3000)]
+    docs = [(i, " ".join(f"{k}{rng.randrange(50)}" for _ in range(rng.randrange(20, 40)))) for i, k in enumerate(kind)]
+    df = spark.createDataFrame(docs, TEXT)
+    labels = spark.createDataFrame([(i, int(k == "good"), 0) for i, k in enumerate(kind)], "doc_id long, quality int, toxic int")
+    tokens, copies = {"good": 0, "poor": 0}, {}
+    for r in mixing.remix(df, labels).collect():
+        tokens[kind[r["doc_id"]]] += len(r["text"].split())
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    assert abs(tokens["poor"] / sum(tokens.values()) - 0.1) < 0.015
+    assert {r["doc_id"]: r["copies"] for r in mixing.mix_documents(df, labels).collect() if r["copies"]} == copies
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     now = docs
