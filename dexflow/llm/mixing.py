@@ -13,7 +13,7 @@ from .words import U
 
 #: Word features (hashed), and dense ones: shares of capitals, digits and signs, repetition, word length, size.
 HASHED, DENSE = 1 << 18, 6
-#: Labelled documents the classifier is fitted on at most; steps, step size and decay of the fit.
+#: Labelled documents of a domain that the classifier is fitted on, about, at most; steps, step size and decay of the fit.
 LABELLED, STEPS, RATE, DECAY = 6000, 150, 0.05, 1e-4
 #: Share of all tokens by which a domain may miss its target; where targets cannot be met, the share that the gradient may have.
 CLOSE, FLAT = 1e-5, 1e-7
@@ -96,11 +96,20 @@ def label_domain(labels: DataFrame) -> DataFrame:
 
 
 def fitted(docs: DataFrame, labelled: DataFrame) -> Classifier | None:
-    """A classifier of ``domain``, fitted on at most ``LABELLED`` documents drawn by a hash of their id; None without any.
+    """A classifier of ``domain``, fitted on about ``LABELLED`` documents of each domain at most; None without any.
 
-    The drawn labels are few enough to be broadcast, so the documents are read once and not shuffled.
+    Only labels with a document that has a text count. They are drawn domain by domain, by a hash of their id,
+    and the prior of each domain is then set right to its count before the draw. The drawn
+    labels are few enough to be broadcast, so only the ids of the documents are shuffled.
+    Of rows with one id, one is learned from.
     """
-    drawn = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    present = docs.where("text is not null and doc_id is not null").select("doc_id").distinct()
+    present = saved(labelled.join(present, "doc_id", "left_semi"), "labelled")
+    counts = {r["domain"]: r["n"] for r in present.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return None
+    share = F.create_map(*[F.lit(x) for d, n in counts.items() for x in (d, min(1.0, LABELLED / n))])[F.col("domain")]
+    drawn = present.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     rows = docs.where("text is not null").join(F.broadcast(drawn), "doc_id").select("doc_id", "domain", "text")
 
     def extract(batches):
@@ -112,8 +121,9 @@ def fitted(docs: DataFrame, labelled: DataFrame) -> Classifier | None:
             yield pa.record_batch([batch.column("doc_id"), batch.column("domain"), pa.array(index, pa.binary()),
                                    pa.array([x.tobytes() for x in f.dense], pa.binary())], names=["doc_id", "domain", "words", "dense"])
 
-    got = rows.mapInArrow(extract, "doc_id long, domain string, words binary, dense binary").collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], bytes(r["words"])))[:LABELLED]
+    got = rows.mapInArrow(extract, "doc_id long, domain string, words binary, dense binary")
+    got = got.groupBy("doc_id").agg(F.min(F.struct("domain", "words", "dense")).alias("r")).select("doc_id", "r.*").collect()
+    got = sorted(got, key=lambda r: r["doc_id"])
     if not got:
         return None
     out = Classifier(sorted({r["domain"] for r in got}))
@@ -123,7 +133,10 @@ def fitted(docs: DataFrame, labelled: DataFrame) -> Classifier | None:
     f.dense = np.stack([np.frombuffer(r["dense"]) for r in got])
     f.weight = 1 / np.sqrt(np.maximum([len(p) for p in parts], 1))
     f.words = np.array([len(p) for p in parts])
-    out.fit(f, np.array([out.domains.index(r["domain"]) for r in got]))
+    y = np.array([out.domains.index(r["domain"]) for r in got])
+    out.fit(f, y)
+    prior = np.array([counts[d] for d in out.domains]) / np.bincount(y)
+    out.dense[-1] += np.log(prior / prior.max())
     return out
 
 

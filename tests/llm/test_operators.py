@@ -372,6 +372,21 @@ def test_copies_have_the_target_shares(spark, poor):
     assert {r["doc_id"]: r["copies"] for r in mixing.mix_documents(df, labels).collect() if r["copies"]} == copies
 
 
+def test_rare_domain_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LABELLED", 200)
+    rng = random.Random(7)
+    kind = ["toxic" if i % 500 == 7 else "poor" if i % 10 == 3 else "good" for i in range(4000)]
+    docs = [(i, " ".join(f"{k}{rng.randrange(20)}" for _ in range(20))) for i, k in enumerate(kind)]
+    labels = [(i, int(k == "good"), int(k == "toxic")) for i, k in enumerate(kind)] + [(i, 0, 0) for i in range(4000, 12_000)]
+    df, truth = spark.createDataFrame(docs, TEXT), mixing.label_domain(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    model = mixing.fitted(df.unionByName(df), truth)
+    assert model.domains == ["good", "poor", "toxic"]
+    got = mixing.posteriors(df, model).collect()
+    assert all(model.domains[int(np.argmax(r["p"]))] == kind[r["doc_id"]] for r in got)
+    mean = np.mean([r["p"] for r in got], axis=0)
+    assert np.abs(mean - [kind.count(d) / len(kind) for d in model.domains]).max() < 0.02
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     now = docs
