@@ -15,6 +15,8 @@ from .words import U
 HASHED, DENSE = 1 << 18, 6
 #: Labelled documents of a domain that the classifier is fitted on, about, at most; steps, step size and decay of the fit.
 LABELLED, STEPS, RATE, DECAY = 6000, 150, 0.05, 1e-4
+#: Documents whose words a step of the fit sums at once.
+PART = 2000
 #: Share of all tokens by which a domain may miss its target; where targets cannot be met, the share that the gradient may have.
 CLOSE, FLAT = 1e-5, 1e-7
 #: Weight of the squared distance of the rates from 1 against that of the totals from the targets.
@@ -65,20 +67,32 @@ class Classifier:
         return s / s.sum(axis=1, keepdims=True)
 
     def fit(self, f: Features, y: np.ndarray) -> None:
-        """Full-batch Adam on the mean cross entropy; only words of the sample get weights."""
-        used, index = np.unique(f.index, return_inverse=True)
+        """Full-batch Adam on the mean cross entropy, summed part by part; only words of the sample get weights."""
+        seen = np.zeros(HASHED, bool)
+        seen[f.index] = True
+        used, index = np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[f.index]
         n, k = len(y), len(self.domains)
+        cuts = [*range(0, n, PART), n]
+        ends = np.searchsorted(f.text, cuts)
+        parts = [(slice(a, b), slice(lo, hi)) for a, b, lo, hi in zip(cuts, cuts[1:], ends, ends[1:])]
         params = [np.zeros((len(used), k)), np.zeros((DENSE + 1, k))]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         dense = np.hstack([f.dense, np.ones((n, 1))])
         for step in range(1, STEPS + 1):
-            s = np.stack([np.bincount(f.text, params[0][index, c], n) for c in range(k)], 1) * f.weight[:, None] + dense @ params[1]
+            s = dense @ params[1]
+            for at, own in parts:
+                text = f.text[own] - at.start
+                sums = [np.bincount(text, params[0][index[own], c], at.stop - at.start) for c in range(k)]
+                s[at] += np.stack(sums, 1) * f.weight[at, None]
             s = np.exp(s - s.max(axis=1, keepdims=True))
             p = s / s.sum(axis=1, keepdims=True)
             p[np.arange(n), y] -= 1
             p /= n
             scaled = p * f.weight[:, None]
-            grads = [np.stack([np.bincount(index, scaled[f.text, c], len(used)) for c in range(k)], 1) + DECAY * params[0] / n, dense.T @ p]
+            grads = [DECAY * params[0] / n, dense.T @ p]
+            for _, own in parts:
+                for c in range(k):
+                    grads[0][:, c] += np.bincount(index[own], scaled[f.text[own], c], len(used))
             for w, g, a, b in zip(params, grads, first, second):
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
@@ -128,12 +142,13 @@ def fitted(docs: DataFrame, labelled: DataFrame) -> Classifier | None:
         return None
     out = Classifier(sorted({r["domain"] for r in got}))
     f = Features.__new__(Features)
-    parts = [np.frombuffer(r["words"], np.int32).astype(np.int64) for r in got]
-    f.index, f.text = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    sizes = [len(r["words"]) // 4 for r in got]
+    f.index = np.frombuffer(b"".join(r["words"] for r in got), np.int32)
+    f.text = np.repeat(np.arange(len(got), dtype=np.int32), sizes)
     f.dense = np.stack([np.frombuffer(r["dense"]) for r in got])
-    f.weight = 1 / np.sqrt(np.maximum([len(p) for p in parts], 1))
-    f.words = np.array([len(p) for p in parts])
+    f.weight, f.words = 1 / np.sqrt(np.maximum(sizes, 1)), np.array(sizes)
     y = np.array([out.domains.index(r["domain"]) for r in got])
+    del got
     out.fit(f, y)
     prior = np.array([counts[d] for d in out.domains]) / np.bincount(y)
     out.dense[-1] += np.log(prior / prior.max())
