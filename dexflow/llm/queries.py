@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chats, decontam, embeddings, langid, minhash, mixing, quality, shards, substring, urls, warc
+from . import chats, decontam, embeddings, langid, minhash, mixing, quality, repair, shards, substring, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=2, percent=80)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.report(repair.repair_conversations(repair.damaged(turns)))
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
@@ -77,9 +82,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_chat_format": op9_chat_format,
     "op10_minhash": op10_minhash,
+    "op11_repair": op11_repair,
     "op12_quality": op12_quality,
 }
 
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB has no CRC-32; this is its bitwise form for ASCII text."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, k: xor(y >> 1, 3988292384::BIGINT * (y & 1)))), 4294967295::BIGINT)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -152,4 +166,51 @@ ORACLE: dict[str, str] = {
         r AS (SELECT doc_id AS v, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.v)
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
         FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT v AS doc_id, min(c) AS component_id FROM r GROUP BY v) USING (doc_id)""",
+    # Forwards, with the cheapest edits from the start to each of the four states so far, of equal ones the least letters.
+    "op11_repair": rf"""
+        WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k FROM conversations),
+        d AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, copy,
+                CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+              FROM c, (SELECT unnest([1, 2]) AS copy) WHERE k <> 0 AND (copy = 1 OR k = 3)),
+        n AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text
+                ORDER BY turn NULLS FIRST, copy) > 1 AS again, lag(role[1]) OVER w || role[1] AS pair,
+                regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+              FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        f AS (SELECT conv_id, turn, i, role, text, bare = '' AS blank, bare <> '' AND again AS duplicate,
+                bare <> '' AND NOT again AND NOT suffix(bare, '.') AND NOT suffix(bare, '!') AND NOT suffix(bare, '?') AS truncated,
+                pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au') AS illegal FROM n),
+        far AS (SELECT {{'c': 1000000, 'a': '', 'o': []::VARCHAR[]}} AS x),
+        r AS (SELECT conv_id, 0 AS i, {{'c': 0, 'a': '', 'o': []::VARCHAR[]}} AS s0, x AS s1, x AS s2, x AS s3
+              FROM (SELECT DISTINCT conv_id FROM conversations), far
+            UNION ALL
+              SELECT r.conv_id, f.i,
+                {{'c': p0.c + 4, 'a': p0.a || 'D', 'o': p0.o}},
+                list_sort([{{'c': p1.c + 4, 'a': p1.a || 'D', 'o': p1.o}},
+                    {{'c': p0.c + e + CASE WHEN role[1] = 's' THEN 0 ELSE 1000000 END, 'a': p0.a || 'K', 'o': list_append(p0.o, line)}}])[1],
+                list_sort(list_concat([{{'c': p2.c + 4, 'a': p2.a || 'D', 'o': p2.o}}], list_concat(
+                    list_transform([p0, p1, p3], lambda p: {{'c': p.c + e + CASE WHEN role[1] = 'u' THEN 0 ELSE 1000000 END, 'a': p.a || 'K',
+                        'o': list_append(p.o, line)}}),
+                    list_transform([p0, p1, p3], lambda p: {{'c': p.c + e + 3, 'a': p.a || 'R', 'o': list_append(p.o, 'user:' || text)}}))))[1],
+                list_sort([{{'c': p3.c + 4, 'a': p3.a || 'D', 'o': p3.o}},
+                    {{'c': p2.c + e + CASE WHEN role[1] = 'a' THEN 0 ELSE 1000000 END, 'a': p2.a || 'K', 'o': list_append(p2.o, line)}},
+                    {{'c': p2.c + e + 3, 'a': p2.a || 'R', 'o': list_append(p2.o, 'assistant:' || text)}}])[1]
+              FROM (SELECT conv_id, i, s0 AS p0, s1 AS p1, p2,
+                        list_sort([s3, {{'c': p2.c + 3, 'a': p2.a || 'I', 'o': list_append(p2.o, 'assistant:')}}])[1] AS p3
+                    FROM (SELECT *, list_sort([s2, {{'c': s0.c + 3, 'a': s0.a || 'I', 'o': list_append(s0.o, 'user:')}},
+                        {{'c': s1.c + 3, 'a': s1.a || 'I', 'o': list_append(s1.o, 'user:')}},
+                        {{'c': s3.c + 3, 'a': s3.a || 'I', 'o': list_append(s3.o, 'user:')}}])[1] AS p2 FROM r)) r
+              JOIN (SELECT *, role || ':' || text AS line, CASE WHEN blank OR duplicate THEN 1000000 WHEN truncated THEN 3 ELSE 0 END AS e FROM f) f
+                ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1),
+        t AS (SELECT conv_id, max(i) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank,
+                count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+              FROM f GROUP BY conv_id),
+        z AS (SELECT r.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+                coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+                list_sort([s0, s3, {{'c': s2.c + 3, 'a': s2.a || 'I', 'o': list_append(s2.o, 'assistant:')}},
+                    {{'c': s1.c + 6, 'a': s1.a || 'II', 'o': list_concat(s1.o, ['user:', 'assistant:'])}}])[1] AS best
+              FROM r LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM r.conv_id WHERE r.i = coalesce(n, 0))
+        SELECT conv_id, gaps::BIGINT AS gaps, blank::BIGINT AS blank, duplicate::BIGINT AS duplicate, truncated::BIGINT AS truncated,
+               illegal::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit, sha256(array_to_string(best.o, chr(10))) AS repaired_sha256
+        FROM z""",
 }
