@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chats, decontam, embeddings, langid, minhash, mixing, quality, repair, shards, substring, urls, warc
+from . import chats, decontam, embeddings, langid, minhash, mixing, quality, repair, shards, substring, trie, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie_report(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash": op10_minhash,
     "op11_repair": op11_repair,
     "op12_quality": op12_quality,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
@@ -213,4 +218,23 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, gaps::BIGINT AS gaps, blank::BIGINT AS blank, duplicate::BIGINT AS duplicate, truncated::BIGINT AS truncated,
                illegal::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit, sha256(array_to_string(best.o, chr(10))) AS repaired_sha256
         FROM z""",
+    "op13_prefix_trie": f"""
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+              FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY place) AS own, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM t GROUP BY conv_id),
+        c AS (SELECT o.conv_id, list_concat(coalesce(b.own[1:o.h], []), o.own[o.h + 1:]) AS turns
+              FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100),
+        n AS (SELECT key, len(key) AS depth, key[1:len(key) - 1] AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+                (count(*) - 1) * coalesce(length(any_value(key)[-1].x), 0) AS weight,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends_sha256
+              FROM (SELECT conv_id, len(turns) AS total, d AS depth, turns[1:d] AS key FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c))
+              GROUP BY key),
+        k AS (SELECT up AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up),
+        m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key)),
+        s AS (SELECT key[1:d] AS key, sum(weight) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+              FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m) GROUP BY 1)
+        SELECT m.conv_id, m.depth::BIGINT AS depth, CASE WHEN m.depth > 0 THEN p.conv_id END AS parent_conv_id, m.n_convs::BIGINT AS n_convs,
+               m.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, m.ends_sha256
+        FROM m JOIN s USING (key) LEFT JOIN n p ON p.key = m.up""",
 }
