@@ -29,10 +29,10 @@ MATCH = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word
 MATCHES = "doc_id long, item_id long, start_word long, n_words long, edits long"
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, rolling: words.Rolling) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of some texts, and where each text's begin."""
     w = words.Words(PLAIN[data], offsets)
-    return w.hashes(rolling), w.first
+    return w.hashes(), w.first
 
 
 def allowed(n: int) -> int:
@@ -252,19 +252,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        rolling = words.Rolling(words.BYTE_STEP)
         keys, texts = [], []
         for r in sorted(rows, key=lambda r: (r["item_id"], r["text"])):
             data = np.frombuffer(r["text"].encode(), np.uint8)
-            texts.append(word_hashes(data, np.array([0, len(data)]), rolling)[0])
+            texts.append(word_hashes(data, np.array([0, len(data)]))[0])
             keys.append(r["item_id"])
         searcher = Searcher(list(enumerate(texts)))
 
         def search(batches, searcher=searcher, keys=keys):
-            rolling = words.Rolling(words.BYTE_STEP)
             for batch, data, offsets in words.pieces(batches):
                 out: dict[tuple, tuple] = {}
-                for text, item, *rest in searcher.matches(*word_hashes(data, offsets, rolling)):
+                for text, item, *rest in searcher.matches(*word_hashes(data, offsets)):
                     at = (text, keys[item])
                     out[at] = min(out.get(at, tuple(rest)), tuple(rest), key=lambda x: (x[2], x[0]))
                 if out:
@@ -278,8 +276,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id holds no benchmark item; rows with a null doc_id stay."""
+    """The rows of ``docs`` whose doc_id holds no benchmark item; rows with a null doc_id stay.
+
+    Null and empty texts hold none and stay; of a doc_id with several texts all rows go if one holds an
+    item; repeated rows go or stay together. Columns may have any names; an empty table gives no rows, an empty benchmark all.
+    """
     from .common import saved
 
     bad = saved(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return docs.alias("d").join(bad.alias("f"), F.col("d.doc_id") == F.col("f.doc_id"), "left_anti").select("d.*")

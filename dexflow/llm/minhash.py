@@ -18,9 +18,10 @@ from .words import U
 #: ERRORS differing values: leaving out each choice of ERRORS values enumerates them.
 CHUNKS, SLOTS, ERRORS = 10, 4, 1
 VALUES = CHUNKS * SLOTS
-#: The most values that may differ: 19 of 40. Sets of similarity 0.8 differ in 8 on average,
-#: and in more than 19 with a probability of 6 in a million.
-DISTANCE = CHUNKS * (ERRORS + 1) - 1
+#: The most values that may differ: 22 of 40. Every pair within 19 shares a chunk key; one at 20 to 22 does unless
+#: all its errors are spread over the chunks by two and three. Sets of similarity 0.8 differ in 8 values on
+#: average, in 20 or more with a probability of 2.2e-5 (hardly any of which are without a shared key), in more than 22 of 2.6e-7.
+DISTANCE = CHUNKS * (ERRORS + 1) + 2
 #: Members of a group that a task holds to compare others with.
 BLOCK = 256
 
@@ -32,12 +33,11 @@ class Shingles:
     """Shingle sets of the texts of a batch, as sorted arrays of 64-bit hashes."""
 
     def __init__(self, width: int):
-        self.width = width
-        self.by_byte, self.by_word = words.Rolling(words.BYTE_STEP), words.Rolling(words.WORD_STEP)
+        self.width, self.by_word = width, words.Rolling(words.WORD_STEP)
 
     def sets(self, data: np.ndarray, offsets: np.ndarray):
         w = words.Words(data, offsets, lower=True)
-        h = w.hashes(self.by_byte)
+        h = w.hashes()
         wide = words.mix(words.window_hashes(h, self.width, self.by_word))
         for i in range(len(offsets) - 1):
             s, e = w.first[i], w.first[i + 1]

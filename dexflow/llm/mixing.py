@@ -34,11 +34,11 @@ SIGN = np.array([32 < c < 127 and not chr(c).isalnum() for c in range(256)])
 class Features:
     """Features of the texts of a piece: distinct hashed words (index, document) and dense columns."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, rolling: words.Rolling):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(offsets) - 1
         w = words.Words(data, offsets, lower=True)
         text = np.repeat(np.arange(n, dtype=U), np.diff(w.first))
-        both = np.unique((text << U(18)) | (w.hashes(rolling) & U(HASHED - 1)))
+        both = np.unique((text << U(18)) | (w.hashes() & U(HASHED - 1)))
         self.text, self.index = (both >> U(18)).astype(np.int64), (both & U(HASHED - 1)).astype(np.int64)
         self.words = np.diff(w.first)
         size = np.maximum(np.diff(offsets), 1)
@@ -127,9 +127,8 @@ def fitted(docs: DataFrame, labelled: DataFrame) -> Classifier | None:
     rows = docs.where("text is not null").join(F.broadcast(drawn), "doc_id").select("doc_id", "domain", "text")
 
     def extract(batches):
-        rolling = words.Rolling(words.BYTE_STEP)
         for batch, data, offsets in words.pieces(batches):
-            f = Features(data, offsets, rolling)
+            f = Features(data, offsets)
             at = np.searchsorted(f.text, np.arange(batch.num_rows + 1))
             index = [f.index[a:b].astype(np.int32).tobytes() for a, b in zip(at, at[1:])]
             yield pa.record_batch([batch.column("doc_id"), batch.column("domain"), pa.array(index, pa.binary()),
@@ -159,9 +158,8 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     """doc_id, n_tokens (words), p, the domain posteriors, and draw for every row of ``docs`` (doc_id, text)."""
 
     def score(batches):
-        rolling = words.Rolling(words.BYTE_STEP)
         for batch, data, offsets in words.pieces(batches):
-            f = Features(data, offsets, rolling)
+            f = Features(data, offsets)
             p = model.posteriors(f)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.reshape(-1)))
             yield pa.record_batch([batch.column("doc_id"), pa.array(f.words.astype(np.int64)), lists, batch.column("draw")],
@@ -297,7 +295,12 @@ def mix_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float]
 
 
 def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGETS, floor: str | None = "good") -> DataFrame:
-    """``docs``, all columns, with each row as many times as ``mix_documents`` says (0 times: it goes)."""
+    """``docs``, all columns, with each row as many times as ``mix_documents`` says (0 times: it goes).
+
+    Rows are taken by their own hash, also null ids; repeated rows get equal copies, a null or empty text the rate of
+    its posteriors. Without any labelled document all rows stay once; an empty table gives no rows. Columns may have any
+    names but that of the draw, ``_draw``.
+    """
     pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     mix = Mix(pairs, label_domain(labels), weights, floor)
     if mix.model is None:
@@ -305,9 +308,8 @@ def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET
     model, steps = mix.model, mix.steps
 
     def repeat(batches):
-        rolling = words.Rolling(words.BYTE_STEP)
         for batch, data, offsets in words.pieces(batches):
-            rates = rates_of(model.posteriors(Features(data, offsets, rolling)), steps)
+            rates = rates_of(model.posteriors(Features(data, offsets)), steps)
             copies = np.floor(rates).astype(int) + (batch.columns[-1].to_numpy() < rates - np.floor(rates))
             rows = pa.record_batch(batch.columns[:-1], names=batch.schema.names[:-1])
             yield rows.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))

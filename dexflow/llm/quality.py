@@ -51,10 +51,10 @@ def line_numbers(text: np.ndarray) -> tuple[float, float, float]:
     return n, len(set(lines)) / n if n else 1.0, sum(len(x) < 20 for x in lines) / n if n else 0.0
 
 
-def statistics_of(data: np.ndarray, offsets: np.ndarray, rolling: words.Rolling) -> np.ndarray:
+def statistics_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The ``FEATURES`` of every text of a piece, one row each; a text without words has zeros and a few ones."""
     w = words.Words(data, offsets)
-    hashes, length = words.Words(data, offsets, lower=True).hashes(rolling), (w.ends - w.begins).astype(float)
+    hashes, length = words.Words(data, offsets, lower=True).hashes(), (w.ends - w.begins).astype(float)
     first, last = data[w.begins], data[w.ends - 1]
     out = np.zeros((len(offsets) - 1, len(FEATURES)))
     for i in range(len(out)):
@@ -81,9 +81,8 @@ def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id, x`` for every row of ``docs`` (doc_id, text): the ``FEATURES`` of the whole text; null is like empty."""
 
     def measure(batches):
-        rolling = words.Rolling(words.BYTE_STEP)
         for batch, data, offsets in words.pieces(batches):
-            x = statistics_of(data, offsets, rolling)
+            x = statistics_of(data, offsets)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1)))
             yield pa.record_batch([batch.column("doc_id"), lists], names=["doc_id", "x"])
 

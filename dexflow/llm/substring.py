@@ -31,10 +31,10 @@ def anchors(docs: DataFrame, width: int, places: bool) -> DataFrame:
     cover[list(COVER)] = True
 
     def find(batches):
-        by_byte, by_word = words.Rolling(words.BYTE_STEP), words.Rolling(words.WORD_STEP)
+        by_word = words.Rolling(words.WORD_STEP)
         for batch, data, offsets in words.pieces(batches):
             w = words.Words(data, offsets)
-            h = words.mix(words.window_hashes(w.hashes(by_byte), width, by_word)).view(np.int64)
+            h = words.mix(words.window_hashes(w.hashes(), width, by_word)).view(np.int64)
             counts = np.diff(w.first)
             text = np.repeat(np.arange(len(counts)), counts)[:len(h)]
             place = np.arange(len(h)) - w.first[text]
@@ -127,11 +127,10 @@ def windows(texts: DataFrame, length: int) -> DataFrame:
     """``w1, w2, row, doc_id, place``: hash (128 bits) of every window that has an asked anchor."""
 
     def find(batches):
-        by_byte, by_word = words.Rolling(words.BYTE_STEP), words.Rolling(words.WORD_STEP)
-        other = words.Rolling(words.BYTE_STEP ^ 0x5555555555555554)
+        by_word, other = words.Rolling(words.WORD_STEP), words.Rolling(words.OTHER_STEP)
         for batch, data, offsets in words.pieces(batches):
             w = words.Words(data, offsets)
-            h = w.hashes(by_byte)
+            h = w.hashes()
             first = words.mix(words.window_hashes(h, length, by_word)).view(np.int64)
             second = words.mix(words.window_hashes(words.mix(h ^ U(0x5851F42D4C957F2D)), length, other)).view(np.int64)
             places = batch.column("places")

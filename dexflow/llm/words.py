@@ -13,8 +13,8 @@ WORD[[0x20, *range(0x09, 0x0E)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-#: Multipliers of the rolling hashes (odd, so they have inverses modulo 2**64).
-BYTE_STEP, WORD_STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+#: Multipliers of the rolling hashes of word hashes (odd, so they have inverses modulo 2**64).
+WORD_STEP, OTHER_STEP = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
 #: Bytes, or words, that one rolling sum runs over.
 BLOCK = 1 << 18
 #: Bytes of text worked on at once; a longer text is worked on alone.
@@ -49,11 +49,10 @@ class Rolling:
         np.cumsum(values * self.up[:len(values)], out=out[1:])
         return out
 
-    def long(self, values: np.ndarray) -> int:
-        total = 0
-        for i in range(0, len(values), BLOCK):
-            total += int(self.sums(values[i:i + BLOCK])[-1]) * pow(self.step, i, 2**64)
-        return total % 2**64
+
+def spread(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each byte at each place of a word."""
+    return mix((place.astype(U) << U(8)) + data + U(1))
 
 
 class Words:
@@ -70,18 +69,24 @@ class Words:
         self.ends = np.flatnonzero(word & gap[1:]) + 1
         self.first = np.searchsorted(self.begins, offsets)
 
-    def hashes(self, rolling: Rolling) -> np.ndarray:
-        out = np.empty(len(self.begins), U)
-        table, i, n = mix(np.arange(1, 257, dtype=U)), 0, len(self.begins)
+    def hashes(self) -> np.ndarray:
+        """A hash of each word: the sum of a spread number for each of its bytes and the byte's place in the word.
+
+        No sum of powers: those are equal for some pairs of unequal words whatever the base.
+        """
+        out, i, n = np.empty(len(self.begins), U), 0, len(self.begins)
         while i < n:
             s = self.begins[i]
-            j = int(np.searchsorted(self.ends, s + BLOCK, "right"))
-            if j <= i:  # one word longer than a block
-                out[i], j = rolling.long(table[self.data[s:self.ends[i]]]), i + 1
+            j = max(i + 1, int(np.searchsorted(self.ends, s + BLOCK, "right")))
+            if self.ends[i] - s > BLOCK:  # one word longer than a block
+                out[i] = sum(int(spread(self.data[a:min(a + BLOCK, self.ends[i])], np.arange(a - s, min(a + BLOCK, self.ends[i]) - s)).sum())
+                             for a in range(s, self.ends[i], BLOCK)) % 2**64
+                j = i + 1
             else:
-                c = rolling.sums(table[self.data[s:self.ends[j - 1]]])
-                b = self.begins[i:j] - s
-                out[i:j] = (c[self.ends[i:j] - s] - c[b]) * rolling.down[b]
+                lengths = self.ends[i:j] - self.begins[i:j]
+                starts = np.cumsum(lengths) - lengths
+                place = np.arange(lengths.sum()) - np.repeat(starts, lengths)
+                out[i:j] = np.add.reduceat(spread(self.data[np.repeat(self.begins[i:j], lengths) + place], place), starts)
             i = j
         return mix(out + (self.ends - self.begins).astype(U))
 

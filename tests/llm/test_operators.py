@@ -44,7 +44,7 @@ def test_word_hashes_do_not_depend_on_place():
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.cumsum([0, *map(len, texts)])
     w = words.Words(data, offsets)
-    h = w.hashes(words.Rolling(words.BYTE_STEP))
+    h = w.hashes()
     flat = [x for t in texts for x in WORDS.findall(t)]
     assert len(h) == len(flat)
     for i, a in enumerate(flat):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
-from dexflow.llm import quality, words
+from dexflow.llm import quality
 
 DOCS = "doc_id long, text string"
 
@@ -58,8 +58,7 @@ def test_best_split_equals_brute_force():
 
 def test_statistics_do_not_depend_on_neighbours():
     texts = [b"", b" \n", "Éa B!! B!! ###\nOne, two.\nOne, two.".encode(), b"x" * 5000, b"a b c\n" * 400]
-    cut = lambda ts: quality.statistics_of(np.frombuffer(b"".join(ts), np.uint8), np.cumsum([0, *map(len, ts)]),
-                                           words.Rolling(words.BYTE_STEP))
+    cut = lambda ts: quality.statistics_of(np.frombuffer(b"".join(ts), np.uint8), np.cumsum([0, *map(len, ts)]))
     together = cut(texts)
     assert np.isfinite(together).all()
     for i, t in enumerate(texts):
