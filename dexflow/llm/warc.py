@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import saved, scratch_path
 
-VERSION = b"WARC/1.1\r\n"
+NAME = b"WARC/1.1"
+VERSION = NAME + b"\r\n"
 END = "\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -28,11 +29,12 @@ def digest_of(payload: bytes) -> str:
 def chunked(payload: bytes, size: int) -> Iterator[bytes]:
     """``payload`` in chunked transfer framing.
 
-    A chunk also ends inside every occurrence of the version line, so the line
-    never stands inside a record and a reader can split archives at it.
+    A chunk also ends inside every occurrence of the version line, and inside the version's name where a chunk would
+    end with it and its line break make the line, so the line never stands inside a record and a
+    reader can split archives at it.
     """
     cuts = {*range(0, len(payload), size), *(m.start() + 4 for m in re.finditer(re.escape(VERSION), payload)), len(payload)}
-    cuts = sorted(cuts)
+    cuts = sorted(cuts | {c - 4 for c in cuts if payload[max(c - len(NAME), 0):c] == NAME})
     for a, b in zip(cuts, cuts[1:]):
         yield b"%x\r\n%b\r\n" % (b - a, payload[a:b])
     yield b"0\r\n\r\n"
@@ -60,8 +62,18 @@ def record(fields: list[tuple[str, object]], block: bytes) -> bytes:
 
 
 def clean(value: str | None) -> str | None:
-    """A header value: line breaks and other control characters as percent escapes."""
-    return None if value is None else re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", value)
+    """A header value: control characters, and the stop of a version's name at its end, as percent escapes."""
+    return None if value is None else re.sub(r"[\x00-\x1f\x7f]|(?<=WARC/1)\.(?=1$)", lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def segments_of(block: bytes, size: int) -> Iterator[bytes]:
+    """``block`` in pieces of ``size`` bytes, four less where the piece would end with a version's name."""
+    at = 0
+    while at < len(block):
+        end = at + size
+        end -= 4 if block[at:end].endswith(NAME) and size > 4 else 0
+        yield block[at:end]
+        at = end
 
 
 def records_of(row: dict, salt: int, segment: int, chunk: int) -> Iterator[bytes]:
@@ -75,7 +87,7 @@ def records_of(row: dict, salt: int, segment: int, chunk: int) -> Iterator[bytes
                       ("X-Refers-To-Page-Id", row["origin"]), *about], HTTP)
         return
     block = HTTP + b"".join(chunked(payload, chunk))
-    parts = [block[i:i + segment] for i in range(0, len(block), segment)]
+    parts = list(segments_of(block, segment))
     for i, part in enumerate(parts, 1):
         many = [("WARC-Segment-Number", i)] if len(parts) > 1 else []
         if i == 1:
@@ -145,6 +157,8 @@ def parsed(fragment: bytes) -> tuple:
     """A record's fields and block, from what stands between two version lines; ValueError if it is cut short."""
     head, _, rest = fragment.partition(b"\r\n\r\n")
     f = {k.lower(): v for k, _, v in (line.partition(": ") for line in head.decode().split("\r\n"))}
+    if not {"content-length", "warc-record-id", "warc-type"} <= f.keys():
+        raise ValueError(f"record {f.get('warc-record-id')}: a header is missing")
     n = int(f["content-length"])
     if rest[n:] not in (b"\r\n\r\n", b""):
         raise ValueError(f"record {f.get('warc-record-id')}: {len(rest) - 4} bytes where {n} are declared")
