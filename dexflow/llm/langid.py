@@ -145,8 +145,9 @@ def draw_examples(docs: DataFrame, documents: int = DOCUMENTS, segments: int = S
     """(language, words) of about ``documents`` documents per language, ``segments`` words of each.
 
     Only documents that are not held out, with a doc_id, text and lang, are
-    drawn, by a hash of their id; words are taken evenly over the whole text. So the
-    driver gets a bounded sample, whatever the size of the table.
+    drawn, by a hash of their id, and of rows with one id one is; words are taken evenly over the whole text, of a
+    longer one its first 4 segments (predictions read all of it). So the driver gets a bounded sample, whatever the size
+    of the table. More than ``LANGUAGES`` values of lang are an error.
     """
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
@@ -167,8 +168,9 @@ def draw_examples(docs: DataFrame, documents: int = DOCUMENTS, segments: int = S
             if out:
                 yield pa.record_batch([pa.array(c) for c in zip(*out)], names=["doc_id", "lang", "words"])
 
-    found = rows.select("doc_id", "lang", "text").mapInArrow(some, "doc_id long, lang string, words binary").collect()
-    return sorted((r["lang"], bytes(r["words"])) for r in found)
+    found = rows.select("doc_id", "lang", "text").mapInArrow(some, "doc_id long, lang string, words binary")
+    found = found.groupBy("doc_id").agg(F.min(F.struct("lang", "words")).alias("r")).collect()
+    return sorted((r["r"]["lang"], bytes(r["r"]["words"])) for r in found)
 
 
 class Memory:
@@ -216,6 +218,10 @@ def cut_segments(w: words.Words) -> None:
         w.begins = begins
 
 
+def has_letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs``, all columns, with lang_pred and score for every row, from all of its ``text``.
 
@@ -226,16 +232,14 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c.lower() not in ("lang_pred", "score")])
     if net is None:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-
     def label(batches):
-        memory, rolling = Memory(net), words.Rolling(words.BYTE_STEP)
+        memory = Memory(net)
         names = np.array(net.languages, object)
         for batch, data, offsets in words.pieces(batches):
             w = words.Words(data, offsets)
             cut_segments(w)
             text = np.searchsorted(offsets, w.begins, "right") - 1
-            sums = memory.of(w.hashes(rolling), w.begins, w.ends, data)
+            sums = memory.of(w.hashes(), w.begins, w.ends, data)
             total = np.bincount(text, (w.ends - w.begins).astype(float), batch.num_rows)
             pooled = np.stack([np.bincount(text, sums[:, k], batch.num_rows) for k in range(len(names))], 1) / np.maximum(total, 1)[:, None]
             best = pooled.argmax(axis=1)
@@ -245,7 +249,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
                                   names=[*batch.schema.names, "score"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "lang_pred string, score double"])
-    return docs.withColumn("lang_pred", letters).mapInArrow(label, schema)
+    return docs.withColumn("lang_pred", has_letter()).mapInArrow(label, schema)
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:
@@ -263,7 +267,14 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is identified with a score of at least ``least``; columns as they are."""
-    examples = draw_examples(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"))
-    judged = predict(docs.select("text", F.struct(*docs.columns).alias("row")), trained(examples))
+    """The rows of ``docs`` whose language is identified with a score of at least ``least``; columns as they are.
+
+    Rows whose text is null, empty or without a letter go. Where nothing can be learned (no row that
+    is not held out has doc_id, text and lang) no language can be rejected, and every row with a letter
+    stays. Repeated rows are judged alike; a null doc_id or lang is no reason to go; an empty table gives no rows.
+    """
+    net = trained(draw_examples(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")))
+    if net is None:
+        return docs.where(has_letter())
+    judged = predict(docs.select("text", F.struct(*docs.columns).alias("row")), net)
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")
