@@ -45,12 +45,12 @@ def copy_counts(copies: dict[str, DataFrame], approx: bool = False) -> DataFrame
 def copy_verdict(copies: dict[str, DataFrame]) -> DataFrame:
     """O-50: do all copies have one row count? Plus the total over copies and an order-free checksum.
 
-    The checksum is ``bit_xor`` of ``xxhash64(id)``: equal sets of ids give equal
-    checksums without sorting or shuffling rows.
+    The checksum is the sum and the exclusive or of a hash of every id: equal multisets of ids give equal
+    checksums without sorting or shuffling rows, and an id that stands twice does not cancel itself.
     """
     stacked = label_copies(copies, ["id"])
     per_copy = stacked.groupBy("copy").agg(F.count(F.lit(1)).alias("n"),
-                                           F.bit_xor(F.xxhash64("id")).alias("checksum"))
+                                           F.struct(F.sum(F.xxhash64("id").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("id"))).alias("checksum"))
     return per_copy.agg(
         F.count(F.lit(1)).alias("copies"),
         (F.count_distinct("n") == 1).alias("consistent"),

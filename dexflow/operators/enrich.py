@@ -77,12 +77,16 @@ def resolve_pool_tokens(pools: DataFrame, known_tokens: DataFrame, token_metadat
 # -- O-38 / O-33 seed pools -------------------------------------------------
 
 def pool_tokens(seeds: DataFrame, pool_contract_tokens: DataFrame | None = None) -> DataFrame:
-    """O-38: token0/token1 of each seed pool; asked-from-contract values win over the fallback table."""
+    """O-38: token0/token1 of each seed pool; asked-from-contract values win over the fallback table.
+
+    ``pool_contract_tokens`` has chain_id, pool_address, token0_address and token1_address, one row per pool: what the pool
+    contracts answered. Either address may be null (no answer), then the seed's own counts.
+    """
     if pool_contract_tokens is None:
         return seeds
-    fetched = pool_contract_tokens.select(X.lower_key("pool_address").alias("__pk"),
-                                          F.col("token0_address").alias("__t0"), F.col("token1_address").alias("__t1"))
-    out = seeds.withColumn("__pk", X.lower_key("pool_address")).join(fetched, "__pk", "left")
+    key = X.pool_key(dims.effective_chain(F.col("chain_id")), "pool_address").alias("__pk")
+    fetched = pool_contract_tokens.select(key, F.col("token0_address").alias("__t0"), F.col("token1_address").alias("__t1"))
+    out = seeds.withColumn("__pk", key).join(fetched, "__pk", "left")
     return (out.withColumn("token0_address", F.coalesce("__t0", "token0_address"))
                .withColumn("token1_address", F.coalesce("__t1", "token1_address"))
                .drop("__pk", "__t0", "__t1"))
@@ -178,9 +182,9 @@ def seed_pool_dimension(seeds: DataFrame, known_tokens: DataFrame,
 
 
 def pool_dimension(seeds: DataFrame, factory: DataFrame, known_tokens: DataFrame,
-                   token_metadata: DataFrame | None = None) -> DataFrame:
+                   token_metadata: DataFrame | None = None, pool_contract_tokens: DataFrame | None = None) -> DataFrame:
     """Known pools with version and resolved token details (one row per pool)."""
-    pools = known_pools(seeds, factory).withColumn("version", dims.version_of(F.col("protocol")))
+    pools = known_pools(pool_tokens(seeds, pool_contract_tokens), factory).withColumn("version", dims.version_of(F.col("protocol")))
     return resolve_pool_tokens(pools, known_tokens, token_metadata)
 
 
@@ -213,7 +217,7 @@ def split_by_pools(pool_events: DataFrame, pools: DataFrame, matched: bool) -> D
 
 def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool = True,
                  max_broadcast_rows: int | None = None, passthrough: Column | None = None,
-                 write_dimension: bool = True) -> DataFrame:
+                 write_dimension: bool = True, mark_unmatched: str | None = None) -> DataFrame:
     """Every pool event carries its pool's protocol, version and tokens (inner join).
 
     With ``discovery`` a discovered pool's events count only after its
@@ -222,7 +226,8 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
 
     ``passthrough`` marks rows that need no pool (factory logs): they are kept
     unmatched by one left join, so a single scan of the source feeds both
-    kinds of rows (no union of two scans).
+    kinds of rows (no union of two scans). ``mark_unmatched`` names a column that
+    says which rows found no pool though they need one, and keeps them.
     """
     dim = pool_dim.select(*[F.col(c).alias(f"p_{c}") for c in ENRICHED_POOL_COLUMNS])
     dim = materialize_dimension(dim, max_broadcast_rows, write=write_dimension)
@@ -233,5 +238,6 @@ def attach_pools(pool_events: DataFrame, pool_dim: DataFrame, discovery: bool =
     else:
         ev = ev.withColumn("__pass", passthrough)
         joined = ev.join(dim, cond & ~ev["__pass"], "left")
-        joined = joined.filter(F.col("__pass") | F.col("p_pool_key").isNotNull()).drop("__pass")
+        found = F.col("__pass") | F.col("p_pool_key").isNotNull()
+        joined = (joined.filter(found) if mark_unmatched is None else joined.withColumn(mark_unmatched, ~found)).drop("__pass")
     return joined.drop("__pk", "p_pool_key", "p_is_seed", "p_created_block", "p_created_log_index")

@@ -40,13 +40,26 @@ def with_log_metadata(logs: DataFrame, tx_cols=("transaction_hash",), index_cols
 # -- O-31 routing, O-32 dispatch ----------------------------------------------
 
 def with_route(logs: DataFrame) -> DataFrame:
-    """Add ``chain`` (unknown chains fall back to Ethereum), ``event_type``, ``kind`` and ``accepted``."""
+    """Add ``chain`` (unknown chains fall back to Ethereum), ``event_type``, ``kind`` and ``accepted``.
+
+    If the logs say which contract emitted them (``emitter``), a creation log counts only from the factory
+    of its chain and protocol: any contract can emit one.
+    """
     chain = dims.effective_chain(F.col("chain_id"))
     event_type = dims.dispatch(F.col("protocol"), F.col("event_name"))
     routed = logs.select("*", chain.alias("chain"), event_type.alias("event_type"))
+    accepted = dims.is_supported(F.col("chain"), F.col("protocol")) & F.col("event_type").isNotNull()
     return routed.select("*", dims.kind_of(F.col("event_type")).alias("kind"),
-                         (dims.is_supported(F.col("chain"), F.col("protocol"))
-                          & F.col("event_type").isNotNull()).alias("accepted"))
+                         (accepted & ~foreign_creation(routed)).alias("accepted"))
+
+
+def foreign_creation(routed: DataFrame) -> Column:
+    """Whether a log is a creation log that its factory did not emit."""
+    if "emitter" not in routed.columns:
+        return F.lit(False)
+    factory = dims.factory_contract(F.col("chain"), F.col("protocol"))
+    own = F.coalesce(X.lower_key("emitter") == factory, F.lit(False))
+    return F.coalesce(dims.kind_of(F.col("event_type")) == "factory", F.lit(False)) & ~own
 
 
 def route_supported(logs: DataFrame) -> DataFrame:
@@ -55,10 +68,10 @@ def route_supported(logs: DataFrame) -> DataFrame:
 
 
 def route_rejected(logs: DataFrame) -> DataFrame:
-    """The quarantine: unsupported (chain, protocol) or unhandled event (Collect, Flash, ...)."""
+    """What is left out: unsupported (chain, protocol), unhandled event (Collect, Flash, ...), creation by a foreign contract."""
     routed = with_route(logs).filter(~F.col("accepted"))
     reason = (F.when(~dims.is_supported(F.col("chain"), F.col("protocol")), F.lit("unsupported_protocol"))
-               .otherwise(F.lit("unhandled_event")))
+               .when(F.col("event_type").isNull(), F.lit("unhandled_event")).otherwise(F.lit("foreign_emitter")))
     return routed.withColumn("reject_reason", reason).drop("accepted")
 
 

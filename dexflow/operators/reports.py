@@ -7,6 +7,8 @@ optional cosmetic sort.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +16,12 @@ from ..functions import exprs as X
 
 
 def sql_over_events(events: DataFrame, query: str, view: str = "protocol_events") -> DataFrame:
-    """O-05: run SQL text over the event table registered as a temporary view."""
-    events.createOrReplaceTempView(view)
-    return events.sparkSession.sql(query)
+    """O-05: run SQL text over the event table, which the text names ``view``.
+
+    The table is passed as a parameter of the text, so nothing is registered in the session and queries that run at the
+    same time do not replace each other's.
+    """
+    return events.sparkSession.sql(re.sub(rf"\b{re.escape(view)}\b", "{__events}", query.replace("{", "{{").replace("}", "}}")), __events=events)
 
 
 def _distinct(col: str, approx: bool):

@@ -20,10 +20,11 @@ from ..sources import dims
 
 @dataclass
 class Dimensions:
-    """Inputs that are not events: seed pools, the known-token table, optional fetched token metadata."""
+    """Inputs that are not events: seed pools, the known-token table, optional fetched token metadata and pool tokens."""
     seeds: DataFrame
     known_tokens: DataFrame
     token_metadata: DataFrame | None = None
+    pool_contract_tokens: DataFrame | None = None
 
 
 def routed_logs(logs: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def flatten_factory_events(factory: DataFrame, created_at: Column | None = None)
 
 
 def pool_dimension(normalized: DataFrame, d: Dimensions) -> DataFrame:
-    return enrich.pool_dimension(d.seeds, factory_events(normalized), d.known_tokens, d.token_metadata)
+    return enrich.pool_dimension(d.seeds, factory_events(normalized), d.known_tokens, d.token_metadata, d.pool_contract_tokens)
 
 
 def enriched_pool_events(normalized: DataFrame, d: Dimensions, discovery: bool = True,

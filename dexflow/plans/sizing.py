@@ -2,14 +2,14 @@
 
 A dimension that grows with the data (the discovered pools) is broadcast only
 after it has been written as a Parquet table under the shared
-``spark.checkpoint.dir`` (one job; cuts the lineage, survives executor loss)
-and counted under a row limit. Above the limit the join stays a shuffle join,
+``spark.checkpoint.dir`` (one job, which also counts the rows as it writes them; cuts the
+lineage, survives executor loss) and its count is under a row limit. Above the limit the join stays a shuffle join,
 which AQE sizes and splits on skew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -37,8 +37,9 @@ def materialize_dimension(dim: DataFrame, limit: int | None = None, write: bool
         return dim
     limit = max_broadcast_rows(spark) if limit is None else limit
     if write:
-        path = scratch_path(spark, "dexflow-dims")
-        dim.write.parquet(path)
-        dim = spark.read.parquet(path)
-    rows = dim.count()
+        path, seen = scratch_path(spark, "dexflow-dims"), Observation()
+        dim.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        rows, dim = seen.get["rows"], spark.read.schema(dim.schema).parquet(path)
+    else:
+        rows = dim.count()
     return F.broadcast(dim) if rows <= limit else dim

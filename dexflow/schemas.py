@@ -37,6 +37,9 @@ DECODED_LOGS = T.StructType([
     T.StructField("tick_spacing", T.IntegerType()),
 ])
 
+# The same with the contract that emitted the log, where the source has it.
+DECODED_LOGS_WITH_EMITTER = T.StructType([*DECODED_LOGS.fields, T.StructField("emitter", T.StringType())])
+
 POOL_SEED = T.StructType([
     T.StructField("protocol", T.StringType()),
     T.StructField("chain_id", T.IntegerType()),

@@ -149,6 +149,12 @@ def dispatch(protocol: Column, event_name: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.concat_ws("|", protocol, event_name))
 
 
+def factory_contract(chain: Column, protocol: Column) -> Column:
+    """The lower-cased address of the factory of (chain, protocol); NULL if there is none."""
+    pairs = [F.lit(x) for c, p, factory, _ in CONTRACT_ADDRESSES for x in (f"{c}|{p}", factory.lower())]
+    return F.try_element_at(F.create_map(*pairs), F.concat_ws("|", chain.cast("string"), protocol))
+
+
 def kind_of(event_type: Column) -> Column:
     """'factory' for pool-creation types, 'pool' for the other handled types."""
     return (F.when(event_type.isin(*FACTORY_EVENT_TYPES), F.lit("factory"))

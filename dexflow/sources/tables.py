@@ -19,19 +19,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def read_decoded_logs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Batch source of already decoded logs with the declared schema (no inference)."""
-    return spark.read.schema(schemas.DECODED_LOGS).format(fmt).load(path)
+def read_decoded_logs(spark: SparkSession, path: str, fmt: str = "parquet", emitter: bool = False) -> DataFrame:
+    """Batch source of already decoded logs with the declared schema (no inference), with their ``emitter`` if the source has it."""
+    return spark.read.schema(schemas.DECODED_LOGS_WITH_EMITTER if emitter else schemas.DECODED_LOGS).format(fmt).load(path)
 
 
 def stream_decoded_logs(spark: SparkSession, path: str, fmt: str = "parquet",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = None, emitter: bool = False) -> DataFrame:
     """Streaming twin of :func:`read_decoded_logs` over the same schema.
 
     A Kafka source is the same transform chain with ``format("kafka")`` and a
     ``from_json`` step; the rate limit maps to ``maxOffsetsPerTrigger``.
     """
-    reader = spark.readStream.schema(schemas.DECODED_LOGS).format(fmt)
+    reader = spark.readStream.schema(schemas.DECODED_LOGS_WITH_EMITTER if emitter else schemas.DECODED_LOGS).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

@@ -1,30 +1,34 @@
 """Streaming ingest (O-59..O-64): the batch transforms inside a checkpointed ``foreachBatch``.
 
+Before the sink, the stream normalises the logs (same code as batch) and drops what was delivered
+before: ``dropDuplicatesWithinWatermark`` on the event id, with its state in RocksDB. That settles
+redelivery inside the watermark at any distance in batches. Logs that the state does not
+pass (copies, and logs older than the watermark, of either kind) are few; they are compared with the
+stored table itself, in the months and times they come from, and those not there are genuine late
+logs, which are stored like any other. So a copy never counts and a late log is never lost.
+
 Per micro-batch, in one function:
 
-1. normalise the logs (same code as batch);
-2. discovery: register first-seen pools in the durable pool table (the
+1. discovery: register first-seen pools in the durable pool table (the
    batch's rows go to partition ``batch_id=B``, replaced on replay), then join
-   the same batch to the pool table with the (block, log_index) range
+   the same batch to the pools with the (block, log_index) range
    condition, so events before a pool's creation in the same batch are
    excluded. Pool logs without a pool yet (or before its creation, as far as
-   known) go to a quarantine table; a batch that registers a pool, or an earlier
+   known) wait in the quarantine; a batch that registers a pool, or an earlier
    creation of one, takes that pool's logs from there, so files in any order
    end in the batch answer. An event comes out in the one batch from which on the
    registry matches it;
-3. write the event rows to ``event_month=M/batch_id=B`` with dynamic partition
+2. write the event rows to ``event_month=M/batch_id=B`` with dynamic partition
    overwrite: a batch replayed after a crash replaces itself (exactly-once
-   output on top of the checkpointed offsets); rows that one of the last
-   ``redelivery_batches`` batches stored are left out, so a source that delivers
-   again adds nothing to the table, the partials or the feed;
-4. write hourly rollup partials with HLL sketches, merged at read time;
-5. keep the newest 20 events (the live feed) as one small versioned file;
-6. hand the batch to user callbacks (``standardizedEvent`` / ``factoryEvent``).
+   output on top of the checkpointed offsets);
+3. write hourly rollup partials with HLL sketches, merged at read time;
+4. keep the newest 20 events (the live feed) as one small versioned file;
+5. hand the batch to user callbacks (``standardizedEvent`` / ``factoryEvent``), once each (see ``handlers``).
 
 Trigger: ``processingTime`` (default 5 s, the reference's flush interval) with a
 rate limit per trigger; tests use ``availableNow``. State lives in the
-checkpoint folder and the tables, not in process memory, so a restarted job
-keeps every pool discovered earlier.
+checkpoint folder and the tables; the registry of pools is also kept in the executors' cache
+between batches, and read again from its table whenever a batch does not follow the last one.
 """
 
 from __future__ import annotations
@@ -40,14 +44,44 @@ from .. import schemas
 from ..functions import exprs as X
 from ..operators import enrich, normalize, reports
 from ..plans import events as E
-from ..sources import store
-
-Handler = Callable[[DataFrame, int], None]
+from ..sources import dims as D
+from ..sources import files, store
+from .handlers import Handler, HandlerLog
+from .quarantine import Quarantine
 
 ROLLUP_SKETCH_LG_K = 12
 
-#: A log delivered again within so many batches is recognised before it is stored.
-REDELIVERY_BATCHES = 100
+#: How much older than the newest log a log may be and still be compared by the state store alone.
+REDELIVERY_WINDOW = "2 hours"
+
+#: What the stream keeps of a normalised log, enough to attach its pool and flatten it later.
+LOG_COLUMNS = ["id", "chain", "chain_id", "protocol", "version", "event_type", "kind", "pool_address", "transaction_hash", "block_number",
+               "log_index", "observed_at_ms", "token0_address", "token1_address", "fee", "tick_spacing", "event_data", "data_fee"]
+WAITING = ("id string, chain int, chain_id int, protocol string, version string, event_type string, kind string, pool_address string, "
+           "transaction_hash string, block_number bigint, log_index bigint, observed_at_ms bigint, token0_address string, "
+           "token1_address string, fee int, tick_spacing int, event_data string, data_fee string, pool_key string")
+
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Batches without data would only clean the state; the next batch with data does that too.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+def normalized_logs(logs: DataFrame) -> DataFrame:
+    """``LOG_COLUMNS`` of the accepted logs, with the id that the stored event will have."""
+    id_ = F.when(F.col("kind") == "factory", X.factory_event_id("transaction_hash", "log_index", "event_type")).otherwise(
+        X.event_id("transaction_hash", "log_index", "event_type"))
+    return E.routed_logs(logs).withColumn("id", id_).select(*LOG_COLUMNS)
+
+
+def first_deliveries(logs_stream: DataFrame, window: str = REDELIVERY_WINDOW) -> DataFrame:
+    """``LOG_COLUMNS`` and ``first``: every log once as it comes, and once more, marked, if the state store passes it."""
+    logs = normalized_logs(logs_stream)
+    timed = logs.withColumn("event_time", F.timestamp_millis(F.coalesce("observed_at_ms", F.lit(0))))
+    passed = timed.withWatermark("event_time", window).dropDuplicatesWithinWatermark(["id"])
+    return passed.select(*LOG_COLUMNS, F.lit(True).alias("first")).unionByName(logs.withColumn("first", F.lit(False)))
 
 
 class EventIngestJob:
@@ -56,7 +90,7 @@ class EventIngestJob:
     def __init__(self, spark: SparkSession, root: str, dims: E.Dimensions,
                  on_event: list[Handler] | None = None, on_factory: list[Handler] | None = None,
                  feed_size: int = 20, checkpoint_location: str | None = None,
-                 redelivery_batches: int = REDELIVERY_BATCHES):
+                 redelivery_window: str = REDELIVERY_WINDOW, compact_every: int = 20):
         self.spark = spark
         self.root = root.rstrip("/")
         self._checkpoint = checkpoint_location
@@ -64,7 +98,10 @@ class EventIngestJob:
         self.on_event = list(on_event or [])
         self.on_factory = list(on_factory or [])
         self.feed_size = feed_size
-        self.redelivery_batches = redelivery_batches
+        self.redelivery_window = redelivery_window
+        self.quarantine = Quarantine(spark, f"{self.root}/quarantine", WAITING, compact_every=compact_every)
+        self.handler_log = HandlerLog(spark, f"{self.root}/handlers")
+        self._registry: tuple[int, DataFrame, DataFrame] | None = None  # the batch it is good for, the pools, with their tokens
 
     # -- locations -----------------------------------------------------------
     @property
@@ -75,10 +112,6 @@ class EventIngestJob:
     def pools_path(self) -> str:
         return f"{self.root}/pools"
 
-    @property
-    def quarantine_path(self) -> str:
-        return f"{self.root}/quarantine"
-
     @property
     def rollup_path(self) -> str:
         return f"{self.root}/rollup_partials"
@@ -88,8 +121,8 @@ class EventIngestJob:
         return f"{self.root}/feed"
 
     @property
-    def ids_path(self) -> str:
-        return f"{self.root}/recent_ids"
+    def deliveries_path(self) -> str:
+        return f"{self.root}/deliveries"
 
     @property
     def checkpoint_path(self) -> str:
@@ -103,12 +136,9 @@ class EventIngestJob:
         except AnalysisException:
             return None
 
-    def _read_pools(self) -> DataFrame | None:
-        return self._try_read(self.pools_path)
-
     def register_seeds(self) -> None:
         """Seeds are registered before the first batch (partition batch_id=-1, idempotent)."""
-        seeds = enrich.known_pools(self.dims.seeds, self._empty_factory())
+        seeds = enrich.known_pools(enrich.pool_tokens(self.dims.seeds, self.dims.pool_contract_tokens), self._empty_factory())
         self._write_pools(seeds, -1)
 
     def _empty_factory(self) -> DataFrame:
@@ -119,103 +149,133 @@ class EventIngestJob:
 
     def _write_pools(self, pools: DataFrame, batch_id: int) -> None:
         (pools.select(*enrich.POOL_COLUMNS).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-              .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").parquet(self.pools_path))
 
     def known_pools(self, up_to_batch: int | None = None) -> DataFrame:
         """All registered pools (a seed or the earliest creation wins), optionally as of a batch."""
-        pools = self._read_pools()
+        pools = self.spark.read.parquet(self.pools_path)
         if up_to_batch is not None:
             pools = pools.filter(F.col("batch_id") <= up_to_batch)
         return enrich.first_registrations(pools)
 
+    def _with_tokens(self, pools: DataFrame) -> DataFrame:
+        return enrich.resolve_pool_tokens(pools.withColumn("version", normalize.version_column("protocol")),
+                                          self.dims.known_tokens, self.dims.token_metadata)
+
+    def _registry_before(self, batch_id: int) -> DataFrame:
+        """The pools registered before ``batch_id``: those kept from the batch before, else from the table."""
+        if self._registry is None or self._registry[0] != batch_id:
+            self._forget_registry()
+            pools = self.known_pools(batch_id - 1).persist()
+            self._registry = (batch_id, pools, self._with_tokens(pools).persist())
+        return self._registry[1]
+
+    def _forget_registry(self) -> None:
+        for df in self._registry[1:] if self._registry else ():
+            df.unpersist()
+        self._registry = None
+
     # -- one micro-batch -----------------------------------------------------
     def process_batch(self, logs: DataFrame, batch_id: int) -> None:
-        logs = logs.persist()
-        rows = fresh = registered = prior = None
+        """Store a batch of decoded logs of which nothing is known: all are compared with the stored table."""
+        self._process(normalized_logs(logs).withColumn("first", F.lit(False)), batch_id)
+
+    def _process(self, delivered: DataFrame, batch_id: int) -> None:
+        """``delivered``: as ``first_deliveries`` gives it."""
+        delivered = delivered.persist()
+        held: list[DataFrame] = [delivered]
         try:
-            normalized = E.routed_logs(logs)
-            prior = self._read_pools()
-            if prior is not None:
-                prior = enrich.first_registrations(prior.filter(F.col("batch_id") < batch_id)).persist()
-
-            # (2) discovery: first creation per pool in this batch, unless registered from an earlier one.
-            fresh = enrich.first_pools(E.factory_events(normalized))
-            if prior is not None:
-                fresh = enrich.new_registrations(fresh, prior)
-            fresh = fresh.persist()
-            self._write_pools(fresh, batch_id)
-            registered = fresh.select(*enrich.POOL_COLUMNS)
-            if prior is not None:
-                registered = enrich.first_registrations(registered.unionByName(prior))
-            registered = registered.persist()
-            accepted = E.pool_events(normalize.route_supported(normalize.with_log_metadata(logs)))
-            self._write_quarantine(enrich.split_by_pools(accepted, registered, matched=False), logs.columns, batch_id)
-            ready = logs if fresh.isEmpty() else logs.unionByName(self._released(fresh, prior, batch_id).select(*logs.columns))
-            pool_dim = enrich.resolve_pool_tokens(
-                registered.withColumn("version", normalize.version_column("protocol")),
-                self.dims.known_tokens, self.dims.token_metadata)
-
-            # (3) idempotent event write, duplicates inside the batch removed. The
-            # registry comes from a written table: size-checked, no copy per batch.
-            rows = E.build_event_table(ready, self.dims, pool_dim=pool_dim, write_dimension=False)
-            rows = store.dedupe_by_id(rows)
-            stored = self._recent_ids(batch_id)
-            if stored is not None:
-                rows = rows.join(stored, "id", "left_anti")
+            if self._try_read(self.pools_path) is None:
+                self.register_seeds()
+            first = delivered.filter("first").drop("first")
+            n = delivered.agg(F.count_if("first").alias("first"), F.count_if(~F.col("first")).alias("all")).first()
+            logs, again = first, n["all"] - n["first"]
+            if again:
+                late = self._not_stored(delivered.filter(~F.col("first")).drop("first").join(first.select("id"), "id", "left_anti"), batch_id)
+                logs = first.unionByName(late.select(*LOG_COLUMNS)).persist()
+                held.append(logs)
+            prior = self._registry_before(batch_id)
+            self.quarantine.compact_if_due(batch_id, prior)
+
+            # (1) discovery: first creation per pool in this batch, unless registered from an earlier one.
+            fresh = enrich.new_registrations(enrich.first_pools(logs.filter(F.col("kind") == "factory")), prior).persist()
+            held.append(fresh)
+            registered, ready, tokens = prior, logs, self._registry[2]
+            new = fresh.count()
+            if new:
+                self._write_pools(fresh, batch_id)
+                registered = enrich.first_registrations(fresh.select(*enrich.POOL_COLUMNS).unionByName(prior)).persist()
+                tokens = self._with_tokens(registered).persist()
+                released = enrich.split_by_pools(self.quarantine.held(batch_id, fresh), fresh, matched=True)
+                released = enrich.split_by_pools(released, prior, matched=False)
+                ready = logs.unionByName(released.select(*LOG_COLUMNS))
+
+            # (2) idempotent event write. The registry is kept in memory: counted, no copy per batch.
+            joined = enrich.attach_pools(ready, tokens, passthrough=F.col("kind") == "factory", write_dimension=False, mark_unmatched="waits")
+            joined = joined.persist()
+            held.append(joined)
+            rows = E.flatten_all(joined.filter(~F.col("waits")))
+            if new or again:
+                rows = store.dedupe_by_id(rows)  # a log may wait twice, or come twice among the late ones
             rows = rows.persist()
+            held.append(rows)
             store.write_events(rows, self.events_path, batch_id=batch_id, bloom=True, shuffle=False)
-            self._write_ids(rows, batch_id)
+            if again:
+                self._write_deliveries(n["first"], logs, again, batch_id)
 
-            # (4) rollup partials, (5) feed, (6) callbacks, all from this batch's rows
+            # (3) rollup partials, (4) feed, (5) callbacks, all from this batch's rows
             # (the growing event table is never listed or re-read here).
             self._write_rollup(rows, batch_id)
             self._write_feed(rows, batch_id)
-            factory_types = ["pair_created", "pool_created"]
-            for fn in self.on_event:
-                fn(rows.filter(~F.col("event_type").isin(factory_types)), batch_id)
-            for fn in self.on_factory:
-                fn(rows.filter(F.col("event_type").isin(factory_types)), batch_id)
+            waits = joined.filter("waits")
+            if not waits.isEmpty():
+                key = X.pool_key(F.col("chain"), "pool_address")
+                self.quarantine.add(waits.filter(F.col("pool_address").isNotNull()).withColumn("pool_key", key)
+                                    .select(*LOG_COLUMNS, "pool_key"), batch_id)
+            factory = F.col("event_type").isin(D.FACTORY_EVENT_TYPES)
+            for label, fns, mine in (("on_event", self.on_event, ~factory), ("on_factory", self.on_factory, factory)):
+                for i, fn in enumerate(fns):
+                    name = f"{label}_{i}_{getattr(fn, '__name__', 'handler').strip('<>')}"
+                    self.handler_log.call(name, fn, rows.filter(mine), batch_id)
+            if new:
+                registered.count()  # in the cache before what it is made of goes
+                tokens.count()
+                self._forget_registry()
+            self._registry = (batch_id + 1, registered, tokens)
+        except BaseException:
+            self._forget_registry()
+            raise
         finally:
-            for df in (rows, registered, fresh, prior):
-                if df is not None:
-                    df.unpersist()
-            logs.unpersist()
+            for df in reversed(held):
+                df.unpersist()
 
-    def _write_quarantine(self, unmatched: DataFrame, columns: list[str], batch_id: int) -> None:
-        (unmatched.select(*columns).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-                  .sortWithinPartitions("pool_address").write.mode("overwrite")
-                  .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.quarantine_path))
+    def _not_stored(self, logs: DataFrame, batch_id: int) -> DataFrame:
+        """The ``logs`` that no batch before ``batch_id`` has stored.
 
-    def _released(self, fresh: DataFrame, prior: DataFrame | None, batch_id: int) -> DataFrame:
-        """Quarantined logs of earlier batches that match a pool registered in this batch and none registered before.
-
-        Only batches that register a pool read the quarantine. Nothing is deleted from it, so a
-        replayed batch finds what it found the first time.
-        """
-        held = self._try_read(self.quarantine_path)
-        if held is None:
-            return self.spark.createDataFrame([], schemas.DECODED_LOGS)
-        held = normalize.route_supported(held.filter(F.col("batch_id") < batch_id).drop("batch_id"))
-        out = enrich.split_by_pools(held, fresh, matched=True)
-        return out if prior is None else enrich.split_by_pools(out, prior, matched=False)
-
-    def _recent_ids(self, batch_id: int) -> DataFrame | None:
-        """Ids stored by the ``redelivery_batches`` - 1 batches before this one (a replay does not see its own).
-
-        Each batch overwrites one of ``redelivery_batches`` slots, so the folders
-        listed and the ids read do not grow with the table. What comes again after
-        that is removed by ``read_events`` and by ``store.refresh_rollup``.
+        A log delivered again has the time it had, so only the months of these logs are listed,
+        and only files and row groups that reach into their times are read.
         """
-        ids = self._try_read(self.ids_path)
-        if ids is None:
-            return None
-        return ids.filter((F.col("batch_id") < batch_id) & (F.col("batch_id") > batch_id - self.redelivery_batches)).select("id")
-
-    def _write_ids(self, rows: DataFrame, batch_id: int) -> None:
-        (rows.select("id", F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
-                     F.lit(int(batch_id % self.redelivery_batches)).alias("slot"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(self.ids_path))
+        logs = logs.dropDuplicates(["id"])
+        month = X.year_month("observed_at_ms")
+        span = logs.agg(F.collect_set(month).alias("months"), F.min("observed_at_ms").alias("lo"), F.max("observed_at_ms").alias("hi"),
+                        F.count_if(F.col("observed_at_ms").isNull()).alias("timeless")).first()  # few values: months
+        names = [str(m) for m in span["months"]] + ["__HIVE_DEFAULT_PARTITION__"] * bool(span["timeless"])
+        folders = [f"{self.events_path}/event_month={m}" for m in names if files.exists(self.spark, f"{self.events_path}/event_month={m}")]
+        if not folders:
+            return logs
+        stored = self.spark.read.option("basePath", self.events_path).parquet(*folders).filter(F.col("batch_id") < batch_id)
+        within = F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"]))
+        stored = stored.filter(within | F.col("timestamp").isNull() if span["timeless"] else within)
+        return logs.join(stored.select("id"), "id", "left_anti")
+
+    def _write_deliveries(self, first: int, logs: DataFrame, again: int, batch_id: int) -> None:
+        """What the batch got: logs for the first time, copies (of either kind), and late ones that were new."""
+        late = F.count(F.lit(1)) - F.lit(int(first))
+        counts = logs.agg(F.lit(int(first)).alias("first_logs"), late.alias("late_logs")).withColumn(
+            "copies", F.lit(int(again)) - F.col("late_logs"))
+        (counts.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.deliveries_path))
 
     def _write_rollup(self, rows: DataFrame, batch_id: int) -> None:
         partial = (rows.withColumn("hour", X.hour_start("timestamp"))
@@ -251,12 +311,19 @@ class EventIngestJob:
     def start(self, logs_stream: DataFrame, trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
         """Start the checkpointed query. ``trigger`` defaults to every 5 seconds."""
         self.register_seeds()
-        writer = (logs_stream.writeStream.foreachBatch(self.process_batch)
+        writer = (first_deliveries(logs_stream, self.redelivery_window).writeStream.foreachBatch(self._process)
                   .option("checkpointLocation", self.checkpoint_path))
         if query_name:
             writer = writer.queryName(query_name)
         writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
-        return writer.start()
+        before = {k: self.spark.conf.get(k, None) for k in STATE_STORE}
+        try:  # a query keeps the settings that hold when it starts
+            for k, v in STATE_STORE.items():
+                self.spark.conf.set(k, v)
+            return writer.start()
+        finally:
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
 
     # -- readers -----------------------------------------------------------------
     def read_events(self, dedupe: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators import normalize
 from ..plans import events as E
 from ..session import scratch_path
 from ..sources import tables
-from .ingest import REDELIVERY_BATCHES, EventIngestJob
+from .ingest import EventIngestJob
 
 
 ROWS_PER_CHUNK = 2_000_000
@@ -65,12 +65,12 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4, newest_firs
 
 def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, chunks: int = 4,
                     root: str | None = None, timeout_s: int | None = None, redeliver: bool = False,
-                    newest_first: bool = False) -> EventIngestJob:
+                    newest_first: bool = False, job_options: dict | None = None) -> EventIngestJob:
     """Stage ``logs``, run the ingest job until the staged input is consumed, return the job (its tables).
 
     There is no time limit unless ``timeout_s`` is given; a run that reaches it is stopped and
     raises TimeoutError, so no caller reads incomplete tables. With ``redeliver`` the newest
-    quarter of the blocks arrives a second time at the end, within the job's horizon;
+    quarter of the blocks arrives a second time at the end;
     with ``newest_first`` the chunks arrive in reverse order.
     """
     root = root or scratch_path(spark, "dexflow-stream")
@@ -81,7 +81,7 @@ def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, ch
         newest = staged.approxQuantile("block_number", [0.75], 0.01)
         again = staged.filter(F.col("block_number") > newest[0]) if newest else staged
         again.coalesce(batches).write.mode("append").parquet(source)
-    job = EventIngestJob(spark, f"{root}/out", dims, redelivery_batches=max(REDELIVERY_BATCHES, 3 * batches))
+    job = EventIngestJob(spark, f"{root}/out", dims, **(job_options or {}))
     query = job.start(tables.stream_decoded_logs(spark, source, max_files_per_trigger=1),
                       trigger={"availableNow": True})
     if timeout_s is None:
