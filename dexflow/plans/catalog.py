@@ -104,7 +104,8 @@ class Context:
         with _STREAM_LOCK:
             if self._unordered_job is None:
                 from ..streaming.replay import run_file_stream
-                self._unordered_job = run_file_stream(self.spark, self.logs, self.dims, newest_first=True)
+                self._unordered_job = run_file_stream(self.spark, self.logs, self.dims, newest_first=True,
+                                                      job_options={"compact_every": 2})
             return self._unordered_job
 
     @property

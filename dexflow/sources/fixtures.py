@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import dims
 from .tables import read_table
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -85,6 +86,63 @@ def repeat_addresses(logs: DataFrame) -> DataFrame:
     return logs.withColumn("pool_address", F.when(F.col("chain_id") == 56, shared).otherwise(F.col("pool_address")))
 
 
+MONTH_MS = 31 * 86_400_000
+
+#: A contract that is no factory.
+FOREIGN = "0x" + "f" * 40
+
+
+def spread_over_months(logs: DataFrame) -> DataFrame:
+    """FX2 over four months: by the block's remainder, a log is up to three times 31 days older."""
+    return logs.withColumn("observed_at_ms", F.col("observed_at_ms") - F.col("block_number") % 4 * MONTH_MS)
+
+
+def with_emitters(logs: DataFrame) -> DataFrame:
+    """FX2 with the emitting contract: pools for pool logs; for creation logs the factory, every third block another contract, or none."""
+    chain = F.col("chain_id").cast("string")
+    factory = F.create_map(*[F.lit(x) for c, p, f, _ in dims.CONTRACT_ADDRESSES for x in (f"{c}|{p}", f)])
+    made = (F.when(F.col("block_number") % 3 == 0, FOREIGN).when(F.col("block_number") % 7 == 1, F.lit(None))
+             .otherwise(F.try_element_at(factory, F.concat_ws("|", chain, "protocol"))))
+    return logs.withColumn("emitter", F.when(F.col("event_name").isin("PairCreated", "PoolCreated"), made).otherwise(F.col("pool_address")))
+
+
+def mixed_routing(logs: DataFrame) -> DataFrame:
+    """FX2 with logs that no route takes: other events and protocols, a protocol on the wrong chain, and an unknown chain."""
+    k = F.col("block_number") % 6
+    return logs.withColumns({"event_name": F.when(k == 0, "Collect").otherwise(F.col("event_name")),
+                             "protocol": F.when(k == 1, "sushiswap").otherwise(F.col("protocol")),
+                             "chain_id": F.when(k == 2, 56).when(k == 3, 137).when(k == 4, F.lit(None)).otherwise(F.col("chain_id"))})
+
+
+def delivered_again(logs: DataFrame) -> DataFrame:
+    """FX2 with every fourth block twice."""
+    return logs.unionByName(logs.filter(F.col("block_number") % 4 == 0))
+
+
+def without_metadata(logs: DataFrame) -> DataFrame:
+    """FX2 with holes: no hash, no index, no block, by the remainder of the time."""
+    t = F.col("observed_at_ms")
+    hole = lambda c, k: F.when(t % k == 0, F.lit(None)).otherwise(F.col(c))
+    return logs.withColumns({"transaction_hash": hole("transaction_hash", 5), "log_index": hole("log_index", 7), "block_number": hole("block_number", 11)})
+
+
+def mainnet(logs: DataFrame) -> DataFrame:
+    """FX2 on the watched pools: pool i is the i-th seed pool, token 100 + i the i-th known token, in lower case."""
+    number = F.substring("pool_address", -2, 2).cast("int")
+    pools = F.array(*[F.lit(a) for _, a, _, _ in dims.SEED_POOLS])
+    tokens = F.array(*[F.lit(t[0].lower()) for t in dims.KNOWN_TOKENS])
+    token = lambda c: F.get(tokens, F.substring(c, -3, 3).cast("int") - 100)
+    return logs.withColumns({"pool_address": F.get(pools, number), "token0_address": token("token0_address"), "token1_address": token("token1_address")})
+
+
+def contract_answers(logs: DataFrame) -> DataFrame:
+    """What pool contracts answer: the tokens of the first creation log of every pool with an odd number; of pool 5 one token only."""
+    made = logs.filter(F.col("token0_address").isNotNull() & (F.substring("pool_address", -1, 1).cast("int") % 2 == 1))
+    first = F.min_by(F.struct("token0_address", "token1_address"), F.struct("block_number", "log_index", "transaction_hash")).alias("t")
+    out = made.groupBy("chain_id", "pool_address").agg(first).select("chain_id", "pool_address", "t.*")
+    return out.withColumn("token0_address", F.when(F.col("pool_address").endswith("05"), F.lit(None)).otherwise(F.col("token0_address")))
+
+
 def pool_seed(spark: SparkSession) -> DataFrame:
     """FX3 seed pools: 13 pools; pool 12 has an unresolved token0, pool 13 is not a seed."""
     return spark.range(13).selectExpr(

@@ -344,6 +344,23 @@ class EventIngestJob:
         return df.join(newest, df["batch_id"] == newest["b"], "left_semi").drop("batch_id")
 
 
+#: Relative standard error of a distinct count from a merged sketch.
+SKETCH_ERROR = 1.04 / 2 ** (ROLLUP_SKETCH_LG_K / 2)
+
+
+def check_distincts(rollup: DataFrame, events: DataFrame, errors: float = 3.0) -> DataFrame:
+    """Do the rollup's distinct counts lie within ``errors`` standard errors of the exact ones (at least 1)?
+
+    Per group and hour: event_count of both, and ``pools_within`` and ``transactions_within``. Groups that only one side has show with null.
+    """
+    keys = ["protocol", "event_type", "hour"]
+    exact = reports.hourly_rollup(events).withColumnsRenamed({"event_count": "n", "unique_pools": "p", "unique_transactions": "t"})
+    near = lambda estimate, true: F.abs(F.col(estimate) - F.col(true)) <= F.greatest(F.lit(1.0), errors * SKETCH_ERROR * F.col(true))
+    return rollup.join(exact, keys, "full").select(*keys, "event_count", F.col("n").alias("exact_count"),
+                                                   near("unique_pools", "p").alias("pools_within"),
+                                                   near("unique_transactions", "t").alias("transactions_within"))
+
+
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     """Merge the per-batch partials: counts add, sketches union (distincts are estimates)."""
     parts = spark.read.parquet(path)

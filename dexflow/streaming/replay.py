@@ -63,6 +63,14 @@ def stage_in_time_order(logs: DataFrame, path: str, chunks: int = 4, newest_firs
     return len(edges) - 1
 
 
+def replay_last_batch(job: EventIngestJob, source: str) -> None:
+    """Run the newest batch of a finished job again, as after a crash before its commit."""
+    last = job.spark.read.parquet(job.events_path).agg(F.max("batch_id")).first()[0]
+    staged = tables.read_decoded_logs(job.spark, source).withColumn("__file", F.input_file_name())
+    newest = staged.orderBy(F.col("block_number").desc()).select("__file").first()[0]
+    job.process_batch(staged.filter(F.col("__file") == newest).drop("__file"), last)
+
+
 def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, chunks: int = 4,
                     root: str | None = None, timeout_s: int | None = None, redeliver: bool = False,
                     newest_first: bool = False, job_options: dict | None = None) -> EventIngestJob:

@@ -8,7 +8,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-from dexflow.plans import catalog
+from dexflow.plans import catalog, derived
+
+NAMES = sorted(catalog.QUERIES | derived.QUERIES)
 
 TABLES = ["events", "region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -41,10 +43,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) == set(catalog.ORACLE) and set(derived.QUERIES) == set(derived.ORACLE)
+    assert not set(catalog.QUERIES) & set(derived.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
