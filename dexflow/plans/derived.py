@@ -45,7 +45,7 @@ def months_path(ctx: C.Context) -> str:
 
 
 def over_months(statement: str) -> str:
-    """The statement over FX2 spread over four months."""
+    """The statement over FX2 spread over several months."""
     return statement.replace("CAST(ms AS BIGINT) AS observed_at_ms",
                              f"CAST(ms - (18000000 + ms // 12000 - 142000000) % 4 * {fixtures.MONTH_MS} AS BIGINT) AS observed_at_ms")
 
@@ -58,7 +58,7 @@ def with_feed(select: str, feed: str, extra: str = "") -> str:
 # -- newest events of the stored table (O-30, O-53, O-56) ---------------------
 
 def q_stored_recent_events(spark, sf_dir):
-    """O-53: the ten newest of a table of four months, from the newest month."""
+    """O-53: the ten newest of a table of several months, from the newest month."""
     top = store.newest_events(spark, months_path(C.context(spark, sf_dir)), 10)
     return top.select(*reports.RECENT_COLUMNS, X.seconds_time("timestamp").alias("event_time"))
 

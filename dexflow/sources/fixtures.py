@@ -93,7 +93,7 @@ FOREIGN = "0x" + "f" * 40
 
 
 def spread_over_months(logs: DataFrame) -> DataFrame:
-    """FX2 over four months: by the block's remainder, a log is up to three times 31 days older."""
+    """FX2 over several months: by the block's remainder, a log is up to three times 31 days older."""
     return logs.withColumn("observed_at_ms", F.col("observed_at_ms") - F.col("block_number") % 4 * MONTH_MS)
 
 
