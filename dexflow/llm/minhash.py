@@ -366,12 +366,21 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     """``docs``, all columns, with one document of each group of near-duplicates: the one of the smallest doc_id.
 
     Of rows with equal doc_id and text one stays. A doc_id with several texts stays if any
-    of them does. Rows with a null doc_id stay.
+    of them does. Rows with a null doc_id stay, as do null and empty texts. Columns may have any names; empty
+    tables give no rows.
+
+    The ids to act on grow with the input, so they meet the rows in one sort-merge join at every size;
+    only ids that several rows share need those rows a second time.
     """
     found = saved(near_duplicates(docs, width, percent).where("doc_id is not null")
-                  .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
-    gone = found.where("not kept").select(F.col("doc_id").alias("gone_id"))
-    left = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    again = found.where("kept and rows > 1").select(F.col("doc_id").alias("again_id"))
-    several = left.join(again, F.col("doc_id") == F.col("again_id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, F.col("doc_id") == F.col("again_id"), "left_anti").unionByName(several)
+                  .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+                  .where("not kept or rows > 1"), "acted-on")
+
+    def without(ids: DataFrame) -> DataFrame:
+        return docs.alias("d").join(ids.hint("merge").alias("f"), F.col("d.doc_id") == F.col("f.doc_id"), "left_anti").select("d.*")
+
+    again = found.where("kept")
+    if again.isEmpty():
+        return without(found)
+    several = docs.alias("d").join(again.hint("merge").alias("f"), F.col("d.doc_id") == F.col("f.doc_id"), "left_semi").select("d.*")
+    return without(found).unionByName(several.dropDuplicates(["doc_id", "text"]))
