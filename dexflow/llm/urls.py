@@ -95,5 +95,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     hits = (expressions(seen, most["labels"], most["depth"]).join(r, "short").where("digest = full")
             .groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best")))
     hits = saved(hits.select("url", "best.rule", "best.verdict"), "url-hits")
-    return base.join(hits, "url", "left").select(
+    # Both sides grow with the input, so the join is the same at every size: never a broadcast.
+    return base.join(hits.hint("merge"), "url", "left").select(
         *names, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
