@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     # Generated methods above 8,000 bytecodes are never JIT-compiled by the JVM;
     # above this limit Spark falls back to per-operator codegen, which is.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # PySpark notes the call site of every column expression, at several driver round trips each: a plan
+    # of some hundred expressions takes seconds to declare. Error messages lose the line of the expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

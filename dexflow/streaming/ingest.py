@@ -188,6 +188,8 @@ class EventIngestJob:
         try:
             if self._try_read(self.pools_path) is None:
                 self.register_seeds()
+            prior = self._registry_before(batch_id)
+            self.quarantine.compact_if_due(batch_id, prior)
             first = delivered.filter("first").drop("first")
             n = delivered.agg(F.count_if("first").alias("first"), F.count_if(~F.col("first")).alias("all")).first()
             logs, again = first, n["all"] - n["first"]
@@ -195,8 +197,6 @@ class EventIngestJob:
                 late = self._not_stored(delivered.filter(~F.col("first")).drop("first").join(first.select("id"), "id", "left_anti"), batch_id)
                 logs = first.unionByName(late.select(*LOG_COLUMNS)).persist()
                 held.append(logs)
-            prior = self._registry_before(batch_id)
-            self.quarantine.compact_if_due(batch_id, prior)
 
             # (1) discovery: first creation per pool in this batch, unless registered from an earlier one.
             fresh = enrich.new_registrations(enrich.first_pools(logs.filter(F.col("kind") == "factory")), prior).persist()
@@ -238,11 +238,12 @@ class EventIngestJob:
                 for i, fn in enumerate(fns):
                     name = f"{label}_{i}_{getattr(fn, '__name__', 'handler').strip('<>')}"
                     self.handler_log.call(name, fn, rows.filter(mine), batch_id)
+            # After a registration the pools are read from their table again: a plan that went on from batch to batch would grow.
             if new:
-                registered.count()  # in the cache before what it is made of goes
-                tokens.count()
+                held += [registered, tokens]
                 self._forget_registry()
-            self._registry = (batch_id + 1, registered, tokens)
+            else:
+                self._registry = (batch_id + 1, registered, tokens)
         except BaseException:
             self._forget_registry()
             raise
@@ -251,17 +252,20 @@ class EventIngestJob:
                 df.unpersist()
 
     def _not_stored(self, logs: DataFrame, batch_id: int) -> DataFrame:
-        """The ``logs`` that no batch before ``batch_id`` has stored.
+        """The ``logs`` that no batch before ``batch_id`` has stored or put into the quarantine.
 
         A log delivered again has the time it had, so only the months of these logs are listed,
         and only files and row groups that reach into their times are read.
         """
-        logs = logs.dropDuplicates(["id"])
+        logs = logs.dropDuplicates(["id"]).persist()
+        keyed = logs.filter(F.col("pool_address").isNotNull()).withColumn("pool_key", X.pool_key(F.col("chain"), "pool_address"))
+        waiting = self.quarantine.held(batch_id, keyed)
         month = X.year_month("observed_at_ms")
         span = logs.agg(F.collect_set(month).alias("months"), F.min("observed_at_ms").alias("lo"), F.max("observed_at_ms").alias("hi"),
                         F.count_if(F.col("observed_at_ms").isNull()).alias("timeless")).first()  # few values: months
         names = [str(m) for m in span["months"]] + ["__HIVE_DEFAULT_PARTITION__"] * bool(span["timeless"])
         folders = [f"{self.events_path}/event_month={m}" for m in names if files.exists(self.spark, f"{self.events_path}/event_month={m}")]
+        logs = logs.join(waiting.select("id"), "id", "left_anti")
         if not folders:
             return logs
         stored = self.spark.read.option("basePath", self.events_path).parquet(*folders).filter(F.col("batch_id") < batch_id)

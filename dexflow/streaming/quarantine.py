@@ -28,13 +28,13 @@ class Quarantine:
     def _bucket(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _write(self, rows: DataFrame, path: str, by: list[str]) -> None:
+    def _write(self, rows: DataFrame, path: str, by: list[str], replace: str) -> None:
         (rows.withColumn("bucket", self._bucket(F.col("pool_key"))).hint("rebalance", "bucket").sortWithinPartitions("bucket", "pool_key")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path))
+             .write.mode("overwrite").option("partitionOverwriteMode", replace).option("compression", "zstd").partitionBy(*by).parquet(path))
 
     def add(self, rows: DataFrame, batch_id: int) -> None:
         """Keep the rows that batch ``batch_id`` could not match; a repeated batch replaces its own."""
-        self._write(rows.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")), f"{self.path}/deltas", ["batch_id", "bucket"])
+        self._write(rows.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")), f"{self.path}/deltas", ["batch_id", "bucket"], "dynamic")
 
     def _snapshots(self, before: int) -> list[int]:
         found = [int(v) for v in files.values(self.spark, f"{self.path}/snapshots", "as_of")]
@@ -65,7 +65,7 @@ class Quarantine:
         if registry is None or batch_id - (last or 0) < self.compact_every:
             return False
         waiting = self._read(self._folders(last, batch_id))
-        self._write(enrich.split_by_pools(waiting, registry, matched=False), f"{self.path}/snapshots/as_of={batch_id}", ["bucket"])
+        self._write(enrich.split_by_pools(waiting, registry, matched=False), f"{self.path}/snapshots/as_of={batch_id}", ["bucket"], "static")  # leaves _SUCCESS
         # Only this batch can run again, and it needs the last snapshot and what came after.
         for s in earlier[:-1]:
             files.delete(self.spark, f"{self.path}/snapshots/as_of={s}")
