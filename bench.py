@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from dexflow.operators import checks, reports  # noqa: E402
 from dexflow.plans import catalog  # noqa: E402
 from dexflow.session import build_session  # noqa: E402
-from dexflow.sources import store  # noqa: E402
+from dexflow.sources import partials, store  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -32,13 +32,19 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn, runs: int = RUNS) -> float:
+SPREAD: dict[str, list[float]] = {}
+
+
+def timed(fn, runs: int = RUNS, name: str | None = None) -> float:
+    """Median of ``runs`` runs after a warm-up; the least and the most go to ``SPREAD``."""
     fn()  # warm-up
     samples = []
     for _ in range(runs):
         t0 = time.perf_counter()
         fn()
         samples.append(time.perf_counter() - t0)
+    if name:
+        SPREAD[name] = [round(min(samples), 4), round(max(samples), 4)]
     return round(statistics.median(samples), 4)
 
 
@@ -58,13 +64,13 @@ if __name__ == "__main__":
 
     # Pipeline queries over the raw events.
     for name in ["flatten_events", "discovered_events", "event_stats", "hourly_rollup", "top_groups"]:
-        results[name] = timed(fresh(name))
+        results[name] = timed(fresh(name), name=name)
 
     # Ingest: build the event table and write it partitioned + sorted + bloom-indexed.
     def ingest():
         catalog._CACHE.clear()
         store.write_events(catalog.context(spark, SF_DIR).events, table, mode="overwrite")
-    results["ingest_write"] = timed(ingest, max(1, RUNS // 2))
+    results["ingest_write"] = timed(ingest, max(1, RUNS // 2), "ingest_write")
 
     stored = store.read_events(spark, table)
     stored_reports = {
@@ -75,8 +81,16 @@ if __name__ == "__main__":
         "stored_integrity": lambda: run(checks.integrity_summary(stored)),
         "stored_lookup_pool": lambda: run(stored.filter(stored.pool_address == catalog.LOOKUP_POOL)),
     }
+    partial_path = os.path.join(scratch, "partials")
+    t0 = time.perf_counter()
+    partials.write_partials(stored, partial_path)
+    results["partials_write_1run"] = round(time.perf_counter() - t0, 4)
+    stored_reports |= {
+        "partial_event_stats": lambda: run(partials.event_stats(spark, partial_path)),
+        "stored_newest_10": lambda: run(store.newest_events(spark, table, 10)),
+    }
     for name, fn in stored_reports.items():
-        results[name] = timed(fn)
+        results[name] = timed(fn, name=name)
 
     # Streaming ingest: stage the decoded logs as time-ordered files and run the
     # checkpointed foreachBatch job to completion (one run; includes staging).
@@ -95,6 +109,7 @@ if __name__ == "__main__":
         "value": round(sum(results[k] for k in headline), 4),
         "unit": "sec",
         "queries": results,
+        "spread": SPREAD,
         "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
         "cpus": int(CPUS),
         "runs": RUNS,

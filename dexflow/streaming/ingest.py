@@ -90,7 +90,7 @@ class EventIngestJob:
     def __init__(self, spark: SparkSession, root: str, dims: E.Dimensions,
                  on_event: list[Handler] | None = None, on_factory: list[Handler] | None = None,
                  feed_size: int = 20, checkpoint_location: str | None = None,
-                 redelivery_window: str = REDELIVERY_WINDOW, compact_every: int = 20):
+                 redelivery_window: str = REDELIVERY_WINDOW, compact_every: int = 20, state_partitions: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self._checkpoint = checkpoint_location
@@ -99,6 +99,7 @@ class EventIngestJob:
         self.on_factory = list(on_factory or [])
         self.feed_size = feed_size
         self.redelivery_window = redelivery_window
+        self.state_partitions = state_partitions  # of the state store and the batches' shuffles; the session's setting if not given
         self.quarantine = Quarantine(spark, f"{self.root}/quarantine", WAITING, compact_every=compact_every)
         self.handler_log = HandlerLog(spark, f"{self.root}/handlers")
         self._registry: tuple[int, DataFrame, DataFrame] | None = None  # the batch it is good for, the pools, with their tokens
@@ -320,9 +321,10 @@ class EventIngestJob:
         if query_name:
             writer = writer.queryName(query_name)
         writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
-        before = {k: self.spark.conf.get(k, None) for k in STATE_STORE}
+        settings = STATE_STORE | ({"spark.sql.shuffle.partitions": str(self.state_partitions)} if self.state_partitions else {})
+        before = {k: self.spark.conf.get(k, None) for k in settings}
         try:  # a query keeps the settings that hold when it starts
-            for k, v in STATE_STORE.items():
+            for k, v in settings.items():
                 self.spark.conf.set(k, v)
             return writer.start()
         finally:

@@ -89,7 +89,9 @@ def run_file_stream(spark: SparkSession, logs: DataFrame, dims: E.Dimensions, ch
         newest = staged.approxQuantile("block_number", [0.75], 0.01)
         again = staged.filter(F.col("block_number") > newest[0]) if newest else staged
         again.coalesce(batches).write.mode("append").parquet(source)
-    job = EventIngestJob(spark, f"{root}/out", dims, **(job_options or {}))
+    # One partition of state for each core: the staged batches are small.
+    options = {"state_partitions": spark.sparkContext.defaultParallelism} | (job_options or {})
+    job = EventIngestJob(spark, f"{root}/out", dims, **options)
     query = job.start(tables.stream_decoded_logs(spark, source, max_files_per_trigger=1),
                       trigger={"availableNow": True})
     if timeout_s is None:
