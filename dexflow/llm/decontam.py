@@ -20,6 +20,9 @@ EDITS, RECALL = 0.2, 0.999
 SAMPLED, TABLES = 3, 8
 #: Items of a class have lengths within this ratio.
 RATIO = 1.2
+#: Edited items that measure the recall of a class, the walks that each is searched with, and the most walks of a class:
+#: one that would need more compares its items with every window that the q-gram bound leaves.
+TRIALS, MEASURED, MOST = 60, 16, 64
 
 #: A-Z lower-cased; ASCII characters that are no letters or digits are spaces.
 PLAIN = words.LOWER.copy()
@@ -86,6 +89,8 @@ class Class:
         self.items = items
         self.low, self.high = min(len(x) for _, x in items), max(len(x) for _, x in items)
         self.rng_seed = seed
+        #: Walks that reach RECALL; None: all windows within the q-gram bound are candidates.
+        self.walks: int | None = MEASURED
         #: Pairs of neighbouring words that a window of ``low`` words has from the item: each edit costs two.
         self.needed = self.low - 1 - 2 * allowed(self.high)
 
@@ -112,6 +117,41 @@ def table_keys(walk: Walk, number: int, classes: list[Class], hashes: np.ndarray
     return keys
 
 
+def edited(x: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """``x`` after random edits: words put in, replaced or taken out."""
+    y = list(x)
+    for _ in range(edits):
+        at, kind, word = int(rng.integers(len(y) + 1)), int(rng.integers(3)), int(rng.integers(1 << 62))
+        if kind == 0:
+            y.insert(at, word)
+        elif y[at:at + 1]:
+            y[at:at + 1] = [word] if kind == 1 else []
+    return np.array(y, U)
+
+
+def walks_for(c: Class) -> int | None:
+    """Walks that find windows with the most edits allowed with probability RECALL; None if that takes more than MOST.
+
+    Measured for the class: of TRIALS items with that many random edits each gives the rate q at which a walk
+    finds it, and the walks w are the fewest with a mean of (1 - q)^w of at most 1 - RECALL, so that items
+    that are hard to find count as such.
+    """
+    rng = np.random.default_rng([5, c.rng_seed])
+    chosen = [i for i in c.items if allowed(len(i[1]))]
+    if not chosen:
+        return 1
+    chosen = [chosen[k] for k in rng.choice(len(chosen), TRIALS, replace=len(chosen) < TRIALS)]
+    texts = [np.concatenate([rng.integers(1 << 62, size=9).astype(U), edited(x, allowed(len(x)), rng), np.zeros(1, U)]) for _, x in chosen]
+    first = np.cumsum([0] + [len(t) for t in texts])
+    found, wanted = Searcher(c.items, walks=MEASURED), {(t, i) for t, (i, _) in enumerate(chosen)}
+    hits = np.zeros(TRIALS)
+    for w in range(MEASURED):
+        for t in {t for t, i, _ in found.candidates(np.concatenate(texts), first, only=w) if (t, i) in wanted}:
+            hits[t] += 1
+    missed = 1 - (hits + 0.5) / (MEASURED + 1)
+    return next((w for w in range(1, MOST + 1) if (missed ** w).mean() <= 1 - RECALL), None)
+
+
 class Searcher:
     """One block of benchmark items, ready to search texts."""
 
@@ -125,11 +165,16 @@ class Searcher:
         self.classes = [Class(g, k) for k, g in enumerate(groups)]
         self.known = np.unique(np.concatenate([pairs_of(x) for _, x in items])) if items else np.empty(0, U)
         self.steps = max((2 * c.high for c in self.classes), default=0)
-        self.walks = walks if walks is not None else self.walks_for(items)
+        for c in self.classes:
+            c.walks = walks if walks is not None else walks_for(c)
+        self.walks = max((c.walks or 0 for c in self.classes), default=0)
         self.tables = []
         for w in range(self.walks):
             per = []
             for c in self.classes:
+                if w >= (c.walks or 0):
+                    per.append(None)
+                    continue
                 joined = np.concatenate([np.append(x, U(0)) for _, x in c.items])
                 starts = np.cumsum([0] + [len(x) + 1 for _, x in c.items])[:-1]
                 keys = table_keys(Walk(w, self.steps), w, [c], joined, starts, [np.arange(len(starts))])[0]
@@ -137,32 +182,6 @@ class Searcher:
                 per.append((np.take_along_axis(keys, order, 1), order))
             self.tables.append(per)
 
-    def walks_for(self, items: list[tuple[int, np.ndarray]], trials: int = 60, most: int = 64) -> int:
-        """Walks that find a window with the most allowed edits with probability RECALL.
-
-        Measured: items with that many random edits are searched with four walks; the rate
-        of walks that find them gives the number.
-        """
-        rng, hit, tried = np.random.default_rng(5), 0, 0
-        found = Searcher(items, walks=4) if items else None
-        chosen = [i for i in items if allowed(len(i[1]))]
-        for k in rng.permutation(len(chosen))[:trials]:
-            item_id, x = chosen[k]
-            y = list(x)
-            for _ in range(allowed(len(x))):
-                at, kind = int(rng.integers(len(y) + 1)), int(rng.integers(3))
-                word = int(rng.integers(1 << 62))
-                if kind == 0:
-                    y.insert(at, word)
-                elif y[at:at + 1]:
-                    y[at:at + 1] = [word] if kind == 1 else []
-            text = np.concatenate([rng.integers(1 << 62, size=9).astype(U), np.array(y, U), np.zeros(1, U)])
-            for w in range(4):
-                tried += 1
-                hit += any(i == item_id for _, i, _ in found.candidates(text, np.array([0, len(text)]), only=w))
-        rate = hit / tried if tried else 1.0
-        return 1 if rate >= RECALL else most if rate <= 0 else min(most, math.ceil(math.log(1 - RECALL) / math.log(1 - rate)))
-
     def candidates(self, hashes: np.ndarray, first: np.ndarray, only: int | None = None) -> set[tuple[int, int, int]]:
         """(text, item, start) of the windows whose keys in some table are an item's.
 
@@ -185,9 +204,13 @@ class Searcher:
         if not len(starts):
             return set()
         of_class = [np.searchsorted(starts, d) for d in dense]
-        padded, out = np.append(hashes, U(0)), set()
+        padded = np.append(hashes, U(0))
+        out = {(int(text[s]), item, int(s)) for c, d in zip(self.classes, dense) if c.walks is None for s in d for item, _ in c.items}
         for w in [only] if only is not None else range(self.walks):
-            for c, keys in enumerate(table_keys(Walk(w, self.steps), w, self.classes, padded, starts, of_class)):
+            walked = [rows if w < (c.walks or 0) else rows[:0] for c, rows in zip(self.classes, of_class)]
+            for c, keys in enumerate(table_keys(Walk(w, self.steps), w, self.classes, padded, starts, walked)):
+                if not len(walked[c]):
+                    continue
                 known_keys, order = self.tables[w][c]
                 items = self.classes[c].items
                 for t in range(TABLES):
@@ -237,7 +260,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lower-cased. A document holds an item if at most ``EDITS`` edits (words inserted,
     deleted or replaced) per word of the item make it a run of the document's words. Windows at
     every word are candidates by tables of sampled embedding positions, as many as
-    reach ``RECALL``, and the exact edit distance decides. start_word is about where the run begins.
+    reach ``RECALL`` for items of their length (beyond ``MOST`` walks, all windows within the q-gram
+    bound are candidates), and the exact edit distance decides. start_word is about where the run begins.
 
     The benchmark is a set of queries, taken in blocks of ``ITEMS``; each block is a pass over the documents,
     without a shuffle. Null or empty items and texts match nothing; a null doc_id is
