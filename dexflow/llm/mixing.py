@@ -299,7 +299,7 @@ def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET
 
     Rows are taken by their own hash, also null ids; repeated rows get equal copies, a null or empty text the rate of
     its posteriors. Without any labelled document all rows stay once; an empty table gives no rows. Columns may have any
-    names but that of the draw, ``_draw``.
+    names.
     """
     pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     mix = Mix(pairs, label_domain(labels), weights, floor)
@@ -314,4 +314,4 @@ def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGET
             rows = pa.record_batch(batch.columns[:-1], names=batch.schema.names[:-1])
             yield rows.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
-    return docs.select("*", draw().alias("_draw")).mapInArrow(repeat, docs.schema)
+    return docs.select("*", draw().alias("_".join(["draw", *docs.columns]))).mapInArrow(repeat, docs.schema)
