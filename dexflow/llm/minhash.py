@@ -22,8 +22,8 @@ VALUES = CHUNKS * SLOTS
 #: all its errors are spread over the chunks by two and three. Sets of similarity 0.8 differ in 8 values on
 #: average, in 20 or more with a probability of 2.2e-5 (hardly any of which are without a shared key), in more than 22 of 2.6e-7.
 DISTANCE = CHUNKS * (ERRORS + 1) + 2
-#: Members of a group that a task holds to compare others with.
-BLOCK = 256
+#: Members of a group that a task holds to compare others with, and about how many others it compares with them.
+BLOCK, ASKERS = 256, 1024
 
 SIGNATURE = "doc_id long, n long, f1 long, f2 long, signature binary"
 SIGNATURE_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("signature", pa.binary())])
@@ -173,43 +173,52 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def homes(rows: DataFrame, group: str, label: str) -> DataFrame:
-    """``group, home, blocks`` of the groups with several labels: home is the most common one."""
+    """``group, home, blocks, strips`` of the groups with several labels: home is the most common one.
+
+    ``blocks`` is the number of blocks of members, ``strips`` that of the rows outside the home.
+    """
     sizes = rows.groupBy(group, label).agg(F.count("*").alias("size"))
-    found = sizes.groupBy(group).agg(F.max_by(label, F.struct("size", label)).alias("home"), F.sum("size").alias("rows"), F.count("*").alias("labels"))
-    return saved(found.where("labels > 1").select(group, "home", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "homes")
+    found = sizes.groupBy(group).agg(F.max_by(label, F.struct("size", label)).alias("home"), F.sum("size").alias("rows"),
+                                     F.max("size").alias("at_home"), F.count("*").alias("labels"))
+    return saved(found.where("labels > 1").select(group, "home", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"),
+                                                  F.ceil((F.col("rows") - F.col("at_home")) / ASKERS).cast("int").alias("strips")), "homes")
 
 
 def dealt(rows: DataFrame, homes_: DataFrame, group: str, label: str) -> DataFrame:
     """``rows`` of groups with several labels, dealt so that rows of different labels meet.
 
-    Every row is a member of one of its group's blocks. Rows outside the home label
-    (``out``) also ask in every block; rows of the home label never need each other. So a
-    group of any size is many tasks, and what is copied are the rows outside its home.
+    Members are dealt over the group's blocks, rows outside the home label (``out``) also over
+    its strips. Every pair of a block and a strip is a task's work: a member goes to its block with every strip,
+    a row outside the home asks in its strip with every block; rows of the home label never need
+    each other. So a group of any size is many tasks of bounded size.
     """
     rows = rows.join(homes_, group)
-    rows = rows.withColumns({"out": F.col(label) != F.col("home"), "own": F.pmod(F.xxhash64("cid", group), F.col("blocks")).cast("int")})
-    place = F.expr("""concat(array(struct(own as block, false as asks)), case when out
-        then transform(sequence(0, blocks - 1), b -> struct(b as block, true as asks))
-        else cast(array() as array<struct<block: int, asks: boolean>>) end)""")
-    return rows.withColumn("place", F.explode(place)).select(*[c for c in rows.columns if c not in ("home", "blocks", "own")], "place.block", "place.asks")
+    dealt_to = lambda count, salt: F.pmod(F.xxhash64("cid", group, F.lit(salt)), F.col(count)).cast("int")
+    rows = rows.withColumns({"out": F.col(label) != F.col("home"), "own": dealt_to("blocks", 0), "lane": dealt_to("strips", 1)})
+    place = F.expr("""concat(transform(sequence(0, strips - 1), s -> struct(own as block, s as strip, false as asks)), case when out
+        then transform(sequence(0, blocks - 1), b -> struct(b as block, lane as strip, true as asks))
+        else cast(array() as array<struct<block: int, strip: int, asks: boolean>>) end)""")
+    kept = [c for c in rows.columns if c not in ("home", "blocks", "strips", "own", "lane")]
+    return rows.withColumn("place", F.explode(place)).select(*kept, "place.block", "place.strip", "place.asks")
 
 
 def meetings(rows: DataFrame, group: str, meet) -> DataFrame:
-    """Pairs that ``meet`` finds between the askers and the members of each block.
+    """Pairs that ``meet`` finds between the members of each block and the askers of each strip.
 
-    Rows are sorted so that the members of a block come before its askers: a task holds the
+    Rows are sorted so that the members come before the askers: a task holds the
     members and takes the askers a batch at a time.
     """
     def run(batches):
         last, members, ready = None, [], None
         for batch in batches:
-            g, b, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in (group, "block", "asks"))
-            cut = np.flatnonzero((g[1:] != g[:-1]) | (b[1:] != b[:-1]) | (asks[1:] != asks[:-1])) + 1
+            at = [batch.column(c).to_numpy(zero_copy_only=False) for c in (group, "block", "strip", "asks")]
+            cut = np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], axis=0)) + 1
+            g, b, strip, asks = at
             found = []
             bounds = [0, *cut, len(g)] if len(g) else []
             for s, e in zip(bounds, bounds[1:]):
-                if (g[s], b[s]) != last:
-                    last, members, ready = (g[s], b[s]), [], None
+                if (g[s], b[s], strip[s]) != last:
+                    last, members, ready = (g[s], b[s], strip[s]), [], None
                 part = batch.slice(s, e - s)
                 if not asks[s]:
                     members.append(part)
@@ -221,7 +230,7 @@ def meetings(rows: DataFrame, group: str, meet) -> DataFrame:
                 a, b = (np.concatenate(x) for x in zip(*found))
                 yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=PAIR)
 
-    rows = rows.repartition(group, "block").sortWithinPartitions(group, "block", "asks")
+    rows = rows.repartition(group, "block", "strip").sortWithinPartitions(group, "block", "strip", "asks")
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 

@@ -96,6 +96,65 @@ def test_drop_near_duplicates_with_odd_rows_and_names(spark):
     assert mixing.remix(docs, labels).count() == len(data)
 
 
+def test_groups_of_many_blocks_and_strips_lose_no_link(spark, monkeypatch):
+    """One hot group: a passage that all texts share, with chains of texts at the edge of a link."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "ASKERS", 3)
+    rng = random.Random(8)
+    shared = [f"s{i}" for i in range(40)]
+    docs = [(i, " ".join(shared + [f"w{rng.randrange(30)}" for _ in range(rng.randrange(2, 14))])) for i in range(90)]
+    sets = {i: {(a, b) for a, b in zip(t.split(), t.split()[1:])} for i, t in docs}
+    up = {i: i for i in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(docs, TEXT), 2).collect()}
+    assert got == {i: root(i) for i in sets} and 1 < len(set(got.values())) < len(docs)
+
+
+def test_every_row_outside_home_meets_every_member_once(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    monkeypatch.setattr(minhash, "ASKERS", 4)
+    df = spark.createDataFrame([(i, 7, 0 if i < 30 else i % 3 + 1) for i in range(60)], "cid long, key long, cluster long")
+    homes = minhash.homes(df, "key", "cluster")
+    placed = minhash.dealt(df, homes, "key", "cluster").collect()
+    h = homes.first()
+    assert (h["home"], h["blocks"], h["strips"]) == (0, 12, 8)
+    met = [(a["cid"], m["cid"]) for a in placed if a["asks"] for m in placed
+           if not m["asks"] and (m["block"], m["strip"]) == (a["block"], a["strip"])]
+    assert sorted(met) == [(a, m) for a in range(30, 60) for m in range(60)]
+
+
+def test_classes_beyond_the_walks_are_searched_whole(monkeypatch):
+    rng = np.random.default_rng(3)
+    items = [(i, rng.integers(1 << 62, size=n).astype(words.U)) for i, n in enumerate((20, 22, 40, 45))]
+    parts = [decontam.edited(x, decontam.allowed(len(x)), rng) for _, x in items for _ in range(25)]
+    parts = [np.concatenate([rng.integers(1 << 62, size=30).astype(words.U), p]) for p in parts]
+    hashes, first = np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])
+    want = {(t, i) for t, p in enumerate(parts) for i, x in items if decontam.best_match(x, p)[0] <= decontam.allowed(len(x))}
+    monkeypatch.setattr(decontam, "MOST", 0)
+    whole = decontam.Searcher(items)
+    assert all(c.walks is None for c in whole.classes)
+    assert {(t, i) for t, i, *_ in whole.matches(hashes, first)} == want and len(want) >= 100
+    monkeypatch.undo()
+    walked = decontam.Searcher(items)
+    assert all(c.walks for c in walked.classes) and {(t, i) for t, i, *_ in walked.matches(hashes, first)} == want
+
+
+def test_remix_with_a_column_of_the_draws_name(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumns({"_draw": F.lit(5), "rate": F.lit(1)})
+    out = mixing.remix(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    assert out.columns == docs.columns and {r["_draw"] for r in out.collect()} == {5}
+
+
 def test_url_hits_are_never_broadcast(spark):
     pages = spark.createDataFrame([(i, f"http://h{i}.com/") for i in range(50)], "page_id long, url string")
     out = urls.judge_urls(pages, urls.rule_table(spark, [("com/", "block")]))
