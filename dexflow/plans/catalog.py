@@ -20,7 +20,7 @@ from .. import oracle as O
 from .. import schemas
 from ..functions import exprs as X
 from ..operators import checks, enrich, normalize, reports
-from ..session import scratch_path
+from ..session import limit_methods, scratch_path
 from ..sources import dims, fixtures, store
 from . import events as E
 
@@ -40,6 +40,7 @@ class Context:
     """Lazily built shared plans for one (session, input folder)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        limit_methods(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self._stream_job = self._redelivered_job = self._unordered_job = self._stored_path = None

@@ -51,6 +51,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def limit_methods(spark: SparkSession) -> None:
+    """Set the limit of generated methods in a session made elsewhere, unless it has a lower one."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > int(DEFAULT_CONF[key]):
+        spark.conf.set(key, DEFAULT_CONF[key])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -18,10 +18,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def names(spark: SparkSession, path: str) -> list[str]:
-    """The names in a folder, sorted; none if it is not there."""
+def names(spark: SparkSession, path: str, oldest_first: bool = False) -> list[str]:
+    """The names in a folder, sorted, or by the time of their last change; none if it is not there."""
     fs, p = _at(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+    found = [(s.getModificationTime() if oldest_first else 0, s.getPath().getName()) for s in (fs.listStatus(p) if fs.exists(p) else [])]
+    return [name for _, name in sorted(found)]
 
 
 def values(spark: SparkSession, path: str, key: str) -> list[str]:

@@ -99,6 +99,7 @@ class EventIngestJob:
         self.on_factory = list(on_factory or [])
         self.feed_size = feed_size
         self.redelivery_window = redelivery_window
+        self.files_per_batch = 1  # files of a staged source that one batch reads
         self.state_partitions = state_partitions  # of the state store and the batches' shuffles; the session's setting if not given
         self.quarantine = Quarantine(spark, f"{self.root}/quarantine", WAITING, compact_every=compact_every)
         self.handler_log = HandlerLog(spark, f"{self.root}/handlers")
@@ -334,7 +335,7 @@ class EventIngestJob:
     # -- readers -----------------------------------------------------------------
     def read_events(self, dedupe: bool = True) -> DataFrame:
         df = self.spark.read.parquet(self.events_path).drop("batch_id")
-        return store.dedupe_by_id(df) if dedupe else df
+        return store.one_per_id(df) if dedupe else df
 
     def read_rollup(self) -> DataFrame:
         return read_rollup(self.spark, self.rollup_path)
