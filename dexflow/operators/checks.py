@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..plans.sizing import materialize_dimension
 from ..sources import dims
 
 
@@ -81,27 +82,17 @@ def hashed_rows(events: DataFrame, columns: list[str] | None = None) -> DataFram
 def copy_differences(copies: dict[str, DataFrame], base: str) -> DataFrame:
     """O-50: where copies differ from the copy ``base``: copy, event_month, bucket, rows, base_rows.
 
-    Digests are compared from the top: per month first, then per bucket in the months
-    that differ, so equal copies cost one pass each and a single changed row one month more. A changed
+    One pass over each copy writes its digests per (month, bucket), a few rows, and the digests are compared. A changed
     value, a missing row and a row that stands twice all show.
     """
-    hashed = {name: hashed_rows(df) for name, df in copies.items()}
-
-    def differing(level: list[str], months: list[int] | None) -> DataFrame:
-        parts = [df.withColumn("copy", F.lit(name)) for name, df in hashed.items()]
-        rows = reduce(DataFrame.unionByName, parts)
-        if months is not None:
-            rows = rows.filter(F.col("event_month").isin(months))
-        digests = rows.groupBy("copy", *level).agg(*_digest())
-        of_base = digests.filter(F.col("copy") == base).drop("copy").withColumnsRenamed({"rows": "base_rows", "s": "base_s", "x": "base_x"})
-        keys = reduce(DataFrame.unionByName, [digests.select(*level).distinct().withColumn("copy", F.lit(c)) for c in hashed if c != base])
-        found = keys.join(digests, ["copy", *level], "left").join(of_base, level, "left")
-        same = F.col("s").eqNullSafe(F.col("base_s")) & F.col("x").eqNullSafe(F.col("base_x")) & F.col("rows").eqNullSafe(F.col("base_rows"))
-        return found.filter(~same)
-
-    months = [r[0] for r in differing(["event_month"], None).select("event_month").distinct().collect()]  # one value per month
-    found = differing(["event_month", "bucket"], months)
-    return found.select("copy", "event_month", "bucket", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("base_rows", F.lit(0)).alias("base_rows"))
+    level = ["event_month", "bucket"]
+    rows = reduce(DataFrame.unionByName, [hashed_rows(df).withColumn("copy", F.lit(name)) for name, df in copies.items()])
+    digests = materialize_dimension(rows.groupBy("copy", *level).agg(*_digest()))
+    of_base = digests.filter(F.col("copy") == base).drop("copy").withColumnsRenamed({"rows": "base_rows", "s": "base_s", "x": "base_x"})
+    keys = reduce(DataFrame.unionByName, [digests.select(*level).distinct().withColumn("copy", F.lit(c)) for c in copies if c != base])
+    found = keys.join(digests, ["copy", *level], "left").join(of_base, level, "left")
+    same = F.col("s").eqNullSafe(F.col("base_s")) & F.col("x").eqNullSafe(F.col("base_x")) & F.col("rows").eqNullSafe(F.col("base_rows"))
+    return found.filter(~same).select("copy", *level, F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("base_rows", F.lit(0)).alias("base_rows"))
 
 
 def differing_ids(copy: DataFrame, base: DataFrame, differences: DataFrame) -> DataFrame:
