@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..plans.sizing import materialize_dimension
 from . import dims, files
 
 LOOKUP_COLUMNS = ["pool_address", "transaction_hash", "token0_address", "token1_address"]
@@ -165,6 +166,27 @@ def dedupe_by_id(events: DataFrame) -> DataFrame:
     return first.select("id", *[F.col(f"__r.{c}").alias(c) for c in cols]).select(*events.columns)
 
 
+def repeated_ids(rows: DataFrame, needed: Column | None = None) -> DataFrame:
+    """``__k``, the hashes that several of ``rows`` have as that of their id, written once; with ``needed`` only those that one such row has too.
+
+    Only the hash of an id is shuffled. Two ids may share a hash: the rows behind these are compared by their ids.
+    """
+    found = rows.groupBy(F.xxhash64("id").alias("__k")).agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.lit(True) if needed is None else needed).alias("needed"))
+    return materialize_dimension(found.filter((F.col("n") > 1) & F.col("needed")).select("__k"))
+
+
+def split_repeated(rows: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id stands once, and those whose id may stand more often, by ``repeated_ids``."""
+    keyed = rows.withColumn("__k", F.xxhash64("id"))
+    return tuple(keyed.join(repeated, "__k", how).drop("__k") for how in ("left_anti", "left_semi"))
+
+
+def one_per_id(events: DataFrame) -> DataFrame:
+    """``dedupe_by_id`` of a stored table in which few ids stand twice: whole rows of the others are neither sorted nor shuffled."""
+    once, several = split_repeated(events, repeated_ids(events))
+    return once.unionByName(dedupe_by_id(several))
+
+
 def months_around(month: int, distance: int) -> list[int]:
     """The months (yyyymm) from ``distance`` before to ``distance`` after ``month``."""
     n = month // 100 * 12 + month % 100 - 1
@@ -176,11 +198,15 @@ def compact_month(spark: SparkSession, path: str, month: int, out_path: str, hor
 
     The time of a row is its arrival, so a log delivered again can lie in another
     month: ids are compared over ``horizon`` months to both sides, and an
-    event stays in the month of its earliest copy alone.
+    event stays in the month of its earliest copy alone. The other months give their ids, and
+    whole rows only of ids that stand twice.
     """
-    df = spark.read.parquet(path).filter(F.col("event_month").isin(months_around(month, horizon)))
-    kept = dedupe_by_id(df.drop("batch_id")).filter(F.col("event_month") == month)
-    write_events(kept, out_path, mode="overwrite", bloom=True)
+    df = spark.read.parquet(path).filter(F.col("event_month").isin(months_around(month, horizon))).drop("batch_id")
+    mine = F.col("event_month") == month
+    repeated = repeated_ids(df, mine)
+    once, _ = split_repeated(df.filter(mine), repeated)
+    _, several = split_repeated(df, repeated)
+    write_events(once.unionByName(dedupe_by_id(several).filter(mine)), out_path, mode="overwrite", bloom=True)
 
 
 def read_compacted(spark: SparkSession, path: str, compacted_path: str, columns: list[str] | None = None,
